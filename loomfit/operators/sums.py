@@ -109,7 +109,8 @@ def gram_kernel(dim: int, groups: int = 1, weighted: int = 0):
 def gradient_kernel(kind: str, w: np.ndarray, columns: np.ndarray | None, n_weights: int):
     """Sums ``X^T r`` for many models at once: ``w`` is (D, models).
 
-    ``columns[m]`` picks the weight of model m from the row's weight vector ``wt``. The last
+    Labels of -1 count as 0 in the logistic loss. ``columns[m]`` picks the weight of model m from
+    the row's weight vector ``wt``. The last
     ``models`` entries are the summed weights, i.e. each model's row count.
     """
     dim, models = w.shape
@@ -120,7 +121,7 @@ def gradient_kernel(kind: str, w: np.ndarray, columns: np.ndarray | None, n_weig
         z = x @ w
         if kind == "logistic":
             with np.errstate(over="ignore"):
-                r = 1.0 / (1.0 + np.exp(-z)) - y
+                r = 1.0 / (1.0 + np.exp(-z)) - np.where(y == -1, 0.0, y)
         elif kind == "mae":
             r = -np.sign(y - z)
         else:
@@ -166,6 +167,7 @@ def imbalanced_kernel(w: np.ndarray, history: np.ndarray, alphas: np.ndarray, co
     def kernel(batch):
         x = vectors(batch.column("f"), dim)
         y = scalars(batch.column("y"))
+        y = np.where(y == -1, 0.0, y)
         with np.errstate(over="ignore"):
             s = 1.0 / (1.0 + np.exp(-(x @ w)))
         positive = y != 0
@@ -199,6 +201,7 @@ def reward_batches(history: np.ndarray, alphas: np.ndarray, dim: int, names: lis
             gain = np.zeros((len(x), models))
             for step in history:
                 gain += np.logaddexp(0.0, x @ step)
+            y = np.where(y == -1, 0.0, y)
             p = vectors(batch.column("p"), models) + alphas * y[:, None] * gain
             columns = {n: batch.column(n) for n in names}
             columns["p"] = pa.array(list(p), pa.list_(pa.float64()))
@@ -261,8 +264,9 @@ def cluster_kernel(centres: np.ndarray):
     def kernel(batch):
         x = vectors(batch.column("f"), dim)
         index = assign(x, centres)
-        sums = np.zeros((k, dim))
-        np.add.at(sums, index, x)
-        return np.concatenate([np.bincount(index, minlength=k).astype(float), sums.ravel()])
+        sums = [np.bincount(index, weights=x[:, d], minlength=k) for d in range(dim)]
+        return np.concatenate(
+            [np.bincount(index, minlength=k).astype(float), np.column_stack(sums).ravel()]
+        )
 
     return kernel, k + k * dim
