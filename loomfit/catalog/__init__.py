@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import preparation, sources  # noqa: F401
+from . import metrics, preparation, sampling, sources  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

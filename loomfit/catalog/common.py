@@ -158,16 +158,18 @@ def descent_ctes(
     xs: Sequence[str],
     steps: int,
     gamma: float,
-    residual: str,
+    residual: str | Callable[[int], str],
     penalty: str = "0",
     prefix: str = "w",
     where: str | Callable[[int], str] = "TRUE",
     weight: str = "1",
     initial: Sequence[float] | None = None,
+    joins: Callable[[int], str] = lambda t: "",
 ) -> tuple[str, str]:
     """Chained CTEs of descent steps over a relation ``data``; returns them and the last name.
 
-    ``penalty`` is the penalty slope in terms of ``{b}``, a weight.
+    ``residual`` is in terms of ``{z}``, the score; ``penalty`` is the penalty slope in terms of
+    ``{b}``, a weight.
     """
     start = initial or [0.0] * len(xs)
     ctes = [
@@ -178,19 +180,48 @@ def descent_ctes(
     for t in range(steps):
         z = score_sql(xs)
         rows = where(t) if callable(where) else where
+        res = residual(t) if callable(residual) else residual
         cols = []
         for i, x in enumerate(xs):
             slope = penalty.format(b=f"max(w.b{i})")
             cols.append(
-                f"max(w.b{i}) - {gamma} * (sum(({weight}) * d.{x} * ({residual.format(z=z)})) "
+                f"max(w.b{i}) - {gamma} * (sum(({weight}) * d.{x} * ({res.format(z=z)})) "
                 f"/ sum({weight}) + {slope}) AS b{i}"
             )
         ctes.append(
-            f"{prefix}{t + 1} AS (SELECT {', '.join(cols)} FROM {data} d CROSS JOIN {prefix}{t} w WHERE {rows})"
+            f"{prefix}{t + 1} AS (SELECT {', '.join(cols)} FROM {data} d "
+            f"CROSS JOIN {prefix}{t} w {joins(t)} WHERE {rows})"
         )
     return ",\n".join(ctes), f"{prefix}{steps}"
 
 
+def solve_ctes(
+    data: str, xs: Sequence[str], ridge: float = 0.0, prefix: str = "s", where: str = "TRUE", y: str = "y"
+) -> tuple[str, str]:
+    """Chained CTEs that solve the normal equations by elimination; the last one has ``b0, b1, ...``."""
+    n = len(xs)
+    cells = []
+    for i, a in enumerate(xs):
+        for j, b in enumerate(xs):
+            extra = f" + {2 * ridge} * count(*)" if i == j else ""
+            cells.append(f'sum(d."{a}" * d."{b}"){extra} AS a{i}_{j}')
+        cells.append(f'sum(d."{a}" * d.{y}) AS a{i}_{n}')
+    ctes = [f"{prefix}0 AS (SELECT {', '.join(cells)} FROM {data} d WHERE {where})"]
+    for k in range(n):
+        cells = []
+        for i in range(n):
+            for j in range(k + 1, n + 1):
+                if i == k:
+                    cells.append(f"a{k}_{j} / a{k}_{k} AS a{k}_{j}")
+                else:
+                    cells.append(f"a{i}_{j} - a{i}_{k} / a{k}_{k} * a{k}_{j} AS a{i}_{j}")
+        ctes.append(f"{prefix}{k + 1} AS (SELECT {', '.join(cells)} FROM {prefix}{k})")
+    ctes.append(
+        f"{prefix}w AS (SELECT {', '.join(f'a{i}_{n} AS b{i}' for i in range(n))} FROM {prefix}{n})"
+    )
+    return ",\n".join(ctes), f"{prefix}w"
+
+
 def weights_sql(xs: Sequence[str], relation: str) -> str:
     """``(feature, weight)`` rows from a one-row relation."""
     return " UNION ALL ".join(

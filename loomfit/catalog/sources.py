@@ -237,7 +237,7 @@ def missing_counts(spark, sf):
 
 def _moments_sql(relation: str, columns) -> str:
     return f"WITH p AS ({relation}) " + " UNION ALL ".join(
-        f"SELECT '{c}' AS name, {rs(f'avg({c})')} AS mean, {rs(f'stddev_pop({c})')} AS std FROM p"
+        f"SELECT '{c}' AS name, {rs(f'avg({c})', 9)} AS mean, {rs(f'stddev_pop({c})', 9)} AS std FROM p"
         for c in columns
     )
 
@@ -245,7 +245,7 @@ def _moments_sql(relation: str, columns) -> str:
 def _moments(spark, df, columns):
     rows = [(c, p.mean, p.std) for c, p in st.profile(df, columns).items()]
     return spark.createDataFrame(rows, "name string, mean double, std double").select(
-        "name", r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std")
+        "name", r(F.col("mean"), 9).alias("mean"), r(F.col("std"), 9).alias("std")
     )
 
 
