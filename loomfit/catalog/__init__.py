@@ -1,6 +1,15 @@
 """All registered queries."""
 
-from . import metrics, preparation, sampling, sources  # noqa: F401
+from . import (  # noqa: F401
+    clusters,
+    metrics,
+    models,
+    preparation,
+    sampling,
+    sources,
+    tuning,
+    workflows,
+)
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

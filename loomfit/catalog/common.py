@@ -229,5 +229,5 @@ def weights_sql(xs: Sequence[str], relation: str) -> str:
     )
 
 
-def weight_rows(model, spark: SparkSession) -> DataFrame:
-    return model.weight_table(spark).select("feature", r(F.col("weight")).alias("weight"))
+def weight_rows(model, spark: SparkSession, places: int = 6) -> DataFrame:
+    return model.weight_table(spark).select("feature", r(F.col("weight"), places).alias("weight"))
