@@ -225,8 +225,8 @@ _centres, _last = lloyd_ctes(
 @query(
     "resample_downsample_to_centres",
     f"WITH src AS ({DOC_SQL}), pts AS (SELECT doc_id AS id, [chars, lines]::DOUBLE[] AS f FROM src WHERE y = -1), "
-    f"{_centres} SELECT doc_id, {rs('chars')} AS chars, {rs('lines')} AS lines, y FROM src WHERE y = 1 "
-    f"UNION ALL SELECT NULL, {rs('c[1]')}, {rs('c[2]')}, -1 FROM {_last}",
+    f"{_centres} SELECT doc_id, {rs('chars', 9)} AS chars, {rs('lines', 9)} AS lines, y FROM src WHERE y = 1 "
+    f"UNION ALL SELECT NULL, {rs('c[1]', 9)}, {rs('c[2]', 9)}, -1 FROM {_last}",
 )
 def to_centres(spark, sf):
     docs = documents(spark, sf)
@@ -236,4 +236,4 @@ def to_centres(spark, sf):
     out = downsample_to_centres(
         docs, "doc_id", ["chars", "lines"], "y", max_iter=2, init=np.array(first, dtype=float)
     )
-    return out.select("doc_id", r(F.col("chars")).alias("chars"), r(F.col("lines")).alias("lines"), "y")
+    return out.select("doc_id", r(F.col("chars"), 9).alias("chars"), r(F.col("lines"), 9).alias("lines"), "y")

@@ -13,6 +13,7 @@ from ..operators.logistic import Logistic
 from ..operators.sampling import split, upsample_copies
 from ..plans import preparation as prep
 from ..plans.tuning import GridSearch
+from ..session import work_folder
 from ..sources import tables
 from ..sources.dictionary import ColumnSpec
 from .common import LOGISTIC, PART_SPEC, PART_SQL, descent_ctes, query, r, rank_sql, rs, score_sql, solve_ctes, table
@@ -85,6 +86,11 @@ _DOC_FIT, _DOC_W = descent_ctes("ev", _DOC_X, 5, 0.324742, LOGISTIC, weight="d.c
 
 
 def _documents(spark, sf):
+    """Features and labels of documents, extracted once: the workflow reads them many times."""
+    return tables.load_once(_extracted(spark, sf), work_folder(spark))
+
+
+def _extracted(spark, sf):
     return tables.join_labels(
         table(spark, sf, "documents").select(
             "doc_id",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.table import TrainingTable
-from ..session import MAX_CLASSES, MEDIAN_VALUES
+from ..session import MAX_CLASSES
 from .scalars import quoted
 
 BINS = 4096
@@ -33,7 +33,6 @@ class ColumnProfile:
     std: float | None = None
     low: Any = None
     high: Any = None
-    distinct: int = 0
 
     def filled(self, value: float) -> "ColumnProfile":
         """The profile after missing values are replaced by ``value``."""
@@ -49,7 +48,6 @@ class ColumnProfile:
             std=math.sqrt(var),
             low=min(self.low, value),
             high=max(self.high, value),
-            distinct=self.distinct + 1,
         )
 
 
@@ -72,22 +70,28 @@ def unfold(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> Profile:
-    """Counts, missing counts, mean, population deviation, range and approximate distinct counts."""
+    """Counts, missing counts, mean, population deviation and range of columns.
+
+    Strings are profiled by their hash: that they are all equal is all that is asked of them. This
+    keeps every aggregate buffer of fixed size, so the whole pass runs as one generated hash
+    aggregate.
+    """
     if not columns:
         return {}
+    h = F.when(F.col("s").isNotNull(), F.xxhash64("s"))
     rows = (
         unfold(df, columns)
+        .select("c", "v", h.alias("h"))
         .groupBy("c")
         .agg(
             F.count("*").alias("n"),
-            (F.count("v") + F.count("s")).alias("present"),
+            (F.count("v") + F.count("h")).alias("present"),
             F.avg("v").alias("mean"),
             F.stddev_pop("v").alias("std"),
             F.min("v").alias("low"),
             F.max("v").alias("high"),
-            F.min("s").alias("s_low"),
-            F.max("s").alias("s_high"),
-            (F.approx_count_distinct("v") + F.approx_count_distinct("s")).alias("distinct"),
+            F.min("h").alias("h_low"),
+            F.max("h").alias("h_high"),
         )
         .collect()
     )
@@ -98,43 +102,35 @@ def profile(df: DataFrame, columns: Sequence[str]) -> Profile:
         if r is None:
             out[name] = ColumnProfile(number, 0, 0)
         else:
-            low, high = (r["low"], r["high"]) if number else (r["s_low"], r["s_high"])
-            out[name] = ColumnProfile(
-                number, r["n"], r["n"] - r["present"], r["mean"], r["std"], low, high, r["distinct"]
-            )
+            low, high = (r["low"], r["high"]) if number else (r["h_low"], r["h_high"])
+            out[name] = ColumnProfile(number, r["n"], r["n"] - r["present"], r["mean"], r["std"], low, high)
     return out
 
 
 def medians(df: DataFrame, columns: Sequence[str], known: Profile) -> dict[str, float | None]:
-    """Exact medians of numeric columns (mean of the middle two), missing values aside.
-
-    Columns with few distinct values are solved from their value counts in one aggregate. The
-    others are solved by narrowing: each pass counts the values in equal bins between two bounds and
-    keeps the bin that holds the middle, so memory stays fixed however many values there are.
-    """
-    out: dict[str, float | None] = {c: None for c in columns}
+    """Exact medians of numeric columns (mean of the middle two), missing values aside."""
     present = [c for c in columns if known[c].n > known[c].n_missing]
-    few = [c for c in present if known[c].distinct <= MEDIAN_VALUES]
-    if few:
-        rows = unfold(df, few).groupBy("c").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()
-        out.update({few[r["c"]]: r["m"] for r in rows})
-    many = [c for c in present if known[c].distinct > MEDIAN_VALUES]
-    if many:
-        wanted = {}
-        for c in many:
-            n = known[c].n - known[c].n_missing
-            wanted[c] = ((n - 1) // 2, n // 2)
-        values = order_statistics(df, wanted, known)
-        for c in many:
-            lo, hi = (values[c, r] for r in wanted[c])
-            out[c] = 0.5 * lo + 0.5 * hi
+    wanted = {}
+    for c in present:
+        n = known[c].n - known[c].n_missing
+        wanted[c] = ((n - 1) // 2, n // 2)
+    values = order_statistics(df, wanted, known)
+    out: dict[str, float | None] = {c: None for c in columns}
+    for c in present:
+        lo, hi = (values[c, r] for r in wanted[c])
+        out[c] = 0.5 * lo + 0.5 * hi
     return out
 
 
 def order_statistics(
     df: DataFrame, wanted: Mapping[str, Sequence[int]], known: Profile
 ) -> dict[tuple[str, int], float]:
-    """The r-th smallest value (from 0) of columns, by narrowing bounds; all targets together."""
+    """The r-th smallest value (from 0) of columns, by narrowing bounds; all targets together.
+
+    Each pass counts the values in equal bins between two bounds and keeps the bin that holds the
+    target. A bin with a single value is the answer, so survey codes take one pass and continuous
+    columns a few; memory stays fixed however many distinct values there are.
+    """
     solved: dict[tuple[str, int], float] = {}
     # target -> (low, high, number of values below low)
     open_: dict[tuple[str, int], tuple[float, float, int]] = {
@@ -184,20 +180,19 @@ def class_counts_of(
     df: DataFrame, columns: Sequence[str], known: Profile, limit: int = MAX_CLASSES
 ) -> dict[str, list[tuple[Any, int]]]:
     """Sorted distinct values of categorical columns with their counts; a missing class comes last."""
-    wide = [c for c in columns if known[c].distinct > 1.2 * limit + 10]
-    if wide:
-        raise ValueError(f"columns with more than {limit} distinct values: {wide}")
     if not columns:
         return {}
-    rows = unfold(df, columns).groupBy("c", "v", "s").count().collect()
+    most = len(columns) * (limit + 1)
+    rows = unfold(df, columns).groupBy("c", "v", "s").count().limit(most + 1).collect()
     out: dict[str, list[tuple[Any, int]]] = {c: [] for c in columns}
     for r in rows:
         name = columns[r["c"]]
         out[name].append((r["v"] if known[name].numeric else r["s"], r["count"]))
-    for name, classes in out.items():
+    wide = [c for c, classes in out.items() if len([v for v, _ in classes if v is not None]) > limit]
+    if wide or len(rows) > most:
+        raise ValueError(f"columns with more than {limit} distinct values: {wide or columns}")
+    for classes in out.values():
         classes.sort(key=lambda vc: (vc[0] is None, vc[0] if vc[0] is not None else 0))
-        if len(classes) > limit + 1:
-            raise ValueError(f"column {name} has more than {limit} distinct values")
     return out
 
 

@@ -91,15 +91,18 @@ class Cut:
     """The last row, in seeded order, of the first r rows of a stratum."""
 
     key: str | None
-    tie: Any
+    tie: Any = None
+    kind: Any = None
     everything: bool = False
 
     def covers(self, key: Column, tie: Column) -> Column:
+        """Whether a row is at or before the cut; one comparison, so the hash is computed once."""
         if self.everything:
             return F.lit(True)
         if self.key is None:
             return F.lit(False)
-        return (key < self.key) | ((key == self.key) & (tie <= F.lit(self.tie)))
+        here = F.struct(key.alias("key"), tie.alias("tie"))
+        return here <= F.struct(F.lit(self.key).alias("key"), F.lit(self.tie).cast(self.kind).alias("tie"))
 
 
 class Positions:
@@ -134,9 +137,9 @@ class Positions:
             sizes = sorted(self._sizes.get(stratum, {}).items())
             for r in targets:
                 if r <= 0:
-                    found[stratum, r] = Cut(None, None)
+                    found[stratum, r] = Cut(None)
                 elif r >= self.count(stratum):
-                    found[stratum, r] = Cut(None, None, everything=True)
+                    found[stratum, r] = Cut(None, everything=True)
                 else:
                     before = 0
                     for bucket, n in sizes:
@@ -145,13 +148,15 @@ class Positions:
                             break
                         before += n
         if wanted:
-            here = [
-                (F.col(STRATUM) == F.lit(s)) & (F.col(BUCKET) == b) & F.col("__within").isin(list(w))
-                for (s, b), w in wanted.items()
-            ]
-            in_bucket = [
-                (F.col(STRATUM) == F.lit(s)) & (F.col(BUCKET) == b) for s, b in wanted
-            ]
+            kind = self._keyed.schema[TIE].dataType
+            in_bucket, here = [], []
+            for s in {s for s, _ in wanted}:
+                spots = [(b, w) for (t, b), ws in wanted.items() if t == s for w in ws]
+                in_bucket.append((F.col(STRATUM) == F.lit(s)) & F.col(BUCKET).isin([b for b, _ in spots]))
+                at = F.struct(BUCKET, F.col("__within"))
+                here.append(
+                    (F.col(STRATUM) == F.lit(s)) & at.isin([F.struct(F.lit(b), F.lit(w)) for b, w in spots])
+                )
             inside = Window.partitionBy(STRATUM, BUCKET).orderBy(KEY, TIE)
             rows = (
                 self._keyed.filter(_any(in_bucket))
@@ -161,7 +166,7 @@ class Positions:
             )
             for row in rows:
                 rank = wanted[row[STRATUM], row[BUCKET]][row["__within"]]
-                found[row[STRATUM], rank] = Cut(row[KEY], row[TIE])
+                found[row[STRATUM], rank] = Cut(row[KEY], row[TIE], kind)
         return {s: [found[s, r] for r in targets] for s, targets in ranks.items()}
 
     def first(self, n: Mapping[Any, int]) -> Column:

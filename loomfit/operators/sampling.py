@@ -96,7 +96,8 @@ def kfold(df: DataFrame, id_col: str, k: int, seed: int = 1) -> Folds:
     positions = row_positions(df, id_col, seed)
     size = positions.count() // k
     fold = positions.block({0: [size * (i + 1) for i in range(k)]})
-    return Folds(df.withColumn("fold", fold).filter(F.col("fold") >= 0), k)
+    # a filter of its own: filtering on the fold column would compute the folds twice
+    return Folds(df.filter(positions.first({0: size * k})).withColumn("fold", fold), k)
 
 
 def stratified_upsampled_folds(
@@ -113,7 +114,8 @@ def stratified_upsampled_folds(
     if not all(size.values()):
         raise ValueError("every fold needs rows of both classes")
     fold = positions.block({c: [n * (i + 1) for i in range(k)] for c, n in size.items()})
-    folded = df.withColumn("fold", fold).filter(F.col("fold") >= 0)
+    inside = positions.first({c: n * k for c, n in size.items()})
+    folded = df.filter(inside).withColumn("fold", fold)
     keep, have = (k - 1) * size[MAJORITY], (k - 1) * size[MINORITY]
     n_copies = math.ceil(keep / have)
 

@@ -319,7 +319,7 @@ class AddBias(Step):
 
         def carry(before: Profile) -> Profile:
             n = next(iter(before.values())).n if before else 0
-            return {"bias": st.ColumnProfile(True, n, 0, 1.0, 0.0, 1.0, 1.0, 1), **before}
+            return {"bias": st.ColumnProfile(True, n, 0, 1.0, 0.0, 1.0, 1.0), **before}
 
         return Fitted(project, carry)
 

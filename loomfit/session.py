@@ -15,8 +15,6 @@ TASK_STATE_BYTES = 256 * 1024 * 1024
 BATCH_ROWS_BYTES = 32 * 1024 * 1024
 # Distinct values one categorical column may expand into.
 MAX_CLASSES = 1000
-# Distinct values up to which a column's median is taken from its value counts in one aggregate.
-MEDIAN_VALUES = 50_000
 # Distinct strata for which exact positions are tracked on the driver.
 MAX_STRATA = 64
 
