@@ -122,7 +122,7 @@ class ClusterEnsemble:
         table = TrainingTable.build(
             weighted, features, label, weights=(F.col("wt"), F.col("wv"), len(chosen))
         )
-        with table:
+        with table.kept(max(m.max_iters for m in models)):
             w, _ = Logistic.train(models, table, columns)
             kernel, size = sums.evaluation_kernel(w, np.array(columns), table.n_weights, True)
             facts = table.sum(kernel, size).reshape(2, 7, len(models))[0]

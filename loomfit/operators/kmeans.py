@@ -131,7 +131,7 @@ class KMeans:
         table = TrainingTable(
             df.select(column.alias("f"), *keep), dim, has_id=bool(keep)
         )
-        with table:
+        with table.kept(min(self.max_iter, 20)):
             centres = np.array(self.init, dtype=float) if given else self.start(table.df)
             last, iteration, moved = centres, 0, np.inf
             while iteration < self.max_iter and moved > TOLERANCE:

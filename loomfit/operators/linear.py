@@ -227,7 +227,7 @@ def descend(models, picked, table, columns, w, kind, step) -> None:
         if not steps:
             continue
         if key is None:
-            with table:
+            with table.kept(steps):
                 _run(models, members, lambda t: table, columns, w, kind, step, steps)
         else:
             batch_size, seed, column = key

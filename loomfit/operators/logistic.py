@@ -90,7 +90,7 @@ class ImbalancedLogistic(Estimator):
         picked = np.array(columns) if table.n_weights else None
         names = [c for c in table.df.columns if c != "id"]
         ones = F.array(*[F.lit(1.0)] * len(models))
-        with table:
+        with table.kept(iters.max(initial=0)):
             negatives = table.df.select(*names).filter(F.col("y") <= 0).withColumn("p", ones)
             positives = table.df.select(*names).filter(F.col("y") > 0).withColumn("p", ones)
             history: list[np.ndarray] = []

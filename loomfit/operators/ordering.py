@@ -125,17 +125,20 @@ class Positions:
         if len(self._sizes) > MAX_STRATA:
             raise ValueError(f"more than {MAX_STRATA} strata")
         self.counts = {s: sum(sizes.values()) for s, sizes in self._sizes.items()}
+        self._found: dict[tuple[Any, int], Cut] = {}
 
     def count(self, stratum: Any = 0) -> int:
         return self.counts.get(stratum, 0)
 
     def cuts(self, ranks: Mapping[Any, Sequence[int]]) -> dict[Any, list[Cut]]:
-        """For each stratum and each r, the cut after the first r rows. One small job for all."""
-        found: dict[tuple[Any, int], Cut] = {}
+        """For each stratum and each r, the cut after the first r rows. One small job for all new ones."""
+        found = self._found
         wanted: dict[tuple[Any, str], dict[int, int]] = {}  # (stratum, bucket) -> {within: rank}
         for stratum, targets in ranks.items():
             sizes = sorted(self._sizes.get(stratum, {}).items())
             for r in targets:
+                if (stratum, r) in found:
+                    continue
                 if r <= 0:
                     found[stratum, r] = Cut(None)
                 elif r >= self.count(stratum):

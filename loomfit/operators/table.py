@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import quoted
-from ..session import BATCH_ROWS_BYTES, check_state_size, work_folder
+from ..session import BATCH_ROWS_BYTES, SPREAD_ROWS, check_state_size, work_folder
 from . import sums
 from .sampling import Folds, batches
 
@@ -83,7 +84,7 @@ class TrainingTable:
     repeated: bool = False
     tasks: int | None = None
     _grams: list[Gram] | None = field(default=None, repr=False)
-    _users: int = field(default=0, repr=False)
+    _kept: bool = field(default=False, repr=False)
 
     @classmethod
     def build(
@@ -139,21 +140,34 @@ class TrainingTable:
             columns.append(quoted(id_col).alias("id"))
         return cls(df.select(*columns), dim, n_weights, n_folds, id_col is not None, repeated)
 
-    def __enter__(self) -> "TrainingTable":
-        """Keep the vectors near the executors for repeated passes; lost blocks are recomputed."""
-        self._users += 1
-        if self._users > 1:
-            return self
-        self.df = self.df.persist(StorageLevel.MEMORY_AND_DISK)
-        self.tasks = (
-            self.df.select(F.spark_partition_id().alias("p")).agg(F.max("p") + 1).first()[0] or 1
-        )
-        return self
+    @contextmanager
+    def kept(self, passes: int) -> Iterator["TrainingTable"]:
+        """Keep the vectors near the executors for repeated passes; lost blocks are recomputed.
 
-    def __exit__(self, *_) -> None:
-        self._users -= 1
-        if not self._users:
-            self.df.unpersist()
+        A table that comes in far fewer pieces than there are cores is spread out first, where the
+        passes to come are worth that.
+        """
+        if self._kept:
+            yield self
+            return
+        source, stored = self.df, self.df.persist(StorageLevel.MEMORY_AND_DISK)
+        self.df, self._kept = stored, True
+        try:
+            facts = stored.select(F.spark_partition_id().alias("p")).agg(
+                F.max("p").alias("last"), F.count("*").alias("n")
+            )
+            row = facts.first()
+            self.tasks = 1 if row["last"] is None else row["last"] + 1
+            cores = stored.sparkSession.sparkContext.defaultParallelism
+            if self.tasks * 2 <= cores and row["n"] * passes >= SPREAD_ROWS * self.tasks:
+                self.df = stored.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+                self.df.count()
+                stored.unpersist()
+                stored, self.tasks = self.df, cores
+            yield self
+        finally:
+            self.df, self._kept = source, False
+            stored.unpersist()
 
     def sum(self, kernel, size: int) -> np.ndarray:
         check_state_size(size, "this pass")

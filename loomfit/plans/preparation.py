@@ -286,21 +286,32 @@ class OneHot(Step):
         }
         if self.drop_last:
             classes = {c: found[:-1] for c, found in classes.items()}
-        indicators = [(c, v, class_column(c, v)) for c in names for v in classes[c]]
-        numeric = {c: scan.profile[c].numeric for c in names}
+        # SQL text: thousands of indicators would be slow to build one Column object at a time
+        made = []
+        for c in names:
+            kind = "double" if scan.profile[c].numeric else "string"
+            for v in classes[c]:
+                hit = f"CAST({sql_name(c)} AS {kind}) <=> {sql_literal(v)}"
+                made.append(f"CAST({hit} AS double) AS {sql_name(class_column(c, v))}")
 
         def project(df: DataFrame) -> DataFrame:
-            kept = [quoted(c) for c in df.columns if c not in classes]
-            made = []
-            for c, v, name in indicators:
-                x = quoted(c).cast("double") if numeric[c] else quoted(c).cast("string")
-                hit = x.isNull() if v is None else x.eqNullSafe(F.lit(v))
-                made.append(F.when(hit, 1.0).otherwise(0.0).alias(name))
-            return df.select(*kept, *made)
+            return df.selectExpr(*[sql_name(c) for c in df.columns if c not in classes], *made)
 
         return Fitted(project, state=classes)
 
 
+def sql_name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def sql_literal(value: float | str | None) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST('{value!r}' AS double)"
+
+
 def class_column(column: str, value: Any) -> str:
     return f"{column}__{'nan' if value is None else value}"
 
@@ -372,7 +383,7 @@ class Pipeline:
 
     steps: Sequence[Step]
 
-    def fit(self, df: DataFrame, spec: ColumnSpec) -> FittedPipeline:
+    def _run(self, df: DataFrame, spec: ColumnSpec) -> tuple[FittedPipeline, DataFrame]:
         known: Profile | None = None
         fitted = []
         for step in self.steps:
@@ -381,10 +392,13 @@ class Pipeline:
             fitted.append(done)
             known = done.carry(scan.profile) if scan.profiled else None
             df = done.transform(df)
-        return FittedPipeline(tuple(fitted), tuple(spec.features(df.columns)))
+        return FittedPipeline(tuple(fitted), tuple(spec.features(df.columns))), df
+
+    def fit(self, df: DataFrame, spec: ColumnSpec) -> FittedPipeline:
+        return self._run(df, spec)[0]
 
     def fit_transform(self, df: DataFrame, spec: ColumnSpec) -> DataFrame:
-        return self.fit(df, spec).transform(df)
+        return self._run(df, spec)[1]
 
 
 def survey_pipeline(drop_last: bool = True, degree: int | None = None) -> Pipeline:

@@ -234,7 +234,7 @@ class GridSearch:
             )
             every = [(i, fold) for i in members for fold in range(n_folds)]
             columns = [fold for _, fold in every]
-            with table:
+            with table.kept(max(getattr(models[i], "max_iters", 1) for i in members)):
                 w, _ = self.model_class.train([models[i] for i, _ in every], table, columns)
                 scores = score_models(table, w, columns, self.model_class.classifies, self.metric)
             for (i, fold), (test, train) in zip(every, scores):
