@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metrics as m
+from ..functions import statistics as st
 from ..functions.scalars import quoted
 from ..operators.linear import Lasso, Ridge
 from ..operators.logistic import Logistic
 from ..plans.polynomial import Polynomial
-from ..plans.tuning import CrossValidation, GridSearch, Scores
+from ..plans.tuning import CrossValidation, GridSearch, Scores, grid_table
 from .common import (
     EVENT_FEATURES,
     EVENT_SQL,
@@ -26,6 +27,7 @@ from .common import (
     rs,
     score_sql,
     solve_ctes,
+    table,
 )
 from .sampling import stratified_ctes
 
@@ -302,3 +304,16 @@ def grid_stratified(spark, sf):
         Logistic, {"gamma": [0.324742, 1.0]}, m.accuracy, {"max_iters": 3}, k_folds=3, stratified=True
     )
     return _rounded(search.fit(purchases(spark, sf), XS, "y", "event_id"), spark)
+
+
+@query(
+    "tune_combinations",
+    "WITH a AS (SELECT l_discount, row_number() OVER (ORDER BY l_discount) - 1 AS i FROM (SELECT DISTINCT l_discount FROM lineitem)), "
+    "b AS (SELECT l_tax, row_number() OVER (ORDER BY l_tax) - 1 AS j, count(*) OVER () AS n FROM (SELECT DISTINCT l_tax FROM lineitem)) "
+    "SELECT (i * n + j)::INT AS combo, l_discount, l_tax FROM a, b",
+)
+def combinations(spark, sf):
+    """All pairs of the discounts and taxes that occur among the line items."""
+    df, columns = table(spark, sf, "lineitem"), ["l_discount", "l_tax"]
+    found = st.class_counts_of(df, columns, st.profile(df, columns))
+    return grid_table(spark, {c: [v for v, _ in found[c]] for c in columns}).withColumn("combo", F.col("combo").cast("int"))

@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions.scalars import feature_array, quoted
-from ..session import check_state_size
+from ..session import work_folder
 from . import sums
 from .ordering import uniform
 from .sampling import MAJORITY, MINORITY, class_counts
@@ -22,7 +23,6 @@ TOLERANCE = 1e-9
 
 def nearest_centre(vector: Column, centres: np.ndarray) -> Column:
     """Index of the nearest centre, ties to the lowest index, over Arrow batches."""
-    check_state_size(centres.size, "the centre table")
     dim = centres.shape[1]
 
     @F.arrow_udf("int")
@@ -32,6 +32,49 @@ def nearest_centre(vector: Column, centres: np.ndarray) -> Column:
     return index(vector.cast("array<double>"))
 
 
+def nearest_in_pieces(df: DataFrame, vector: str, centres: np.ndarray, name: str = "cluster") -> DataFrame:
+    """Add the index of the nearest of many centres.
+
+    The centres are sent to the tasks piece by piece. Each piece improves on the best distance so
+    far; between pieces the rows are kept in the shared folder, so a task holds one piece at a time.
+    """
+    k, dim = centres.shape
+    piece = max(1, session.TASK_STATE_BYTES // (8 * dim))
+    rows = df.withColumn(name, F.lit(-1)).withColumn("__best", F.lit(float("inf")))
+    for first in range(0, k, piece):
+        closer = _closer(centres[first : first + piece], first)
+        found = rows.withColumn("__near", closer(quoted(vector).cast("array<double>"), "__best", name))
+        rows = found.select(
+            *[quoted(c) for c in df.columns],
+            F.col("__near.j").alias(name),
+            F.col("__near.d").alias("__best"),
+        )
+        if first + piece < k:
+            path = work_folder(df.sparkSession)
+            rows.write.parquet(path)
+            rows = df.sparkSession.read.parquet(path)
+    return rows.drop("__best")
+
+
+def _closer(part: np.ndarray, first: int):
+    """Compares the best distance so far with one piece of the centres."""
+    dim = part.shape[1]
+
+    @F.arrow_udf("struct<d: double, j: int>")
+    def closer(v: pa.Array, best: pa.Array, at: pa.Array) -> pa.Array:
+        x = sums.vectors(v, dim)
+        index = sums.assign(x, part)
+        d = ((x - part[index]) ** 2).sum(axis=1)
+        known = best.to_numpy(zero_copy_only=False)
+        better = d < known
+        nearest = np.where(better, index + first, at.to_numpy(zero_copy_only=False))
+        return pa.StructArray.from_arrays(
+            [pa.array(np.where(better, d, known)), pa.array(nearest, pa.int32())], names=["d", "j"]
+        )
+
+    return closer
+
+
 def distance_sum(vector: Column, centres: np.ndarray) -> Column:
     """Sum of the distances of a row to all centres."""
     dim = centres.shape[1]
@@ -47,6 +90,25 @@ def distance_sum(vector: Column, centres: np.ndarray) -> Column:
     return total(vector)
 
 
+def shipped_whole(centres: np.ndarray) -> bool:
+    """Whether all centres, and the sums per centre, fit into one pass."""
+    return centres.nbytes + 8 * len(centres) <= session.TASK_STATE_BYTES
+
+
+def means_in_pieces(df: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """New centres where there are too many to sum per task: rows are averaged by a shuffle."""
+    means = (
+        nearest_in_pieces(df.select("f"), "f", centres)
+        .select("cluster", F.posexplode("f").alias("pos", "v"))
+        .groupBy("cluster", "pos")
+        .agg(F.avg("v").alias("v"))
+        .toArrow()
+    )
+    out = centres.copy()
+    out[means["cluster"].to_numpy(), means["pos"].to_numpy()] = means["v"].to_numpy()
+    return out
+
+
 @dataclass(frozen=True)
 class KMeansModel:
     features: tuple[str, ...] | None
@@ -60,11 +122,16 @@ class KMeansModel:
 
     def assign(self, df: DataFrame, name: str = "cluster") -> DataFrame:
         """Add the index of the nearest final centre."""
-        return df.withColumn(name, nearest_centre(self._vector(), self.centres))
+        return self._nearest(df, self.centres, name)
+
+    def _nearest(self, df: DataFrame, centres: np.ndarray, name: str) -> DataFrame:
+        if shipped_whole(centres):
+            return df.withColumn(name, nearest_centre(self._vector(), centres))
+        return nearest_in_pieces(df.withColumn("__f", self._vector()), "__f", centres, name).drop("__f")
 
     def training_clusters(self, df: DataFrame, name: str = "cluster") -> DataFrame:
         """Add the index that led to the final centres (nearest centre before the last update)."""
-        return df.withColumn(name, nearest_centre(self._vector(), self.last_centres))
+        return self._nearest(df, self.last_centres, name)
 
     def centre_table(self, spark: SparkSession) -> DataFrame:
         """``(cluster, feature, value)`` rows."""
@@ -122,7 +189,6 @@ class KMeans:
         column = quoted(vector).cast("array<double>") if vector else feature_array(names)
         dim = vector_size(df, vector) if vector else len(names)
         given = not isinstance(self.init, str)
-        check_state_size(self.n_clusters * dim, "the centre table")
         if not given and self.init != "spread":
             raise ValueError("init is `spread` or an array of centres")
         if not given and id_col is None:
@@ -135,12 +201,15 @@ class KMeans:
             centres = np.array(self.init, dtype=float) if given else self.start(table.df)
             last, iteration, moved = centres, 0, np.inf
             while iteration < self.max_iter and moved > TOLERANCE:
-                kernel, size = sums.cluster_kernel(centres)
-                flat = table.sum(kernel, size)
-                k = len(centres)
-                n, total = flat[:k, None], flat[k:].reshape(k, dim)
                 last = centres
-                centres = np.where(n > 0, total / np.maximum(n, 1), last)
+                if shipped_whole(centres):
+                    kernel, size = sums.cluster_kernel(centres)
+                    flat = table.sum(kernel, size)
+                    k = len(centres)
+                    n, total = flat[:k, None], flat[k:].reshape(k, dim)
+                    centres = np.where(n > 0, total / np.maximum(n, 1), last)
+                else:
+                    centres = means_in_pieces(table.df, last)
                 moved = np.abs(centres - last).max()
                 iteration += 1
         return KMeansModel(names, vector, centres, last, iteration)

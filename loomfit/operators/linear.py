@@ -194,6 +194,8 @@ class GradientDescent(Estimator):
     def train(cls, models, table, columns):
         w = np.column_stack([start(model, table.dim) for model in models])
         on_gram = [m for m, x in enumerate(models) if x.loss == "mse" and x.batch_size is None]
+        if on_gram and not table.gram_fits():
+            on_gram = []  # too many features for D x D sums: one pass per step instead
         if on_gram:
             grams = table.grams()
             for m in on_gram:

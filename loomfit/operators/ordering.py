@@ -25,7 +25,9 @@ from ..functions.scalars import quoted
 from ..session import MAX_STRATA
 
 KEY, BUCKET, TIE, STRATUM = "__key", "__bucket", "__tie", "__stratum"
-HEX_DIGITS = 3  # 4,096 buckets
+HEX_DIGITS = 3  # 4,096 buckets to count
+RANK_DIGITS = 4  # 65,536 buckets to sort
+REFINE_ROWS = 2_000_000  # largest bucket searched for a cut as it is; larger ones are counted finer
 
 
 def order_key(seed: Any, *parts: Column) -> Column:
@@ -48,9 +50,9 @@ def seeded_rank(
 ) -> DataFrame:
     """Add the 1-based position of each row in the seeded order, per value of ``by`` if given."""
     keyed = df.withColumn(KEY, order_key(seed, quoted(id_col))).withColumn(
-        BUCKET, F.substring(KEY, 1, HEX_DIGITS)
+        BUCKET, F.substring(KEY, 1, RANK_DIGITS)
     )
-    return _number_rows(keyed, df.columns, [by] if by else [], [KEY, id_col], name, 16**HEX_DIGITS)
+    return _number_rows(keyed, df.columns, [by] if by else [], [KEY, id_col], name)
 
 
 def id_rank(df: DataFrame, id_col: str, name: str = "rank", ranges: int = 256) -> DataFrame:
@@ -63,11 +65,11 @@ def id_rank(df: DataFrame, id_col: str, name: str = "rank", ranges: int = 256) -
         .transform(df.withColumn("__id", quoted(id_col).cast("double")))
         .drop("__id")
     )
-    return _number_rows(bucketed, df.columns, [], [id_col], name, ranges)
+    return _number_rows(bucketed, df.columns, [], [id_col], name)
 
 
 def _number_rows(
-    bucketed: DataFrame, columns: list[str], by: list[str], order: list[str], name: str, buckets: int
+    bucketed: DataFrame, columns: list[str], by: list[str], order: list[str], name: str
 ) -> DataFrame:
     """Number rows inside ordered buckets and add the sizes of the earlier buckets."""
     sizes = bucketed.groupBy(*by, BUCKET).agg(F.count("*").alias("__size"))
@@ -75,8 +77,8 @@ def _number_rows(
     offsets = sizes.select(
         *by, BUCKET, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before")
     )
-    if not by and buckets <= 16**HEX_DIGITS:
-        offsets = F.broadcast(offsets)  # at most one row per bucket
+    if not by:
+        offsets = F.broadcast(offsets)  # one row per bucket, of which there is a fixed number
     inside = Window.partitionBy(*by, BUCKET).orderBy(*[quoted(c) for c in order])
     return (
         bucketed.withColumn("__within", F.row_number().over(inside).cast("long"))
@@ -114,61 +116,65 @@ class Positions:
     def __init__(self, df: DataFrame, key: Column, tie: Column, by: Column | None = None):
         self.key, self.tie = key, tie
         self.by = F.lit(0) if by is None else by
-        self._keyed = df.select(self.by.alias(STRATUM), key.alias(KEY), tie.alias(TIE)).withColumn(
-            BUCKET, F.substring(KEY, 1, HEX_DIGITS)
-        )
-        strata = self._keyed.groupBy(STRATUM, BUCKET).agg(F.count("*").alias("n"))
-        rows = strata.limit(MAX_STRATA * 16**HEX_DIGITS + 1).collect()
-        self._sizes: dict[Any, dict[str, int]] = {}
-        for row in rows:
-            self._sizes.setdefault(row[STRATUM], {})[row[BUCKET]] = row["n"]
+        self._keyed = df.select(self.by.alias(STRATUM), key.alias(KEY), tie.alias(TIE))
+        self._sizes = self._bucket_sizes(self._keyed, HEX_DIGITS)
         if len(self._sizes) > MAX_STRATA:
             raise ValueError(f"more than {MAX_STRATA} strata")
         self.counts = {s: sum(sizes.values()) for s, sizes in self._sizes.items()}
         self._found: dict[tuple[Any, int], Cut] = {}
 
+    @staticmethod
+    def _bucket_sizes(keyed: DataFrame, digits: int) -> dict[Any, dict[str, int]]:
+        """Rows per stratum and key prefix."""
+        counted = keyed.groupBy(STRATUM, F.substring(KEY, 1, digits).alias(BUCKET)).agg(F.count("*").alias("n"))
+        sizes: dict[Any, dict[str, int]] = {}
+        for row in counted.limit(MAX_STRATA * 16**HEX_DIGITS + 1).collect():
+            sizes.setdefault(row[STRATUM], {})[row[BUCKET]] = row["n"]
+        return sizes
+
     def count(self, stratum: Any = 0) -> int:
         return self.counts.get(stratum, 0)
 
     def cuts(self, ranks: Mapping[Any, Sequence[int]]) -> dict[Any, list[Cut]]:
         """For each stratum and each r, the cut after the first r rows. One small job for all new ones."""
         found = self._found
-        wanted: dict[tuple[Any, str], dict[int, int]] = {}  # (stratum, bucket) -> {within: rank}
-        for stratum, targets in ranks.items():
-            sizes = sorted(self._sizes.get(stratum, {}).items())
-            for r in targets:
-                if (stratum, r) in found:
-                    continue
+        targets: dict[Any, list[tuple[int, int]]] = {}  # stratum -> (rank, rank in what is searched)
+        for stratum, wanted in ranks.items():
+            for r in wanted:
                 if r <= 0:
                     found[stratum, r] = Cut(None)
                 elif r >= self.count(stratum):
                     found[stratum, r] = Cut(None, everything=True)
-                else:
-                    before = 0
-                    for bucket, n in sizes:
-                        if before + n >= r:
-                            wanted.setdefault((stratum, bucket), {})[r - before] = r
-                            break
-                        before += n
-        if wanted:
-            kind = self._keyed.schema[TIE].dataType
-            in_bucket, here = [], []
-            for s in {s for s, _ in wanted}:
-                spots = [(b, w) for (t, b), ws in wanted.items() if t == s for w in ws]
-                in_bucket.append((F.col(STRATUM) == F.lit(s)) & F.col(BUCKET).isin([b for b, _ in spots]))
-                at = F.struct(BUCKET, F.col("__within"))
-                here.append(
-                    (F.col(STRATUM) == F.lit(s)) & at.isin([F.struct(F.lit(b), F.lit(w)) for b, w in spots])
+                elif (stratum, r) not in found:
+                    targets.setdefault(stratum, []).append((r, r))
+        spots = _locate(targets, self._sizes)
+        digits = HEX_DIGITS
+        while spots and max(size for *_, size in spots) > REFINE_ROWS and digits < 30:
+            digits += HEX_DIGITS
+            finer = self._bucket_sizes(self._keyed.filter(_in_buckets(spots)), digits)
+            spots = [
+                spot
+                for stratum, prefix, rank, within, _ in spots
+                for spot in _locate(
+                    {stratum: [(rank, within)]},
+                    {stratum: {b: n for b, n in finer[stratum].items() if b.startswith(prefix)}},
                 )
+            ]
+        if spots:
+            kind = self._keyed.schema[TIE].dataType
+            prefix = F.substring(KEY, 1, digits)
             inside = Window.partitionBy(STRATUM, BUCKET).orderBy(KEY, TIE)
+            at = F.struct(STRATUM, BUCKET, "__within")
             rows = (
-                self._keyed.filter(_any(in_bucket))
+                self._keyed.filter(_in_buckets(spots))
+                .withColumn(BUCKET, prefix)
                 .withColumn("__within", F.row_number().over(inside))
-                .filter(_any(here))
+                .filter(at.isin([F.struct(F.lit(s), F.lit(b), F.lit(w)) for s, b, _, w, _ in spots]))
                 .collect()
             )
+            by_spot = {(s, b, w): rank for s, b, rank, w, _ in spots}
             for row in rows:
-                rank = wanted[row[STRATUM], row[BUCKET]][row["__within"]]
+                rank = by_spot[row[STRATUM], row[BUCKET], row["__within"]]
                 found[row[STRATUM], rank] = Cut(row[KEY], row[TIE], kind)
         return {s: [found[s, r] for r in targets] for s, targets in ranks.items()}
 
@@ -194,11 +200,27 @@ class Positions:
         return F.lit(-1) if out is None else out.otherwise(-1)
 
 
-def _any(conditions: Sequence[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
+def _locate(targets: Mapping[Any, Sequence[tuple[int, int]]], sizes: Mapping[Any, Mapping[str, int]]):
+    """Where targets fall: (stratum, bucket, rank, position within the bucket, bucket size)."""
+    spots = []
+    for stratum, wanted in targets.items():
+        before = 0
+        left = sorted(wanted, key=lambda t: t[1])
+        for bucket, n in sorted(sizes.get(stratum, {}).items()):
+            while left and left[0][1] <= before + n:
+                rank, at = left.pop(0)
+                spots.append((stratum, bucket, rank, at - before, n))
+            before += n
+    return spots
+
+
+def _in_buckets(spots) -> Column:
+    """Whether a keyed row is in a bucket that holds a cut; the hash is computed once per row."""
+    prefix = F.substring(KEY, 1, len(spots[0][1]))
+    pairs = {(stratum, bucket) for stratum, bucket, *_ in spots}
+    if len({s for s, _ in pairs}) == 1:
+        return (F.col(STRATUM) == F.lit(next(iter(pairs))[0])) & prefix.isin([b for _, b in pairs])
+    return F.struct(F.col(STRATUM), prefix).isin([F.struct(F.lit(s), F.lit(b)) for s, b in pairs])
 
 
 def row_positions(df: DataFrame, id_col: str, seed: int = 1, by: Column | None = None) -> Positions:

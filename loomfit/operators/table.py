@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import quoted
+from .. import session
 from ..session import BATCH_ROWS_BYTES, SPREAD_ROWS, check_state_size, work_folder
 from . import sums
 from .sampling import Folds, batches
@@ -174,6 +175,10 @@ class TrainingTable:
         columns = [c for c in self.df.columns if c != "id"]
         return sums.sum_rows(self.df.select(*columns), kernel, size, self.tasks)
 
+    def gram_fits(self) -> bool:
+        """Whether the cross products of all weightings are small enough to be summed at once."""
+        return max(self.n_folds, self.n_weights, 1) * (self.dim + 2) ** 2 * 8 <= session.TASK_STATE_BYTES
+
     def grams(self) -> list[Gram]:
         """One Gram per weighting (a single one without weights), all in one pass."""
         if self._grams is None:

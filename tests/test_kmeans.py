@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomfit import session
 from loomfit.operators.kmeans import KMeans, cluster_sizes, downsample_to_centres, nearest_centre
 
 
@@ -67,6 +68,17 @@ def test_start_is_the_seeded_race(df, points):
     assert np.allclose(model.centres, lloyd(points, chosen, 100)[0])
 
 
+def test_centres_in_pieces(df, points, monkeypatch):
+    """Centres sent piece by piece give the same clusters as centres sent whole."""
+    first = np.vstack([points[:7], [[500.0, 500.0]]])
+    want, last = lloyd(points, first, 3)
+    monkeypatch.setattr(session, "TASK_STATE_BYTES", 3 * 2 * 8)
+    model = KMeans(8, 3, init=first).fit(df, ["a", "b"])
+    assert np.allclose(model.centres, want)
+    got = {r["id"]: r["cluster"] for r in model.training_clusters(df).collect()}
+    assert [got[i] for i in range(len(points))] == list(last)
+
+
 def test_tie_goes_to_the_first_centre(spark):
     df = spark.createDataFrame([([0.0, 0.0],)], "v array<double>")
     centres = np.array([[9.0, 9.0], [1.0, 0.0], [0.0, 1.0]])

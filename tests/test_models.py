@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomfit import session
 from loomfit.functions import metrics as m
 from loomfit.operators import linear, logistic, sums, table
 from loomfit.operators.ensemble import ClusterEnsemble, EnsembleModel
@@ -49,6 +50,13 @@ def test_closed_forms(df, data):
     assert np.allclose(Ridge(0.3).fit(df, XS, "y").weights, want)
 
 
+def test_gd_without_room_for_the_gram(df, data, monkeypatch):
+    x, y = data
+    monkeypatch.setattr(session, "TASK_STATE_BYTES", 100)
+    want = descend(x, y, 6, 0.1, lambda w: -x.T @ (y - x @ w) / len(x))
+    assert np.allclose(GradientDescent(0.1, 6).fit(df, XS, "y").weights, want, atol=1e-12)
+
+
 def test_singular_gram_gives_the_shortest_solution(spark):
     df = spark.createDataFrame([(1.0, 1.0, 2.0), (2.0, 2.0, 4.0)], "a double, b double, y double")
     assert np.allclose(LeastSquares().fit(df, ["a", "b"], "y").weights, [1.0, 1.0])
@@ -239,8 +247,6 @@ def test_missing_feature_is_an_error(spark):
 
 
 def test_model_state_limit(df, monkeypatch):
-    from loomfit import session
-
     monkeypatch.setattr(session, "TASK_STATE_BYTES", 8)
     with pytest.raises(ValueError, match="limit"):
         LeastSquares().fit(df, XS, "y")

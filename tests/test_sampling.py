@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from loomfit.operators import sampling
+from loomfit.operators import ordering, sampling
 from loomfit.operators.ordering import id_rank, row_positions, seeded_rank
 
 
@@ -34,6 +34,16 @@ def test_positions_cut_exactly(spark):
         assert {r["id"] for r in got} == set(order[:n])
 
 
+def test_large_buckets_are_counted_finer(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "REFINE_ROWS", 0)
+    order = seeded(range(300))
+    df = spark.range(300)
+    got = df.filter(row_positions(df, "id").first({0: 123})).collect()
+    assert {r["id"] for r in got} == set(order[:123])
+    folds = sampling.kfold(df, "id", 7).df.collect()
+    assert {r["id"]: r["fold"] for r in folds} == {i: k // 42 for k, i in enumerate(order[:294])}
+
+
 def test_positions_with_string_ids(spark):
     df = spark.range(50).select(F.concat(F.lit("r"), "id").alias("id"))
     assert df.filter(row_positions(df, "id").first({0: 20})).count() == 20
