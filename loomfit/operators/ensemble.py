@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import linear_score, quoted, sign
+from ..functions.scalars import balanced_sum, linear_score, quoted, sign
 from . import sums
 from .logistic import Logistic
 from .sampling import MAJORITY, MINORITY, bootstrap_copies
@@ -30,19 +30,17 @@ class EnsembleModel:
     scores: tuple[float, ...]
     voting_weights: tuple[float, ...]
 
-    def votes(self) -> Column:
-        """The class predictions of all models, as an array."""
-        return F.array(*[sign(linear_score(self.features, w)) for w in self.weights.T])
+    def votes(self) -> list[Column]:
+        """The class prediction of each model."""
+        return [sign(linear_score(self.features, w)) for w in self.weights.T]
 
     def prediction(self, method: str = "percentage", percentage: float = 0.3) -> Column:
         """+1 if more than ``percentage`` of the models say so, or the sign of the weighted vote."""
         if method == "percentage":
-            yes = F.size(F.filter(self.votes(), lambda v: v > 0))
+            yes = balanced_sum([(v > 0).cast("int") for v in self.votes()])
             return F.when(yes > F.lit(percentage * len(self.clusters)), 1.0).otherwise(-1.0)
         if method == "weight_voting":
-            weights = F.array(*[F.lit(v) for v in self.voting_weights])
-            weighted = F.zip_with(self.votes(), weights, lambda v, w: v * w)
-            return sign(F.aggregate(weighted, F.lit(0.0), lambda s, v: s + v))
+            return sign(balanced_sum([v * F.lit(w) for v, w in zip(self.votes(), self.voting_weights)]))
         raise ValueError("method is either `percentage` or `weight_voting`")
 
     def transform(self, df: DataFrame, name: str = "prediction", **how) -> DataFrame:

@@ -17,6 +17,7 @@ from ..functions.scalars import quoted
 from .ordering import Positions, hash_number, id_rank, order_key, row_positions, seeded_rank
 
 MAJORITY, MINORITY = -1, 1
+DRAWS_PER_TASK = 5_000_000
 
 
 def stride(df: DataFrame, id_col: str, step: int = 50) -> DataFrame:
@@ -218,7 +219,10 @@ def bootstrap_copies(
     n = minority.count()
     if not n or not draws:
         raise ValueError("nothing to draw from")
-    pieces = [spark.range(size).select(F.lit(g).alias("group"), "id") for g, size in draws.items()]
+    pieces = [
+        spark.range(0, size, 1, size // DRAWS_PER_TASK + 1).select(F.lit(g).alias("group"), "id")
+        for g, size in draws.items()
+    ]
     drawn = (
         reduce(DataFrame.unionAll, pieces)
         .withColumn("__rank", hash_number(order_key(seed, F.col("group"), F.col("id"))) % n + 1)

@@ -145,8 +145,8 @@ class TrainingTable:
     def kept(self, passes: int) -> Iterator["TrainingTable"]:
         """Keep the vectors near the executors for repeated passes; lost blocks are recomputed.
 
-        A table that comes in far fewer pieces than there are cores is spread out first, where the
-        passes to come are worth that.
+        Where one piece holds more than twice a core's fair share of the rows, so that every pass
+        would wait for it, the table is spread out first if the passes to come are worth that.
         """
         if self._kept:
             yield self
@@ -154,13 +154,12 @@ class TrainingTable:
         source, stored = self.df, self.df.persist(StorageLevel.MEMORY_AND_DISK)
         self.df, self._kept = stored, True
         try:
-            facts = stored.select(F.spark_partition_id().alias("p")).agg(
-                F.max("p").alias("last"), F.count("*").alias("n")
-            )
-            row = facts.first()
+            pieces = stored.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+            row = pieces.agg(F.max("p").alias("last"), F.sum("n").alias("n"), F.max("n").alias("most")).first()
             self.tasks = 1 if row["last"] is None else row["last"] + 1
             cores = stored.sparkSession.sparkContext.defaultParallelism
-            if self.tasks * 2 <= cores and row["n"] * passes >= SPREAD_ROWS * self.tasks:
+            most, rows = row["most"] or 0, row["n"] or 0
+            if most > 2 * rows / cores and most * passes >= SPREAD_ROWS:
                 self.df = stored.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
                 self.df.count()
                 stored.unpersist()

@@ -13,8 +13,8 @@ DRIVER_SUM_BYTES = 32 * 1024 * 1024
 TASK_STATE_BYTES = 256 * 1024 * 1024
 # Bytes of mini-batch rows that one descent run may fetch; beyond it batches stay on the cluster.
 BATCH_ROWS_BYTES = 32 * 1024 * 1024
-# Rows read per task over all passes from which on spreading a table over idle cores pays.
-SPREAD_ROWS = 4_000_000
+# Rows of the largest piece of a table, times passes, from which on spreading the table pays.
+SPREAD_ROWS = 2_000_000
 # Distinct values one categorical column may expand into.
 MAX_CLASSES = 1000
 # Distinct strata for which exact positions are tracked on the driver.

@@ -60,17 +60,22 @@ def join_labels(features: DataFrame, labels: DataFrame, id_col: str) -> DataFram
 
 
 def load_once(df: DataFrame, path: str) -> DataFrame:
-    """Parse once, read many times: the columnar copy at ``path`` is written if it is absent."""
+    """Parse once, read many times: the columnar copy at ``path`` is written if there is none.
+
+    A copy counts once its write has finished; a folder left by a broken write is an error.
+    """
     spark = df.sparkSession
-    try:
-        return spark.read.schema(df.schema).parquet(path)
-    except Exception as missing:  # noqa: BLE001 - only a missing path means "not parsed yet"
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-    df.write.parquet(path)
+    if not _written(spark, path):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _written(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def predictions(df: DataFrame, id_col: str, prediction: str) -> DataFrame:
     """``(Id, Prediction)`` rows, after checking that every prediction is -1 or 1."""
     p = quoted(prediction)

@@ -196,3 +196,9 @@ def test_load_once_reads_the_copy(spark):
     first = tables.load_once(spark.range(5), path)
     second = tables.load_once(spark.range(5).filter("id < 0"), path)
     assert first.count() == second.count() == 5
+
+
+def test_load_once_refuses_a_broken_copy(spark, tmp_path):
+    (tmp_path / "copy" / "_temporary").mkdir(parents=True)
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        tables.load_once(spark.range(5), str(tmp_path / "copy"))
