@@ -26,6 +26,7 @@ from ..session import MAX_STRATA
 
 KEY, BUCKET, TIE, STRATUM = "__key", "__bucket", "__tie", "__stratum"
 HEX_DIGITS = 3  # 4,096 buckets to count
+KEY_DIGITS = 32  # length of a key
 RANK_DIGITS = 4  # 65,536 buckets to sort
 REFINE_ROWS = 2_000_000  # largest bucket searched for a cut as it is; larger ones are counted finer
 
@@ -149,7 +150,9 @@ class Positions:
                     targets.setdefault(stratum, []).append((r, r))
         spots = _locate(targets, self._sizes)
         digits = HEX_DIGITS
-        while spots and max(size for *_, size in spots) > REFINE_ROWS and digits < 30:
+        while spots and max(size for *_, size in spots) > REFINE_ROWS:
+            if digits >= KEY_DIGITS:
+                raise ValueError("one id has too many rows for a seeded order; ids must be unique")
             digits += HEX_DIGITS
             finer = self._bucket_sizes(self._keyed.filter(_in_buckets(spots)), digits)
             spots = [

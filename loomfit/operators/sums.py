@@ -88,20 +88,26 @@ def gram_kernel(dim: int, groups: int = 1, weighted: int = 0):
     """
     side = dim + 2
 
+    def products(x, y, w=None):
+        out = np.empty((side, side))
+        xw, yw = (x, y) if w is None else (x * w[:, None], y * w)
+        out[:dim, :dim] = xw.T @ x
+        out[:dim, dim] = out[dim, :dim] = xw.T @ y
+        out[:dim, -1] = out[-1, :dim] = xw.sum(axis=0)
+        out[dim, dim] = yw @ y
+        out[dim, -1] = out[-1, dim] = yw.sum()
+        out[-1, -1] = len(x) if w is None else w.sum()
+        return out.ravel()
+
     def kernel(batch):
-        x = vectors(batch.column("f"), dim)
-        z = np.column_stack([x, scalars(batch.column("y")), np.ones(len(x))])
+        x, y = vectors(batch.column("f"), dim), scalars(batch.column("y"))
         if weighted:
             wt = vectors(batch.column("wt"), weighted)
-            return np.concatenate([(z.T @ (z * wt[:, [k]])).ravel() for k in range(weighted)])
+            return np.concatenate([products(x, y, wt[:, k]) for k in range(weighted)])
         if groups > 1:
             fold = batch.column("fold").to_numpy(zero_copy_only=False)
-            out = []
-            for g in range(groups):
-                part = z[fold == g]
-                out.append((part.T @ part).ravel())
-            return np.concatenate(out)
-        return (z.T @ z).ravel()
+            return np.concatenate([products(x[fold == g], y[fold == g]) for g in range(groups)])
+        return products(x, y)
 
     return kernel, max(groups, weighted, 1) * side * side
 

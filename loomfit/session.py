@@ -21,27 +21,24 @@ MAX_CLASSES = 1000
 MAX_STRATA = 64
 
 
+_local_root: str | None = None
+
+
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder path under the cluster's shared checkpoint folder.
 
     The folder named in ``spark.checkpoint.dir`` is used. Only a local session without that
     setting falls back to a temporary folder of its own.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _local_root = root = _local_root or tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def enable_checkpoints(spark: SparkSession) -> None:
-    """Point reliable checkpoints at the shared folder, unless the cluster did so already."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_folder(spark))
-
-
 def check_state_size(n_values: int, what: str) -> None:
     """Refuse model state that is too large to ship with every task."""
     if n_values * 8 > TASK_STATE_BYTES:

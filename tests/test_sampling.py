@@ -35,7 +35,7 @@ def test_positions_cut_exactly(spark):
 
 
 def test_large_buckets_are_counted_finer(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "REFINE_ROWS", 0)
+    monkeypatch.setattr(ordering, "REFINE_ROWS", 1)
     order = seeded(range(300))
     df = spark.range(300)
     got = df.filter(row_positions(df, "id").first({0: 123})).collect()
@@ -44,6 +44,14 @@ def test_large_buckets_are_counted_finer(spark, monkeypatch):
     assert {r["id"]: r["fold"] for r in folds} == {i: k // 42 for k, i in enumerate(order[:294])}
 
 
+def test_an_id_with_most_rows_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "REFINE_ROWS", 50)
+    df = spark.range(300).select(F.when(F.col("id") < 100, 7).otherwise(F.col("id")).alias("id"))
+    ranks = [row_positions(df, "id")]
+    with pytest.raises(ValueError, match="unique"):
+        ranks[0].cuts({0: list(range(1, 300))})
+
+
 def test_positions_with_string_ids(spark):
     df = spark.range(50).select(F.concat(F.lit("r"), "id").alias("id"))
     assert df.filter(row_positions(df, "id").first({0: 20})).count() == 20
