@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     compression_licenses,
+    context_mixing,
     jaccard_join,
     language_codes,
     length_buckets,

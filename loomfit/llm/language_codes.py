@@ -157,8 +157,10 @@ class LanguageCodes:
         second = np.sort(losses, axis=1)[:, 1] if losses.shape[1] > 1 else np.full(len(losses), np.inf)
         return best, score, second - losses.min(axis=1) < MARGIN
 
-    def predict(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """One row per document: doc_id, lang_pred, score (0 to 1), ambiguous.
+    def predict(
+        self, docs: DataFrame, text_col: str = "text", keep_cols: tuple[str, ...] = ("doc_id",)
+    ) -> DataFrame:
+        """One row per document: the given columns, lang_pred, score (0 to 1), ambiguous.
 
         A text that is null or has no letter is ``und`` with score 0, as is every text if no language
         was learned. Ties go to the first language in alphabetical order. Repeated rows give repeated
@@ -169,30 +171,30 @@ class LanguageCodes:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fitted = model.value
             names = np.array([*fitted.languages, UNKNOWN], dtype=object)
-            for batch in small_batches(batches, "text"):
-                known = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
+            for batch in small_batches(batches, "__text"):
+                known = batch.column("__letters").to_numpy(zero_copy_only=False).astype(bool)
                 if fitted.languages:
-                    best, score, near = fitted.decode(fitted.margins(batch.column("text").to_pylist()))
+                    best, score, near = fitted.decode(fitted.margins(batch.column("__text").to_pylist()))
                 else:
                     known, best = np.zeros(len(known), bool), np.zeros(len(known), int)
                     score, near = np.zeros(len(known)), np.zeros(len(known), bool)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id"),
+                        *batch.columns[:-2],
                         pa.array(names[np.where(known, best, len(names) - 1)], pa.string()),
                         pa.array(np.where(known, score, 0.0)),
                         pa.array(near | ~known),
                     ],
-                    ["doc_id", "lang_pred", "score", "ambiguous"],
+                    [*keep_cols, "lang_pred", "score", "ambiguous"],
                 )
 
         rows = docs.select(
-            F.col(id_col).alias("doc_id"),
-            text_bytes(F.col(text_col)).alias("text"),
-            F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"),
+            *[F.col(c) for c in keep_cols],
+            text_bytes(F.col(text_col)).alias("__text"),
+            F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__letters"),
         )
-        kind = rows.schema["doc_id"].dataType.simpleString()
-        return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, ambiguous boolean")
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
+        return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double, ambiguous boolean")
 
 
 @query("op4_language_id")
