@@ -29,7 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near duplicates."""
     first = jaccard_join.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
