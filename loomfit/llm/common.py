@@ -154,3 +154,31 @@ def in_ranges(df: DataFrame, *by: str) -> DataFrame:
     column orders can be scanned part by part.
     """
     return keep(df.repartitionByRange(*[F.col(c) for c in by]).withColumn("part", F.spark_partition_id()))
+
+
+class Cells:
+    """A filter of fixed size: which of 2**bits cells, by the first bits of a 64-bit number, hold something.
+
+    It lets pass every number it was built from, and others by chance, so what passes is then joined
+    exactly. It takes 2**bits / 8 bytes, whatever the number of rows.
+    """
+
+    def __init__(self, numbers: DataFrame, bits: int):
+        """From the only column of ``numbers``; the cluster builds the filter in pieces."""
+        self.bits = bits
+        cell = F.shiftrightunsigned(F.col(numbers.columns[0]), 64 - bits) + 1
+        pieces = (
+            numbers.select(cell.alias("cell"))
+            .groupBy(F.bitmap_bucket_number("cell").alias("piece"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bitmap"))
+        )
+        self.packed = np.zeros((1 << bits) // 8, np.uint8)
+        for row in pieces.toLocalIterator():
+            piece = np.frombuffer(row["bitmap"], np.uint8)
+            begin = (row["piece"] - 1) * len(piece)
+            self.packed[begin : begin + len(piece)] = piece[: len(self.packed) - begin]
+
+    def holds(self, numbers: np.ndarray) -> np.ndarray:
+        """Whether each number, as a signed or unsigned 64-bit integer, passes."""
+        cell = numbers.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (self.packed[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0

@@ -24,12 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLDED, Spans, keep, query, read, small_batches, text_bytes
+from .common import FOLDED, Cells, Spans, keep, query, read, small_batches, text_bytes
 
 WORDS = 5
 PERCENT = 80
 HOT = 64  # nodes that share an n-gram from which on it is frequent
-FILTER_BITS = 24  # cells of the node filter, 2 MB whatever the number of nodes
+FILTER_BITS = 24  # cells of the filters of nodes and of frequent n-grams: 2 MB each at any size
+TOKEN_BITS = 26  # cells of the filter of shared n-grams, 8 MB
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -96,17 +97,14 @@ def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
-    """node and tokens, the whole set, of the given nodes, from the texts. A filter of fixed size is sent to the tasks."""
-    cell = F.shiftrightunsigned(F.col("node"), 64 - FILTER_BITS).cast("int").alias("cell")
-    cells = np.zeros(1 << FILTER_BITS, np.uint8)
-    cells[nodes.select(cell).distinct().toArrow().column("cell").to_numpy()] = 1
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(cells))
+    """node and tokens, the whole set, of the given nodes, from the texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(Cells(nodes.select("node"), FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value)
         for batch in small_batches(batches, "text"):
             named = [(_node(s), s) for s in shingles(batch.column("text"), words) if len(s)]
-            named = [(node, s) for node, s in named if wanted[(node & (1 << 64) - 1) >> 64 - FILTER_BITS]]
+            wanted = shared.value.holds(np.array([node for node, _ in named], np.int64))
+            named = [pair for pair, want in zip(named, wanted) if want]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([node for node, _ in named], pa.int64()), _lists([s for _, s in named])], ["node", "tokens"]
             )
@@ -115,6 +113,53 @@ def _sets(docs: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
     return found.join(nodes.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
 
 
+def _frequent_of(nodes: DataFrame, frequent: DataFrame) -> DataFrame:
+    """node, n, low and hot: the frequent n-grams among a node's lowest; only nodes that may have some."""
+    shared = nodes.sparkSession.sparkContext.broadcast(Cells(frequent.select("token"), FILTER_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = batch.column("low")
+            hit = np.concatenate([[0], np.cumsum(shared.value.holds(low.flatten().to_numpy()))])
+            ends = low.offsets.to_numpy() - low.offsets[0].as_py()
+            some = hit[ends[1:]] > hit[ends[:-1]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(some)], ["node", "n", "low", "some"])
+
+    marked = nodes.select("node", "n", "low").mapInArrow(run, "node long, n long, low array<long>, some boolean")
+    touched = keep(marked.filter("some").drop("some"))
+    hot = (
+        touched.select("node", F.explode("low").alias("token"))
+        .join(frequent, "token", "left_semi")
+        .groupBy("node")
+        .agg(F.collect_list("token").alias("hot"))
+    )
+    return keep(touched.join(hot, "node", "left"))
+
+
+def _prefix_rows(nodes: DataFrame, shared_tokens: Cells) -> DataFrame:
+    """The n-grams of prefixes that other nodes may have too: grp, node, n, deep, at, token.
+
+    ``grp`` stands for the nodes with this prefix and size. A node without such n-grams has one row with none.
+    """
+    known = nodes.sparkSession.sparkContext.broadcast(shared_tokens)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column("prefix")
+            tokens = prefix.flatten().to_numpy()
+            ends = prefix.offsets.to_numpy().astype(np.int64) - prefix.offsets[0].as_py()
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            at = np.arange(len(tokens)) - ends[owner] + 1
+            hit = np.flatnonzero(known.value.holds(tokens))
+            rows = [batch.column(c).take(pa.array(owner[hit])) for c in ("grp", "node", "n", "deep")]
+            yield pa.RecordBatch.from_arrays(
+                [*rows, pa.array(at[hit]), pa.array(tokens[hit])], ["grp", "node", "n", "deep", "at", "token"]
+            )
+
+    named = nodes.select(F.xxhash64("n", "deep", "prefix").alias("grp"), "node", "n", "deep", "prefix")
+    return named.mapInArrow(run, "grp long, node long, n long, deep boolean, at long, token long")
+
+
 def _may_link(n1: Column, at1: Column, n2: Column, at2: Column, percent: int) -> Column:
     """Whether sets of these sizes that first meet at these places of their orders can be similar enough."""
     overlap = F.least(n1 - at1, n2 - at2) + 1
@@ -163,36 +208,32 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Collapse nodes with the same prefix and size: (group, n, prefix) and (group, node)."""
-    named = rows.withColumn("key", F.xxhash64("n", "prefix"))
-    groups = named.groupBy("key").agg(F.min("node").alias("grp"))
-    members = named.select("key", "node").join(groups, "key").select("grp", "node")
-    first = named.join(groups.select(F.col("grp").alias("node")), "node").select(F.col("node").alias("grp"), "n", "prefix")
-    return first, members
+def _groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The n-grams of each group that other groups have too, with their pivots, and the members (grp, node, first).
 
-
-def _tokens(groups: DataFrame) -> DataFrame:
-    """A row per group and n-gram of its prefix, with the n-gram's place in the order."""
-    return groups.select("grp", "n", *[c for c in groups.columns if c == "deep"], F.posexplode("prefix").alias("at", "token")).withColumn(
-        "at", F.col("at") + 1
-    )
-
-
-def _shared(tokens: DataFrame) -> DataFrame:
-    """The rows whose n-gram is in several groups, with the pivot of each n-gram: the group that has it earliest."""
-    pivot = F.min(F.struct(F.col("at").alias("at"), F.col("n").alias("n"), F.col("grp").alias("grp"))).alias("p")
+    The pivot of an n-gram is the group that has it earliest in its order.
+    """
+    rows = keep(rows)
+    tokens = rows.drop("node").distinct()
+    pivot = F.min(F.struct("at", "n", "grp")).alias("p")
     often = tokens.groupBy("token").agg(F.count("*").alias("c"), pivot).filter("c > 1").drop("c")
-    return tokens.join(often, "token")
+    members = rows.select("grp", "node").distinct()
+    first = members.groupBy("grp").agg(F.min("node").alias("first"))
+    return keep(tokens.join(often, "token")), keep(members.join(first, "grp"))
 
 
-def _pivot_pairs(shared: DataFrame, percent: int) -> DataFrame:
-    return (
+def _pivot_pairs(shared: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes: the first of each group and of its n-grams' pivots, and of its other members."""
+    pairs = (
         shared.filter(F.col("grp") != F.col("p.grp"))
         .filter(_may_link(F.col("n"), F.col("at"), F.col("p.n"), F.col("p.at"), percent))
-        .select(F.least("grp", "p.grp").alias("a"), F.greatest("grp", "p.grp").alias("b"))
+        .select("grp", F.col("p.grp").alias("other"))
         .distinct()
     )
+    first = members.filter("node = first").select("grp", "first")
+    named = pairs.join(first, "grp").join(first.select(F.col("grp").alias("other"), F.col("first").alias("pivot")), "other")
+    own = members.filter("node <> first").select("first", F.col("node").alias("pivot"))
+    return named.select("first", "pivot").union(own).select(F.least("first", "pivot").alias("a"), F.greatest("first", "pivot").alias("b"))
 
 
 def _group_pairs(shared: DataFrame, state: DataFrame, percent: int, not_both_deep: bool) -> DataFrame:
@@ -224,28 +265,25 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     sketches = keep(_sketches(docs, words, percent))
     nodes = keep(sketches.filter("node is not null").select("node", "n", "low").dropDuplicates(["node"]))
 
-    often = nodes.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > HOT)
-    frequent = keep(often)
-    hot = (
-        nodes.select("node", F.explode("low").alias("token"))
-        .join(frequent, "token", "left_semi")
-        .groupBy("node")
-        .agg(F.collect_list("token").alias("hot"))
+    counted = keep(
+        nodes.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
     )
+    frequent = counted.filter(F.col("c") > HOT)
     p = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    touched = _frequent_of(nodes, frequent).withColumn("p", p)
     cold = F.when(F.col("hot").isNull(), F.col("low")).otherwise(F.array_except("low", "hot"))
-    ranked = keep(
-        nodes.join(hot, "node", "left")
-        .select("node", "n", p.alias("p"), F.size("low").alias("kept"), cold.alias("cold"))
-        .select("node", "n", "p", (F.size("cold") < F.col("p")).alias("deep"), F.slice("cold", 1, F.col("p")).alias("prefix"))
+    touched = touched.withColumn("cold", cold).withColumn("deep", F.size("cold") < F.col("p"))
+    untouched = nodes.join(touched.select("node"), "node", "left_anti") if touched.take(1) else nodes
+    common = untouched.select("node", "n", F.lit(False).alias("deep"), F.slice("low", 1, p).alias("prefix")).union(
+        touched.filter("not deep").select("node", "n", "deep", F.slice("cold", 1, F.col("p")))
     )
-    deep = keep(ranked.filter("deep").select("node", "n", "p"))
+    shared_tokens = counted.select("token")
+    deep = keep(touched.filter("deep").select("node", "n", "p"))
     some_deep = bool(deep.take(1))
-    common = ranked.filter("not deep").select("node", "n", "prefix", "deep")
     joins: list[tuple[DataFrame, DataFrame, bool]] = []
     if some_deep:
         tokens = keep(_sets(docs, words, deep).join(deep, "node").select("node", "n", "p", F.explode("tokens").alias("token")))
-        counts = tokens.groupBy("token").agg(F.count("*").alias("c"))
+        counts = keep(tokens.groupBy("token").agg(F.count("*").alias("c")))
         placed = (
             tokens.join(counts, "token")
             .join(frequent.select("token", F.col("c").alias("f")), "token", "left")
@@ -255,13 +293,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
                 F.sort_array(F.collect_list(F.struct("c", "token"))).alias("own"),
             )
         )
-        placed = keep(placed.select("node", "n", *[F.slice(f"{c}.token", 1, F.col("p")).alias(c) for c in ("common", "own")]))
-        common = common.union(placed.select("node", "n", F.col("common").alias("prefix"), F.lit(True)))
-        joins.append((*_grouped(placed.select("node", "n", F.col("own").alias("prefix"))), False))
-    groups, members = _grouped(common.select("node", "n", "prefix"))
-    flagged = groups.join(common.select(F.col("node").alias("grp"), "deep"), "grp")
-    joins.append((flagged, members, some_deep))
-    joins = [(keep(_shared(_tokens(g))), keep(m), flag) for g, m, flag in joins]
+        placed = keep(
+            placed.select("node", "n", F.lit(True).alias("deep"), *[F.slice(f"{c}.token", 1, F.col("p")).alias(c) for c in ("common", "own")])
+        )
+        common = common.union(placed.select("node", "n", "deep", "common"))
+        shared_tokens = shared_tokens.union(placed.select(F.explode("common")))
+        own = placed.select("node", "n", "deep", F.col("own").alias("prefix"))
+        joins.append((*_groups(_prefix_rows(own, Cells(counts.filter("c > 1").select("token"), TOKEN_BITS))), False))
+    joins.append((*_groups(_prefix_rows(common, Cells(shared_tokens, TOKEN_BITS))), some_deep))
 
     def union(parts: list[DataFrame]) -> DataFrame:
         out = parts[0]
@@ -269,9 +308,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             out = out.union(part)
         return out.distinct()
 
-    own = [m.filter("node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b")) for _, m, _ in joins]
-    first = keep(union([*[_pivot_pairs(s, percent) for s, _, _ in joins], *own]))
-    links = keep(_check(docs, words, first, percent))
+    first = keep(union([_pivot_pairs(shared, members, percent) for shared, members, _ in joins]))
+    links = keep(_check(docs, nodes, words, first, percent))
     roots = components(links)
 
     wide = []
@@ -287,12 +325,34 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         )
     second = keep(union(wide).join(first, ["a", "b"], "left_anti"))
     if second.take(1):
-        links = links.union(keep(_check(docs, words, second, percent)))
+        links = links.union(keep(_check(docs, nodes, words, second, percent)))
     return _labelled(sketches, components(keep(_with_repeated_ids(sketches, links))))
 
 
-def _check(docs: DataFrame, words: int, pairs: DataFrame, percent: int) -> DataFrame:
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _low_lists_agree(percent: int) -> tuple[Column, Column]:
+    """The reach of two lists, and whether the lowest hashes x and y of two nodes leave room for enough n-grams in common.
+
+    Up to the smaller of their last hashes both lists are complete, so there a node has at most as many
+    n-grams of its own as it may have in all.
+    """
+    reach = F.least(F.array_max("x"), F.array_max("y"))
+    both = F.size(F.filter(F.array_intersect("x", "y"), lambda t: t <= F.col("reach")))
+
+    def own(low: str, n: str, other: str) -> Column:
+        within = F.size(F.filter(low, lambda t: t <= F.col("reach")))
+        return (100 + percent) * (within - both) <= (100 + percent) * F.col(n) - percent * (F.col(n) + F.col(other))
+
+    return reach, own("x", "nx", "ny") & own("y", "ny", "nx")
+
+
+def _check(docs: DataFrame, nodes: DataFrame, words: int, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link: first their lowest hashes are compared, then the whole sets of those that may."""
+    reach, agree = _low_lists_agree(percent)
+    lists = pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("nx"), F.col("low").alias("x")), "a").join(
+        nodes.select(F.col("node").alias("b"), F.col("n").alias("ny"), F.col("low").alias("y")), "b"
+    )
+    pairs = keep(lists.withColumn("reach", reach).filter(agree).select("a", "b"))
+    needed = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     return _linked(pairs, keep(_sets(docs, words, needed)), percent)
 
 
