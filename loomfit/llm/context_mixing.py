@@ -137,8 +137,8 @@ class ContextMixer:
                 high, low = (text.data >> 4).astype(np.int32), (text.data & 15).astype(np.int32)
                 for total, context, bits in zip(totals, text.contexts(), SLOT_BITS):
                     first, second = slots(context, high.astype(np.uint64), bits)
-                    np.add.at(total, first * 16 + high, 1)
-                    np.add.at(total, second * 16 + low, 1)
+                    halves = np.concatenate([first * 16 + high, second * 16 + low])
+                    total += np.bincount(halves, minlength=len(total))
             part = TaskContext.get().partitionId()
             for k, total in enumerate(totals):
                 packed = [(i, _packed(piece)) for i, piece in enumerate(total.reshape(-1, 16 * CHUNK)) if piece.any()]
