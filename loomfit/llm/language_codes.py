@@ -57,12 +57,20 @@ def ngram_cells(data: np.ndarray, order: int) -> np.ndarray:
     return (cells >> np.uint32(32 - BITS)).astype(np.int64)
 
 
-def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one array, each between a space and as many zeros as keep n-grams inside; and their starts."""
-    pad = b"\0" * (max(ORDERS) - 1)
-    parts = [b" " + t.lower() + b" " + pad for t in texts]
+PAD = max(ORDERS) - 1
+
+
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one array, each between spaces and followed by zeros; their starts; which bytes are no zeros.
+
+    Only n-grams that begin in a text count, and the zeros keep those from reaching into the next.
+    """
+    parts = [b" " + t.lower() + b" " + b"\0" * PAD for t in texts]
     starts = np.cumsum([0, *map(len, parts)])
-    return np.frombuffer(b"".join(parts), dtype=np.uint8), starts
+    own = np.ones(starts[-1], bool)
+    for k in range(PAD):
+        own[starts[1:] - 1 - k] = False
+    return np.frombuffer(b"".join(parts), dtype=np.uint8), starts, own
 
 
 @dataclass
@@ -89,11 +97,12 @@ class LanguageCodes:
                         by_lang.setdefault(lang, []).append(text)
                     for lang, texts in by_lang.items():
                         total = totals.setdefault(lang, np.zeros(1 << BITS, np.int64))
-                        data, _ = _joined(texts)
+                        data, _, own = _joined(texts)
                         for begin in range(0, len(data), PIECE):
                             for order in ORDERS:
                                 piece = data[begin : begin + PIECE + order - 1]
-                                total += np.bincount(ngram_cells(piece, order), minlength=1 << BITS)
+                                cells = ngram_cells(piece, order)
+                                total += np.bincount(cells[own[begin : begin + len(cells)]], minlength=1 << BITS)
             for lang, total in totals.items():
                 cells = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays(
@@ -135,7 +144,7 @@ class LanguageCodes:
 
     def margins(self, texts: list[bytes]) -> np.ndarray:
         """The mean n-gram weight of each text for each bit."""
-        data, starts = _joined(texts)
+        data, starts, own = _joined(texts)
         sums = np.zeros((len(texts), self.weights.shape[1]))
         for begin in range(0, len(data), PIECE):
             first = np.searchsorted(starts, begin, side="right") - 1
@@ -144,8 +153,10 @@ class LanguageCodes:
                 if len(cells):
                     cuts = np.maximum(starts[first:-1] - begin, 0)
                     cuts = cuts[cuts < len(cells)]
-                    sums[first : first + len(cuts)] += np.add.reduceat(self.weights[cells], cuts, axis=0)
-        return sums / (len(ORDERS) * np.diff(starts))[:, None]
+                    values = self.weights[cells]
+                    values[~own[begin : begin + len(cells)]] = 0
+                    sums[first : first + len(cuts)] += np.add.reduceat(values, cuts, axis=0)
+        return sums / (len(ORDERS) * (np.diff(starts) - PAD))[:, None]
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the language with the least weighted loss, a score, and whether the second is near."""
