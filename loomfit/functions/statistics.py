@@ -22,6 +22,7 @@ from ..session import MAX_CLASSES
 from .scalars import quoted
 
 BINS = 4096
+MAX_DOUBLE = 1.7976931348623157e308
 
 
 @dataclass(frozen=True)
@@ -64,6 +65,7 @@ def unfold(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for i, name in enumerate(columns):
         number = is_numeric(df, name)
         v = quoted(name).cast("double") if number else F.lit(None).cast("double")
+        v = F.when(~F.isnan(v), v)  # not a number is missing
         s = F.lit(None).cast("string") if number else quoted(name).cast("string")
         cells.append(F.struct(F.lit(i).alias("c"), v.alias("v"), s.alias("s")))
     return df.select(F.inline(F.array(*cells)))
@@ -153,12 +155,19 @@ def order_statistics(
             )
             for i, (c, low, high, _) in enumerate(spans)
         ]
-        # halves keep the span finite for any two doubles
-        at = (F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+        # halves keep the span finite for any two doubles; infinities have bins of their own
+        low, high = (F.least(F.greatest(c, F.lit(-MAX_DOUBLE)), F.lit(MAX_DOUBLE)) for c in ("low", "high"))
+        span = high / 2 - low / 2
+        at = F.when(span > 0, (F.col("v") / 2 - low / 2) / span).otherwise((F.col("v") > low).cast("double"))
+        bin_of = (
+            F.when(F.col("v") < -MAX_DOUBLE, -1)
+            .when(F.col("v") > MAX_DOUBLE, BINS)
+            .otherwise(F.least(F.floor(at * BINS), F.lit(BINS - 1)))
+        )
         rows = (
             df.select(F.inline(F.array(*cells)))
-            .filter(F.col("v").between(F.col("low"), F.col("high")))
-            .withColumn("bin", F.least(F.floor(at * BINS), F.lit(BINS - 1)))
+            .filter(F.col("v").between(F.col("low"), F.col("high")) & ~F.isnan("v"))
+            .withColumn("bin", bin_of)
             .groupBy("t", "bin")
             .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
             .collect()

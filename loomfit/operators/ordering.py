@@ -41,6 +41,11 @@ def uniform(seed: Any, *parts: Column) -> Column:
     return (hash_number(order_key(seed, *parts)) + F.lit(0.5)) / F.lit(float(2**52))
 
 
+def place(key: Column, tie: Column) -> Column:
+    """What a row is ordered by."""
+    return F.struct(key.alias("key"), tie.alias("tie"))
+
+
 def hash_number(key: Column) -> Column:
     """First 13 hex digits (52 bits) of a key as a number."""
     return F.conv(F.substring(key, 1, 13), 16, 10).cast("long")
@@ -98,13 +103,12 @@ class Cut:
     kind: Any = None
     everything: bool = False
 
-    def covers(self, key: Column, tie: Column) -> Column:
-        """Whether a row is at or before the cut; one comparison, so the hash is computed once."""
+    def covers(self, here: Column) -> Column:
+        """Whether a row, given as its (key, tie), is at or before the cut."""
         if self.everything:
             return F.lit(True)
         if self.key is None:
             return F.lit(False)
-        here = F.struct(key.alias("key"), tie.alias("tie"))
         return here <= F.struct(F.lit(self.key).alias("key"), F.lit(self.tie).cast(self.kind).alias("tie"))
 
 
@@ -118,19 +122,21 @@ class Positions:
         self.key, self.tie = key, tie
         self.by = F.lit(0) if by is None else by
         self._keyed = df.select(self.by.alias(STRATUM), key.alias(KEY), tie.alias(TIE))
-        self._sizes = self._bucket_sizes(self._keyed, HEX_DIGITS)
-        if len(self._sizes) > MAX_STRATA:
-            raise ValueError(f"more than {MAX_STRATA} strata")
+        self._sizes = self._bucket_sizes(self._keyed, HEX_DIGITS, MAX_STRATA)
         self.counts = {s: sum(sizes.values()) for s, sizes in self._sizes.items()}
         self._found: dict[tuple[Any, int], Cut] = {}
 
     @staticmethod
-    def _bucket_sizes(keyed: DataFrame, digits: int) -> dict[Any, dict[str, int]]:
-        """Rows per stratum and key prefix."""
+    def _bucket_sizes(keyed: DataFrame, digits: int, groups: int) -> dict[Any, dict[str, int]]:
+        """Rows per stratum and key prefix, of which there may be 16**HEX_DIGITS in each of some groups."""
         counted = keyed.groupBy(STRATUM, F.substring(KEY, 1, digits).alias(BUCKET)).agg(F.count("*").alias("n"))
         sizes: dict[Any, dict[str, int]] = {}
-        for row in counted.limit(MAX_STRATA * 16**HEX_DIGITS + 1).collect():
+        most = groups * 16**HEX_DIGITS
+        rows = counted.limit(most + 1).collect()  # one more than there can be, so nothing is cut off
+        for row in rows:
             sizes.setdefault(row[STRATUM], {})[row[BUCKET]] = row["n"]
+        if len(rows) > most or len(sizes) > MAX_STRATA:
+            raise ValueError(f"more than {MAX_STRATA} strata")
         return sizes
 
     def count(self, stratum: Any = 0) -> int:
@@ -154,7 +160,7 @@ class Positions:
             if digits >= KEY_DIGITS:
                 raise ValueError("one id has too many rows for a seeded order; ids must be unique")
             digits += HEX_DIGITS
-            finer = self._bucket_sizes(self._keyed.filter(_in_buckets(spots)), digits)
+            finer = self._bucket_sizes(self._keyed.filter(_in_buckets(spots)), digits, len(spots))
             spots = [
                 spot
                 for stratum, prefix, rank, within, _ in spots
@@ -186,19 +192,27 @@ class Positions:
         return self.block({s: [r] for s, r in n.items()}) == 0
 
     def block(self, ends: Mapping[Any, Sequence[int]]) -> Column:
-        """Index of the block a row falls in when its stratum is cut after ``ends``; -1 past the last."""
+        """Index of the block a row falls in when its stratum is cut after ``ends``; -1 past the last.
+
+        The key is bound to a variable, so a row's hash is computed once, however many cuts there are.
+        """
+        found = self.cuts(ends)
+        here = place(self.key, self.tie)
+        return F.transform(F.array(here), lambda bound: self._index(found, bound))[0]
+
+    def _index(self, found: Mapping[Any, Sequence[Cut]], here: Column) -> Column:
         out = None
-        for stratum, cuts in self.cuts(ends).items():
+        for stratum, cuts in found.items():
             index = None
             for i, cut in enumerate(cuts):
-                hit = (self.by == F.lit(stratum)) & cut.covers(self.key, self.tie)
+                hit = (self.by == F.lit(stratum)) & cut.covers(here)
                 index = F.when(hit, i) if index is None else index.when(hit, i)
             if index is not None:
-                here = index.otherwise(-1)
+                last = index.otherwise(-1)
                 out = (
-                    F.when(self.by == F.lit(stratum), here)
+                    F.when(self.by == F.lit(stratum), last)
                     if out is None
-                    else out.when(self.by == F.lit(stratum), here)
+                    else out.when(self.by == F.lit(stratum), last)
                 )
         return F.lit(-1) if out is None else out.otherwise(-1)
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import quoted
-from .ordering import Positions, hash_number, id_rank, order_key, row_positions, seeded_rank
+from .ordering import Positions, hash_number, id_rank, order_key, place, row_positions, seeded_rank
 
 MAJORITY, MINORITY = -1, 1
 DRAWS_PER_TASK = 5_000_000
@@ -134,7 +134,7 @@ def stratified_upsampled_folds(
         return F.aggregate(
             F.sequence(F.lit(1), F.lit(n_copies)),
             F.lit(0),
-            lambda n, copy: n + cut.covers(order_key(seed, F.lit(i), row_id, copy), row_id).cast("int"),
+            lambda n, copy: n + cut.covers(place(order_key(seed, F.lit(i), row_id, copy), row_id)).cast("int"),
         )
 
     per_fold = [

@@ -124,7 +124,8 @@ class RecodeMissing(Step):
         codes = {c: scan.spec.missing_codes(c) for c in scan.columns}
         codes = {c: found for c, found in codes.items() if found}
         exprs = {
-            c: F.when(~quoted(c).cast("double").isin(found), quoted(c)) for c, found in codes.items()
+            c: F.when(~F.coalesce(quoted(c).try_cast("double").isin(found), F.lit(False)), quoted(c))
+            for c, found in codes.items()
         }
         return replacing(exprs, lambda known: None if codes else known, codes)
 

@@ -134,12 +134,13 @@ class Scores:
         return spark.createDataFrame(data, schema)
 
     def averages(self, spark: SparkSession) -> DataFrame:
-        """Mean score over folds per setting and split."""
+        """Mean score over folds per setting and split; missing if any fold has none, so it ranks last."""
+        scored = F.when(~F.isnan("score"), F.col("score"))
         names = list(self.combos[0]) if self.combos else []
         return (
             self.table(spark)
             .groupBy("combo", *[quoted(n) for n in names], "split")
-            .agg(F.avg("score").alias("score"))
+            .agg(F.when(F.count(scored) == F.count("*"), F.avg(scored)).alias("score"))
         )
 
     def ranking(self, spark: SparkSession) -> DataFrame:

@@ -92,4 +92,4 @@ def codes_from_answers(answers: DataFrame) -> DataFrame:
     """Per column, the numeric codes that mean "missing"; for dictionaries joined as tables."""
     return answers.filter(
         F.col("meaning").isin(*MISSING_MEANINGS) & (F.col("answer") != BLANK)
-    ).select("col", F.col("answer").try_cast("double").alias("code"))
+    ).select("col", F.col("answer").try_cast("double").alias("code")).distinct()

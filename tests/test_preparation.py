@@ -202,3 +202,27 @@ def test_load_once_refuses_a_broken_copy(spark, tmp_path):
     (tmp_path / "copy" / "_temporary").mkdir(parents=True)
     with pytest.raises(Exception, match="ALREADY_EXISTS"):
         tables.load_once(spark.range(5), str(tmp_path / "copy"))
+
+
+def test_median_with_infinity_and_nan(spark):
+    from loomfit.functions import statistics as st
+
+    inf, nan = float("inf"), float("nan")
+    for values, want in (
+        ([1.0, 2.0, 3.0, inf], 2.5),
+        ([1.0, 2.0, 3.0, nan], 2.0),
+        ([-inf, -inf, 5.0, inf], -inf),
+        ([5e-324, 1e-323, 1.5e-323], 1e-323),
+    ):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        assert st.medians(df, ["x"], st.profile(df, ["x"]))["x"] == want
+
+
+def test_recode_text_answers(spark):
+    from loomfit.plans.preparation import Pipeline, RecodeMissing
+    from loomfit.sources.dictionary import ColumnSpec
+
+    spec = ColumnSpec(("a",), (), {"a": {"7": "Refused", "7.0": "Refused"}}, ())
+    df = spark.createDataFrame([("x",), ("7",), (None,), ("8",)], "a string")
+    got = Pipeline([RecodeMissing()]).fit_transform(df, spec).collect()
+    assert [r["a"] for r in got] == ["x", None, None, "8"]

@@ -170,3 +170,19 @@ def test_gather_and_remove(spark):
     assert sorted(r["id"] for r in sampling.gather(df, picked, "id").collect()) == [2, 5, 7]
     assert sorted(r["id"] for r in sampling.gather(df, picked, "id", "copies").collect()) == [2, 2, 7]
     assert sampling.remove(df, picked, "id").count() == 7
+
+
+def test_many_cuts_compute_one_hash_and_lose_nothing(spark, monkeypatch):
+    from loomfit.operators import ordering
+
+    monkeypatch.setattr(ordering, "HEX_DIGITS", 1)
+    monkeypatch.setattr(ordering, "REFINE_ROWS", 3)
+    monkeypatch.setattr(ordering, "MAX_STRATA", 4)
+    df = spark.range(2000)
+    k = 12
+    positions = ordering.row_positions(df, "id")
+    block = positions.block({0: [2000 * (i + 1) // k for i in range(k)]}).alias("block")
+    placed = df.select("id", block)
+    assert placed._jdf.queryExecution().executedPlan().toString().count("md5(") == 1
+    sizes = {r["block"]: r["n"] for r in placed.groupBy("block").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {i: 2000 * (i + 1) // k - 2000 * i // k for i in range(k)}
