@@ -78,32 +78,42 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return cells, weights / np.maximum(norm, 1e-9)
 
 
-def kernel(cells: np.ndarray, weights: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
-    """Kernel values of words, as cells and weights, with landmarks given as columns over all cells."""
-    out = np.empty((len(cells), landmarks.shape[1]), dtype=np.float32)
+def _blocks(cells: np.ndarray, weights: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """The given words as columns over all cells, some words at a time, so that memory stays small."""
     for begin in range(0, len(cells), 64):
-        part = slice(begin, begin + 64)
-        out[part] = np.einsum("wf,wfm->wm", weights[part], landmarks[cells[part]])
-    return out
-
-
-def _dense(cells: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    out = np.zeros((1 << BITS, len(cells)), dtype=np.float32)
-    for column, (at, weight) in enumerate(zip(cells, weights)):
-        np.add.at(out[:, column], at, weight)
+        block = slice(begin, min(begin + 64, len(cells)))
+        out = np.zeros((1 << BITS, block.stop - begin), dtype=np.float32)
+        for column, (at, weight) in enumerate(zip(cells[block], weights[block])):
+            np.add.at(out[:, column], at, weight)
+        yield block, out
+
+
+def kernel(cells: np.ndarray, weights: np.ndarray, landmark_cells: np.ndarray, landmark_weights: np.ndarray) -> np.ndarray:
+    """Kernel values of words with landmarks, both given as cells and weights."""
+    out = np.empty((len(cells), len(landmark_cells)), dtype=np.float32)
+    for block, columns in _blocks(landmark_cells, landmark_weights):
+        for begin in range(0, len(cells), 256):
+            part = slice(begin, begin + 256)
+            out[part, block] = np.einsum("wf,wfm->wm", weights[part], columns[cells[part]])
     return out
 
 
 def _machine(z: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Squared-hinge linear machine by Newton steps on the rows inside the margin; the last weight is the bias."""
-    z = np.hstack([z, np.ones((len(z), 1))])
-    w = np.zeros(z.shape[1])
-    ridge = np.ones(z.shape[1])
+    size = z.shape[1] + 1
+    w = np.zeros(size)
+    ridge = np.ones(size)
     ridge[-1] = 1e-3
     for _ in range(40):
-        inside = y * (z @ w) < 1
-        zi, ci = z[inside], cost[inside]
-        new = np.linalg.solve(np.diag(ridge) + (zi * ci[:, None]).T @ zi, (zi * ci[:, None]).T @ y[inside])
+        inside = np.flatnonzero(y * (z @ w[:-1].astype(z.dtype) + w[-1]) < 1)
+        square, target = np.diag(ridge), np.zeros(size)
+        for begin in range(0, len(inside), 1024):
+            rows = inside[begin : begin + 1024]
+            part = np.column_stack([z[rows].astype(float), np.ones(len(rows))])
+            weighted = part * cost[rows, None]
+            square += weighted.T @ part
+            target += weighted.T @ y[rows]
+        new = np.linalg.solve(square, target)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -268,15 +278,18 @@ class ToxicWords:
                 len(positives) + rng.permutation(len(negatives))[: LANDMARKS - min(half, n_found)],
             ]
         ).astype(int)
-        landmarks = _dense(cells[chosen], weights[chosen])
-        values, vectors = np.linalg.eigh(landmarks.T @ landmarks)
+        landmarks = cells[chosen], weights[chosen]
+        values, vectors = np.linalg.eigh(kernel(*landmarks, *landmarks).astype(float))
         root = vectors / np.sqrt(np.maximum(values, 1e-6))[None, :] * (values > 1e-6)[None, :]
-        z = kernel(cells, weights, landmarks) @ root
+        z = kernel(cells, weights, *landmarks) @ root.astype(np.float32)
         seen = np.minimum(np.array([*[1] * len(positives), *negatives.values()]), 30)
         cost = COST * np.where(y > 0, max(1.0, 0.1 * len(negatives) / n_found), seen)
         cost[n_found : len(positives)] *= ALTERED_COST
-        w = _machine(z.astype(float), y, cost)
-        return cls((landmarks @ (root @ w[:-1])).astype(np.float32), float(w[-1]))
+        w = _machine(z, y, cost)
+        theta, share = np.zeros(1 << BITS, np.float32), (root @ w[:-1]).astype(np.float32)
+        for block, columns in _blocks(*landmarks):
+            theta += columns @ share[block]
+        return cls(theta, float(w[-1]))
 
     def _calibrate(self, tops: np.ndarray, labels: np.ndarray) -> None:
         """The logistic curve over a text's largest margins, by Newton steps with a light prior."""
