@@ -75,8 +75,16 @@ def _low_size(n: int, percent: int) -> int:
     return min(n, 3 * _prefix_size(n, percent) // 2 + 8)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = text_bytes(F.col("text"))
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("key"))
+
+
 def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, node and the lowest hashes of each document; the node of an empty text is null."""
+    """doc_id, key, n, node and the lowest hashes of each document; the node of an empty text is null.
+
+    ``key`` is a hash of the text, by which a node's text is found again without hashing the words of all others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
@@ -84,33 +92,35 @@ def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("key"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
                     _lists([s[: _low_size(len(s), percent)] for s in sets]),
                 ],
-                ["doc_id", "n", "node", "low"],
+                ["doc_id", "key", "n", "node", "low"],
             )
 
-    rows = docs.select("doc_id", text_bytes(F.col("text")).alias("text"))
+    rows = _keyed(docs)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n long, node long, low array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, key long, n long, node long, low array<long>")
 
 
-def _sets(docs: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
-    """node and tokens, the whole set, of the given nodes, from the texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(Cells(nodes.select("node"), FILTER_BITS))
+def _sets(docs: DataFrame, words: int, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and tokens, the whole set, of the nodes in ``wanted``, from the text that stands for each in ``nodes``."""
+    keys = nodes.select("node", "key").join(wanted.select("node"), "node", "left_semi")
+    shared = docs.sparkSession.sparkContext.broadcast(Cells(keys.select("key"), FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
-            named = [(_node(s), s) for s in shingles(batch.column("text"), words) if len(s)]
-            wanted = shared.value.holds(np.array([node for node, _ in named], np.int64))
-            named = [pair for pair, want in zip(named, wanted) if want]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([node for node, _ in named], pa.int64()), _lists([s for _, s in named])], ["node", "tokens"]
-            )
+        for batch in batches:
+            some = shared.value.holds(batch.column("key").to_numpy())
+            for part in small_batches([batch.filter(pa.array(some))], "text"):
+                named = [(_node(s), s) for s in shingles(part.column("text"), words) if len(s)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([node for node, _ in named], pa.int64()), _lists([s for _, s in named])], ["node", "tokens"]
+                )
 
-    found = docs.select(text_bytes(F.col("text")).alias("text")).mapInArrow(run, "node long, tokens array<long>")
-    return found.join(nodes.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    found = _keyed(docs).select("text", "key").mapInArrow(run, "node long, tokens array<long>")
+    return found.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
 
 
 def _frequent_of(nodes: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -263,7 +273,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """
     docs = docs.select("doc_id", "text")
     sketches = keep(_sketches(docs, words, percent))
-    nodes = keep(sketches.filter("node is not null").select("node", "n", "low").dropDuplicates(["node"]))
+    nodes = keep(sketches.filter("node is not null").select("node", "key", "n", "low").dropDuplicates(["node"]))
 
     counted = keep(
         nodes.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
@@ -282,7 +292,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     some_deep = bool(deep.take(1))
     joins: list[tuple[DataFrame, DataFrame, bool]] = []
     if some_deep:
-        tokens = keep(_sets(docs, words, deep).join(deep, "node").select("node", "n", "p", F.explode("tokens").alias("token")))
+        tokens = keep(_sets(docs, words, nodes, deep).join(deep, "node").select("node", "n", "p", F.explode("tokens").alias("token")))
         counts = keep(tokens.groupBy("token").agg(F.count("*").alias("c")))
         placed = (
             tokens.join(counts, "token")
@@ -362,7 +372,7 @@ def _check(docs: DataFrame, nodes: DataFrame, words: int, pairs: DataFrame, perc
     )
     pairs = keep(lists.select("a", "b", "nx", "ny", "x", "y").mapInArrow(run, "a long, b long"))
     needed = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    return _linked(pairs, keep(_sets(docs, words, needed)), percent)
+    return _linked(pairs, keep(_sets(docs, words, nodes, needed)), percent)
 
 
 def _with_repeated_ids(sketches: DataFrame, links: DataFrame) -> DataFrame:
