@@ -173,7 +173,7 @@ class Cells:
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bitmap"))
         )
         self.packed = np.zeros((1 << bits) // 8, np.uint8)
-        for row in pieces.toLocalIterator():
+        for row in pieces.collect():  # the filter's size at most, in one job
             piece = np.frombuffer(row["bitmap"], np.uint8)
             begin = (row["piece"] - 1) * len(piece)
             self.packed[begin : begin + len(piece)] = piece[: len(self.packed) - begin]

@@ -320,12 +320,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     first = keep(union([_pivot_pairs(shared, members, percent) for shared, members, _ in joins]))
     links = keep(_check(docs, nodes, words, first, percent))
-    roots = components(links)
+    roots = keep(components(links))
 
     wide = []
     for shared, members, flag in joins:
-        at = members.join(roots, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("root"))
-        state = at.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        at = keep(members.join(roots, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("root")))
+        state = keep(at.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")))
         found = _group_pairs(shared, state, percent, flag).union(state.filter("low <> high").select(F.col("grp").alias("a"), F.col("grp").alias("b")))
         expanded = found.join(at.select(F.col("grp").alias("a"), F.col("node").alias("x"), F.col("root").alias("rx")), "a").join(
             at.select(F.col("grp").alias("b"), F.col("node").alias("y"), F.col("root").alias("ry")), "b"
