@@ -173,7 +173,7 @@ class ContextMixer:
             sums = sums.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
             sums = keep(sums.groupBy("part", "context", "chunk").applyInArrow(add, schema))
         tables = [np.zeros((1 << bits, 16), np.int8) for bits in SLOT_BITS]
-        for row in sums.toLocalIterator():
+        for row in sums.coalesce(8).toLocalIterator():  # a job per part
             piece = np.zeros(16 * CHUNK, np.int64)
             _add(piece, row["counts"])
             tables[row["context"]][row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = _predictions(piece.reshape(-1, 16))
