@@ -1,23 +1,24 @@
 """License scans by conditional compression.
 
 A block of text that quotes a license compresses much better with that license's wording as a zstandard
-raw dictionary than without. Templates are ranked by that gain, and the best are confirmed, in order, by
-the exact differences of their words.
+raw dictionary than without. Templates are ranked by that gain and confirmed, in order, by the exact
+differences of their words. Blocks are windows over the words of the whole text, so a notice may be wrapped.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
-from difflib import SequenceMatcher
+from dataclasses import dataclass, replace
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, query, read
+from .common import query, read
 
 # Notices as their licenses word them. Fixed values.
 TEMPLATES = (
@@ -57,12 +58,13 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
 )
-CUE = r"(?i)licen[sc]|copyright|warrant|redistribut|permission|permitted|creative commons|\bcc by\b|\bcc0\b"
-BLOCK_WORDS = 100  # longer lines are cut into overlapping blocks of so many words
+CUE = r"(?i)licen[sc]|copyright|warrant|redistribut|permission|permitted|creative\W+commons|\bcc\W+by\b|\bcc0\b"
+BLOCK_WORDS = 100  # words from a notice's first to its last, at most; more than twice the longest template
 CONFIRM = 3  # best ranked templates whose wording is compared
 AGREEMENT = 0.8  # share of a template's words that a block must have, in order
 MEMORY = 50_000  # blocks a task remembers
 _TOKEN = re.compile(r"\w+")
+_CUE = re.compile(CUE)
 
 
 def words_of(text: str) -> list[str]:
@@ -73,83 +75,162 @@ def words_of(text: str) -> list[str]:
 class Finding:
     license: str
     template: int
-    reduction: float  # share of the compressed size that the dictionary saves
+    reduction: float  # share of the notice's compressed size that the dictionary saves
+    places: tuple[int, ...]  # of the matched words
     matched: int
-    missing: int  # words of the template that the block lacks
-    extra: int  # words of the block between the template's first and last that are not its own
+    missing: int  # words of the template that the notice lacks
+    extra: int  # words of the text between the template's first and last that are not its own
     differences: str
 
+    def moved(self, by: int) -> Finding:
+        return replace(self, places=tuple(p + by for p in self.places))
+
 
 class Scanner:
-    """Ranks templates for a block by what they save, and confirms one by its wording."""
+    """Ranks templates for a block by what they save, and confirms them by their wording."""
 
     def __init__(self, templates: Sequence[tuple[str, str]], agreement: float):
-        self.templates, self.agreement = templates, agreement
+        self.templates = templates
         self.words = [words_of(text) for _, text in templates]
+        self.counts = [Counter(words) for words in self.words]
+        self.may_miss = [sum(len(w) - m >= agreement * len(w) for m in range(1, len(w) + 1)) for w in self.words]
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
         self.with_template = [
             zstandard.ZstdCompressor(
                 level=3,
-                dict_data=zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                dict_data=zstandard.ZstdCompressionDict(
+                    " ".join(words).encode().ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+                ),
                 write_content_size=False,
                 write_checksum=False,
                 write_dict_id=False,
             )
-            for _, text in templates
+            for words in self.words
         ]
-        self.known: dict[str, Finding | None] = {}
-
-    def rank(self, block: str) -> list[tuple[float, int]]:
-        """(share saved, template), best first; equal savings keep the order of the templates."""
-        data = block.encode()
-        size = len(self.plain.compress(data))
-        saved = [(1 - len(c.compress(data)) / size, i) for i, c in enumerate(self.with_template)]
-        return sorted(saved, key=lambda s: (-s[0], s[1]))
-
-    def compare(self, block: str, i: int) -> tuple[int, int, int, str] | None:
-        """Matched, missing and extra words and their list, or None if the wording is another."""
-        want, have = self.words[i], words_of(block)
-        same = [m for m in SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks() if m.size]
-        matched = sum(m.size for m in same)
-        if not want or matched < self.agreement * len(want):
-            return None
-        taken = set().union(*[range(m.a, m.a + m.size) for m in same])
-        missing = [w for k, w in enumerate(want) if k not in taken]
-        if any(w.isdigit() for w in missing):  # another version is another license
+        self.known: dict[str, tuple[Finding, ...]] = {}
+
+    def saved(self, have: list[str], i: int) -> float:
+        data = " ".join(have).encode()
+        return 1 - len(self.with_template[i].compress(data)) / len(self.plain.compress(data))
+
+    def rank(self, have: list[str]) -> list[int]:
+        """The templates that the words may hold, those that save most first; equal savings keep their order.
+
+        Left out are only templates of which the words, in any order, are too few.
+        """
+        bag = Counter(have)
+        may = [i for i in range(len(self.words)) if self._may_hold(bag, i)]
+        return sorted(may, key=lambda i: (-self.saved(have, i), i)) if len(may) > 1 else may
+
+    def _may_hold(self, bag: Counter, i: int) -> bool:
+        lacking = {w: n - bag[w] for w, n in self.counts[i].items() if n > bag[w]}
+        return bool(self.words[i]) and sum(lacking.values()) <= self.may_miss[i] and not any(w.isdigit() for w in lacking)
+
+    def compare(self, have: list[str], i: int) -> tuple[list[int], list[str]] | None:
+        """Places of the matched words and the missing words, where fewest are missing or put in; None if nowhere.
+
+        An exact alignment: ``extra[j, m]`` is the least number of words put in, if of the template's first j
+        words m are missing, up to the current word. Numbers may not be missing: another version is
+        another license.
+        """
+        want, n, most = self.words[i], len(self.words[i]), self.may_miss[i]
+        never = np.int32(1 << 20)
+        needed = np.array([never if w.isdigit() else 0 for w in want], np.int32)
+        places = {w: np.array([v == w for v in want]) for w in self.counts[i]}
+        extra = np.full((n + 1, most + 1), never, np.int32)
+        steps = []
+
+        def skip() -> None:
+            extra[0, 0] = 0
+            for m in range(1, most + 1):
+                np.minimum(extra[1:, m], extra[:-1, m - 1] + needed, out=extra[1:, m])
+
+        skip()
+        steps.append(extra.copy())
+        for word in have:
+            before = extra.copy()
+            extra += 1
+            if word in places:
+                at = places[word]
+                extra[1:][at] = np.minimum(extra[1:][at], before[:-1][at])
+            skip()
+            np.minimum(extra, never, out=extra)
+            steps.append(extra.copy())
+        ends = np.array([s[n] for s in steps])  # by place and number of missing words
+        cost = ends + np.arange(most + 1)
+        cost[ends + n - np.arange(most + 1) > BLOCK_WORDS] = never
+        k, m = (int(v) for v in np.unravel_index(int(np.argmin(cost)), cost.shape))
+        if cost[k, m] >= never:
             return None
-        found = set().union(*[range(m.b, m.b + m.size) for m in same])
-        extra = [have[k] for k in range(min(found), max(found)) if k not in found]
-        return matched, len(missing), len(extra), " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in extra])
+        found, missing, j = [], [], n
+        while j:
+            now = steps[k][j, m]
+            if m and now == steps[k][j - 1, m - 1] + needed[j - 1]:
+                missing.append(want[j - 1])
+                j, m = j - 1, m - 1
+            elif k and have[k - 1] == want[j - 1] and now == steps[k - 1][j - 1, m]:
+                found.append(k - 1)
+                j, k = j - 1, k - 1
+            else:
+                k -= 1
+        return found[::-1], missing[::-1]
 
-    def find(self, block: str) -> Finding | None:
+    def _all_of(self, have: list[str], i: int, begin: int, end: int) -> Iterator[Finding]:
+        """The notices of a template between two places, the best first, then those before and behind it."""
+        part = have[begin:end]
+        if not self._may_hold(Counter(part), i):
+            return
+        at = f" {' '.join(part)} ".find(f" {' '.join(self.words[i])} ")
+        if at >= 0:
+            first = " ".join(part)[:at].count(" ")
+            compared = list(range(first, first + len(self.words[i]))), []
+        else:
+            compared = self.compare(part, i)
+        if compared is None:
+            return
+        places, missing = [p + begin for p in compared[0]], compared[1]
+        taken = set(places)
+        more = [have[k] for k in range(places[0], places[-1]) if k not in taken]
+        differences = " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in more])
+        saved = self.saved(have[places[0] : places[-1] + 1], i)
+        yield Finding(self.templates[i][0], i, saved, tuple(places), len(places), len(missing), len(more), differences)
+        yield from self._all_of(have, i, begin, places[0])
+        yield from self._all_of(have, i, places[-1] + 1, end)
+
+    def confirmed(self, have: list[str]) -> tuple[Finding, ...]:
+        """The notices in a block of words."""
+        block = " ".join(have)
         if block not in self.known:
             if len(self.known) >= MEMORY:
                 self.known.clear()
-            best = None
-            for saved, i in self.rank(block)[:CONFIRM]:
-                compared = self.compare(block, i) if saved > 0 else None
-                if compared and (best is None or sum(compared[1:3]) < best.missing + best.extra):
-                    best = Finding(self.templates[i][0], i, saved, *compared)
-            self.known[block] = best
+            self.known[block] = tuple(f for i in self.rank(have)[:CONFIRM] for f in self._all_of(have, i, 0, len(have)))
         return self.known[block]
 
+    def find_all(self, have: list[str]) -> list[Finding]:
+        """The notices in the words of a text, without those whose matched words all belong to a better one.
 
-def candidate_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, line, block: the lines with a cue, long ones in blocks of ``block_words`` that overlap by half."""
-    lines = F.filter(
-        F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda line, i: F.struct(i.alias("line"), line.alias("text"))),
-        lambda s: s.text.rlike(CUE),
-    )
-    cued = docs.select("doc_id", F.explode(lines).alias("s")).select(
-        "doc_id", "s.line", F.filter(F.split("s.text", f"{SPACE}+"), lambda w: w != "").alias("words")
-    )
-    step = block_words // 2
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - step), F.lit(step))
-    return (
-        cued.select("doc_id", "line", "words", F.explode(starts).alias("start"))
-        .select("doc_id", "line", F.array_join(F.slice("words", F.col("start"), block_words), " ").alias("block"))
-        .filter(F.col("block").rlike(CUE))
-    )
+        Blocks of twice BLOCK_WORDS overlap by half, so every notice is inside of one.
+        """
+        found = {}
+        for begin in range(0, max(len(have) - BLOCK_WORDS, 1), BLOCK_WORDS):
+            block = have[begin : begin + 2 * BLOCK_WORDS]
+            if _CUE.search(" ".join(block)):
+                for f in self.confirmed(block):
+                    moved = f.moved(begin)
+                    found[moved.template, moved.places] = moved
+        better: dict[int, list[tuple[Finding, frozenset[int]]]] = {}  # by a word they match
+        out = []
+        for f in sorted(found.values(), key=lambda f: (f.missing + f.extra, -f.matched, -f.reduction, f.template, f.places)):
+            if not any(places.issuperset(f.places) for _, places in better.get(f.places[0], ())):
+                out.append(f)
+                entry = (f, frozenset(f.places))
+                for p in f.places:
+                    better.setdefault(p, []).append(entry)
+        return out
+
+    def find(self, block: str) -> Finding | None:
+        """The best notice of a text."""
+        return next(iter(self.find_all(words_of(block))), None)
 
 
 def scan(
@@ -157,34 +238,41 @@ def scan(
 ) -> DataFrame:
     """License notices of documents: one row per document, line, and license found there.
 
-    Columns: doc_id, line (from 0), license, reduction, matched, missing, extra, differences ("-" words of the
-    template that are missing, "+" words put in). Of overlapping blocks with the same license the one
-    with fewest differences counts. Null and empty texts have none, repeated rows count once, an empty
-    table gives no rows.
+    Columns: doc_id, line (of the first matched word, from 0), license, reduction, matched, missing, extra,
+    differences ("-" words of the template that are missing, "+" words put in). A notice may go over line
+    ends; it has a cue word and at most BLOCK_WORDS words. Of notices of one license that begin in one
+    line the one with fewest differences counts. Null and empty texts have none, repeated rows count
+    once, an empty table gives no rows.
     """
     schema = (
         "license string, template int, reduction double, matched int, missing int, extra int, differences string"
     )
     fields = ("license", "template", "reduction", "matched", "missing", "extra", "differences")
+    kinds = (pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, agreement)
         for batch in batches:
-            found = [scanner.find(block) for block in batch.column("block").to_pylist()]
-            rows = [i for i, f in enumerate(found) if f]
-            kinds = (pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+            rows, lines, found = [], [], []
+            for row, text in enumerate(batch.column("text")):
+                low = text.as_py().lower()
+                spans = list(_TOKEN.finditer(low))
+                for f in scanner.find_all([s.group() for s in spans]):
+                    rows.append(row)
+                    lines.append(low.count("\n", 0, spans[f.places[0]].start()))
+                    found.append(f)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(rows, pa.int64())),
-                    batch.column("line").take(pa.array(rows, pa.int64())),
-                    *[pa.array([getattr(found[i], f) for i in rows], k) for f, k in zip(fields, kinds)],
+                    pa.array(lines, pa.int32()),
+                    *[pa.array([getattr(f, name) for f in found], k) for name, k in zip(fields, kinds)],
                 ],
                 ["doc_id", "line", *fields],
             )
 
-    blocks = candidate_blocks(docs)
-    kind = blocks.schema["doc_id"].dataType.simpleString()
-    found = blocks.mapInArrow(run, f"doc_id {kind}, line int, {schema}")
+    cued = docs.select("doc_id", "text").filter(F.col("text").rlike(CUE))
+    kind = cued.schema["doc_id"].dataType.simpleString()
+    found = cued.mapInArrow(run, f"doc_id {kind}, line int, {schema}")
     best = F.min_by(
         F.struct(*fields), F.struct(F.col("missing") + F.col("extra"), -F.col("reduction"), F.col("differences"))
     )

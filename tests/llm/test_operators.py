@@ -397,6 +397,20 @@ def test_license_scan(spark, edges, none):
     assert compression_licenses.scan(edges).count() == 0 and compression_licenses.scan(none).count() == 0
 
 
+def test_license_notices_go_over_lines(spark):
+    long = [i for i, (_, text) in enumerate(compression_licenses.TEMPLATES) if len(text.split()) > 15]
+    assert len(long) >= 4
+    texts = {}
+    for i in long:
+        words = compression_licenses.TEMPLATES[i][1].split()
+        wrapped = "\n".join("# " + " ".join(words[k : k + 7]) for k in range(0, len(words), 7))
+        for before in (0, 90, 130, 180):
+            texts[1000 * before + i] = " ".join(f"b{k}" for k in range(before)) + f"\nand\n{wrapped.upper() if before else wrapped}\nend"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = [(r["doc_id"], r["line"], r["license"], r["missing"], r["extra"]) for r in compression_licenses.scan(docs).collect()]
+    assert sorted(found) == sorted((d, 2, compression_licenses.TEMPLATES[d % 1000][0], 0, 0) for d in texts)
+
+
 def test_license_differences():
     scanner = compression_licenses.Scanner(compression_licenses.TEMPLATES, compression_licenses.AGREEMENT)
     found = scanner.find("Released today under the MIT License.")
