@@ -60,7 +60,6 @@ TEMPLATES = (
 )
 CUE = r"(?i)licen[sc]|copyright|warrant|redistribut|permission|permitted|creative\W+commons|\bcc\W+by\b|\bcc0\b"
 BLOCK_WORDS = 100  # words from a notice's first to its last, at most; more than twice the longest template
-CONFIRM = 3  # best ranked templates whose wording is compared
 AGREEMENT = 0.8  # share of a template's words that a block must have, in order
 MEMORY = 50_000  # blocks a task remembers
 _TOKEN = re.compile(r"\w+")
@@ -203,13 +202,15 @@ class Scanner:
         if block not in self.known:
             if len(self.known) >= MEMORY:
                 self.known.clear()
-            self.known[block] = tuple(f for i in self.rank(have)[:CONFIRM] for f in self._all_of(have, i, 0, len(have)))
+            self.known[block] = tuple(f for i in self.rank(have) for f in self._all_of(have, i, 0, len(have)))
         return self.known[block]
 
     def find_all(self, have: list[str]) -> list[Finding]:
         """The notices in the words of a text, without those whose matched words all belong to a better one.
 
-        Blocks of twice BLOCK_WORDS overlap by half, so every notice is inside of one.
+        Of a notice with differences the words may also belong to several better ones: such a notice is only
+        put together from their words. Blocks of twice BLOCK_WORDS overlap by half, so every notice is
+        inside of one.
         """
         found = {}
         for begin in range(0, max(len(have) - BLOCK_WORDS, 1), BLOCK_WORDS):
@@ -218,14 +219,15 @@ class Scanner:
                 for f in self.confirmed(block):
                     moved = f.moved(begin)
                     found[moved.template, moved.places] = moved
-        better: dict[int, list[tuple[Finding, frozenset[int]]]] = {}  # by a word they match
+        better: dict[int, list[frozenset[int]]] = {}  # by a word they match
         out = []
         for f in sorted(found.values(), key=lambda f: (f.missing + f.extra, -f.matched, -f.reduction, f.template, f.places)):
-            if not any(places.issuperset(f.places) for _, places in better.get(f.places[0], ())):
+            inside = any(places.issuperset(f.places) for places in better.get(f.places[0], ()))
+            if not inside and not (f.differences and all(p in better for p in f.places)):
                 out.append(f)
-                entry = (f, frozenset(f.places))
+                places = frozenset(f.places)
                 for p in f.places:
-                    better.setdefault(p, []).append(entry)
+                    better.setdefault(p, []).append(places)
         return out
 
     def find(self, block: str) -> Finding | None:

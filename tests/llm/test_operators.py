@@ -411,6 +411,16 @@ def test_license_notices_go_over_lines(spark):
     assert sorted(found) == sorted((d, 2, compression_licenses.TEMPLATES[d % 1000][0], 0, 0) for d in texts)
 
 
+def test_license_scan_returns_every_notice(spark):
+    notices = [text for _, text in compression_licenses.TEMPLATES]
+    texts = ["Released under the MIT License. Licensed under CC BY 4.0.", " ".join(notices), "\n".join(notices)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r["doc_id"], r["line"], r["license"]) for r in compression_licenses.scan(docs).collect()}
+    licenses = [name for name, _ in compression_licenses.TEMPLATES]
+    want = {(0, 0, "MIT"), (0, 0, "CC-BY-4.0"), *[(1, 0, name) for name in licenses]}
+    assert found == want | {(2, line, name) for line, name in enumerate(licenses)}
+
+
 def test_license_differences():
     scanner = compression_licenses.Scanner(compression_licenses.TEMPLATES, compression_licenses.AGREEMENT)
     found = scanner.find("Released today under the MIT License.")
