@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomfit.llm import jaccard_join, language_codes, length_buckets, subsequence_toxicity, templates
-from loomfit.llm.common import id_hash, keep, read
+from loomfit.llm.common import WORD, id_hash, keep, read
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,16 +26,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter((F.col("lang_pred") != language_codes.UNKNOWN) & ~F.col("ambiguous")).select(docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a column ``key`` of their id and text, ordered by id, null ids last.
+
+    It takes the place of the id, which may be null or shared by several texts. It depends on the row only, so
+    it is the same in every read. Only rows with the same id and text have the same key.
+    """
+    hashes = [F.xxhash64(F.lit(k), "doc_id", "text").alias(f"h{k}") for k in (0, 1)]
+    return docs.withColumn("key", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *hashes))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates."""
-    first = jaccard_join.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Keep the document with the smallest id of each group of near duplicates, and all that are in no group.
+
+    Rows that share an id are a group only if their texts are near duplicates; a null id comes last.
+    """
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    rows = keyed(docs.filter(worded))
+    found = jaccard_join.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"))
+    same = [F.col(f"doc_id.h{k}") == F.col(f"component_id.h{k}") for k in (0, 1)]
+    first = found.filter(same[0] & same[1]).select("doc_id.h0", "doc_id.h1").distinct()
+    one = rows.select("*", "key.h0", "key.h1").join(first, ["h0", "h1"], "left_semi").dropDuplicates(["h0", "h1"])
+    return one.select(docs.columns).union(docs.filter(~worded).select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that contain a benchmark question, also with other values in it."""
-    found = templates.leaks(docs, read(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    rows = keyed(docs)
+    found = templates.leaks(rows.select(F.col("key").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
+    leaked = found.select("doc_id.h0", "doc_id.h1").distinct()
+    return rows.select("*", "key.h0", "key.h1").join(leaked, ["h0", "h1"], "left_anti").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,37 @@ def test_stages_do_what_they_say(spark, sf, planted):
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == ids["decontamination"]
 
 
+def test_stages_keep_null_and_shared_ids(spark, sf):
+    words = "the quiet river runs by old trees and over many stones to that wide sea of light".split()
+    rng = np.random.default_rng(2)
+    a, b, c, d, e, f = (" ".join(rng.choice(words, 120)) for _ in range(6))
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [
+        (None, a, "only null", None),
+        (None, b, "null beside an id", None),
+        (5, b + " the", "id beside a null", None),
+        (7, c, "shared 1", None),
+        (7, d, "shared 2", None),
+        (8, e, "row", None),
+        (8, e, "row", None),
+        (None, f, "two nulls", None),
+        (None, f + " the", "two nulls", None),
+        (None, None, "empty", None),
+        (None, "", "empty", None),
+        (None, f"{d} {c}. {item}", "leak of null", None),
+        (9, f"{a} {b}. {item}", "leak of a shared id", None),
+        (9, f"{a} {e} {c}", "clean of a shared id", None),
+    ]
+    docs = keep(spark.createDataFrame([(i, t, "en", s, n) for i, t, s, n in rows], COLUMNS))
+    kept = keep(corpus_pipeline.near_duplicates(spark, docs, sf))
+    assert kept.columns == docs.columns
+    once = {s for _, _, s, _ in rows} - {"null beside an id", "empty"}
+    assert sorted(r["source"] for r in kept.collect()) == sorted([*once, "empty", "empty"])
+    clean = corpus_pipeline.decontamination(spark, kept, sf)
+    leaks = {"leak of null", "leak of a shared id"}
+    assert sorted(r["source"] for r in clean.collect()) == sorted([*(once - leaks), "empty", "empty"])
+
+
 def test_stages_take_empty_tables(spark, sf, planted):
     docs = planted.limit(0)
     for _, stage in corpus_pipeline.STAGES:
