@@ -310,6 +310,22 @@ def test_templates_find_other_values(spark, edges, none):
     assert templates.leaks(none, items).count() == 0 and templates.leaks(edges, items.limit(0)).count() == 0
 
 
+def leaked(spark, items, docs):
+    items = spark.createDataFrame([(k, t) for k, t in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(docs)], "doc_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in templates.leaks(docs, items).collect()}
+
+
+def test_templates_find_values_and_parts(spark):
+    table = "12 7 1999 44.5 Anna Berta 3 kg 88 102 71 5 16 23"
+    long = " ".join(f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(39))
+    short = [" ".join(f"short{chr(97 + n)}{chr(97 + k)}" for k in range(n)) for n in (16, 18, 20)]
+    changed = [" ".join("other" if k == n // 2 else w for k, w in enumerate(t.split())) for t in short for n in [len(t.split())]]
+    docs = [f"Here: {table} and more", table.replace("44.5", "44.6").replace("88", "89"), " ".join(long.split()[12:27]), *changed]
+    docs += [" ".join(long.split()[:9]), "12 7 1999 and the rest of it"]
+    assert leaked(spark, [table, long, *short], docs) == {(0, 0), (2, 1), (3, 2), (4, 3), (5, 4)}
+
+
 def test_templates_find_whole_items(spark, sf):
     docs, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     texts = {r["doc_id"]: " ".join(r["text"].lower().split()) for r in docs.collect()}
