@@ -22,7 +22,7 @@ from .common import FOLDED, Spans, keep, query, read, small_batches, text_bytes
 
 WIDTH = 8  # tokens of a window
 LITERALS = 0.6  # share of a window that must be words, not placeholders, or else its values count
-READINGS = (False,)  # whether a capital that begins a sentence is a name
+READINGS = (False, True)  # whether a capital that begins a sentence is a name
 FILTER_BITS = 22  # the prefilter has 2**FILTER_BITS cells, whatever the size of the benchmark
 COVERAGE = 0.5  # share of an item's windows, or of its tokens along one alignment, that a document must have
 RUN = 13  # or so many of its tokens in a row

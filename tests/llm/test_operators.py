@@ -326,6 +326,22 @@ def test_templates_find_values_and_parts(spark):
     assert leaked(spark, [table, long, *short], docs) == {(0, 0), (2, 1), (3, 2), (4, 3), (5, 4)}
 
 
+def test_templates_find_names_that_begin_sentences(spark):
+    items = [
+        "Anna has 12 apples. Anna gives 3 to Tom.",
+        "Every evening the old keeper called Anna walks along the wall and counts 7kg of stones there.",
+        "Where does the quiet river end?",
+    ]
+    docs = [
+        "Well. Ben has 12 apples. Ben gives 3 to Ed.",
+        "Every evening the old keeper called Mary Ann walks along the wall and counts 5 kg of stones there.",
+        "a line without an end\nWhere does the quiet river end? Yes.",
+        "they asked Where does the quiet river end? Yes.",
+        "Ben has 12 pears. Ben takes 3 from Ed.",
+    ]
+    assert leaked(spark, items, docs) == {(0, 0), (1, 1), (2, 2), (3, 2)}
+
+
 def test_templates_find_whole_items(spark, sf):
     docs, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     texts = {r["doc_id"]: " ".join(r["text"].lower().split()) for r in docs.collect()}
