@@ -53,13 +53,15 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the values of a binary column take about BATCH_BYTES together, one row at least."""
+def small_batches(
+    batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the values of a binary column take about ``most`` bytes together, one row at least."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
         begin, total = 0, 0
         for i, size in enumerate(sizes):
-            if total and total + size > BATCH_BYTES:
+            if total and total + size > most:
                 yield batch.slice(begin, i - begin)
                 begin, total = i, 0
             total += size
