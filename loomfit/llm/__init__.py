@@ -3,9 +3,12 @@
 from . import (  # noqa: F401
     compression_licenses,
     context_mixing,
+    conversation_repair,
+    exact_topk,
     jaccard_join,
     language_codes,
     length_buckets,
+    periodic_runs,
     quality_rules,
     revisits,
     subsequence_toxicity,
