@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import metrics as m
 from ..operators.linear import (
     ElasticNet,
@@ -102,6 +103,41 @@ def gram(spark, sf):
     )
 
 
+_COLUMNS = (*IX, "y", "1.0")
+
+
+@query(
+    "agg_gram_blocks",
+    f"WITH {ITEMS} " + " UNION ALL ".join(
+        f"SELECT {i} AS a, {j} AS b, {rs(f'sum({a} * {b})', 4)} AS total FROM it"
+        for i, a in enumerate(_COLUMNS)
+        for j, b in enumerate(_COLUMNS)
+        if i <= j
+    ),
+)
+def gram_blocks(spark, sf):
+    """The same sums in blocks of two columns, two pairs of blocks in a pass, never on the driver."""
+    with session.limits(BLOCK_COLUMNS=2, TASK_STATE_BYTES=256):
+        cells = TrainingTable.build(items(spark, sf), IX, "y").gram_table()
+    return cells.select("a", "b", r(F.col("total"), 4).alias("total"))
+
+
+def without_products(fit):
+    """Fits a model as if D x D sums had no room: by passes over the table with D sums each."""
+    with session.limits(BLOCK_COLUMNS=2, TASK_STATE_BYTES=8, DRIVER_SUM_BYTES=0):
+        return fit()
+
+
+@query("fit_least_squares_by_passes", _fit_sql(ITEMS, *solve_ctes("it", IX), IX))
+def least_squares_by_passes(spark, sf):
+    return weight_rows(without_products(lambda: LeastSquares().fit(items(spark, sf), IX, "y")), spark)
+
+
+@query("fit_ridge_by_passes", _fit_sql(ITEMS, *solve_ctes("it", IX, ridge=0.05), IX))
+def ridge_by_passes(spark, sf):
+    return weight_rows(without_products(lambda: Ridge(0.05).fit(items(spark, sf), IX, "y")), spark)
+
+
 _GD = descent_ctes("it", IX, 12, 0.2, SQUARED)
 
 
@@ -252,6 +288,17 @@ def lasso_coordinates(spark, sf):
     return weight_rows(model, spark)
 
 
+@query("fit_lasso_by_passes", _fit_sql(EVENTS, *_LASSO, XS, _NAMES))
+def lasso_by_passes(spark, sf):
+    return weight_rows(without_products(lambda: _lasso().fit(purchases(spark, sf), XS[1:], "y")), spark)
+
+
+@query("fit_lasso_coordinates_by_passes", _fit_sql(EVENTS, *_coordinate_ctes(3, 5.0), XS, _NAMES))
+def lasso_coordinates_by_passes(spark, sf):
+    model = Lasso(5.0, path=True, max_iters=3)
+    return weight_rows(without_products(lambda: model.fit(purchases(spark, sf), XS[1:], "y")), spark)
+
+
 _ABS = " + ".join(f"abs(b{i})" for i in range(len(XS)))
 _SQ = " + ".join(f"b{i} * b{i}" for i in range(len(XS)))
 
@@ -354,6 +401,13 @@ def logistic_newton(spark, sf):
     return weight_rows(model, spark)
 
 
+@query("fit_logistic_newton_by_products", _fit_sql(EVENTS, *_newton_ctes(3, 0.9, 0.01), XS[:2]))
+def logistic_newton_by_products(spark, sf):
+    """Newton steps whose Hessians are never formed, only multiplied with vectors."""
+    model = Logistic(0.9, 3, 0.01, learning="newton")
+    return weight_rows(without_products(lambda: model.fit(purchases(spark, sf), XS[:2], "y")), spark)
+
+
 _MANY = [(0.5, 0.0), (0.25, 0.05), (1.0, 0.01)]
 _MANY_CTES = [
     descent_ctes("ev", XS, 4, g, LOGISTIC, f"2 * {lam} * {{b}}", prefix=f"m{i}_")
@@ -454,6 +508,14 @@ def imbalanced_logistic(spark, sf):
     return weight_rows(ImbalancedLogistic(0.4, 0.06, 5).fit(purchases(spark, sf), XS, "y"), spark)
 
 
+@query("fit_imbalanced_logistic_stored_rewards", _fit_sql(EVENTS, *_imbalanced_ctes(5, 0.4, 0.06), XS))
+def imbalanced_logistic_stored_rewards(spark, sf):
+    """The same steps where past weights have room for two steps, so rewards are stored after every second."""
+    with session.limits(TASK_STATE_BYTES=2 * 4 * 8 * len(XS)):
+        model = ImbalancedLogistic(0.4, 0.06, 5).fit(purchases(spark, sf), XS, "y")
+    return weight_rows(model, spark)
+
+
 # Fit-and-report functions -----------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import statistics as st
 from ..operators import sampling
 from ..operators.ensemble import tag_clusters
@@ -318,6 +319,23 @@ def correlation(spark, sf):
     )
 
 
+@query(
+    "agg_correlation_table",
+    "WITH s AS (SELECT * FROM lineitem) "
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, {rs(f'covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b}))')} AS r FROM s"
+        for i, a in enumerate(_CORR)
+        for b in _CORR[i:]
+    ),
+)
+def correlation_table(spark, sf):
+    """Correlations as a table, summed in blocks of two columns."""
+    df = table(spark, sf, "lineitem").select(*_CORR)
+    with session.limits(BLOCK_COLUMNS=2, TASK_STATE_BYTES=256):
+        cells = st.correlation_table(df, list(_CORR), st.profile(df, _CORR))
+    return cells.select("a", "b", r(F.col("r")).alias("r"))
+
+
 @query("agg_class_counts", f"SELECT y, count(*) AS n FROM ({EVENT_SQL}) GROUP BY y")
 def class_counts(spark, sf):
     found = sampling.class_counts(purchases(spark, sf), "y")

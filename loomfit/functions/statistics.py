@@ -205,21 +205,56 @@ def class_counts_of(
     return out
 
 
-def correlations(df: DataFrame, columns: Sequence[str], known: Profile) -> np.ndarray:
-    """Pearson matrix from one pass over centred columns; NaN where a column is constant or has a
-    missing value."""
+def _standardised(df: DataFrame, columns: Sequence[str], known: Profile) -> tuple[list[str], TrainingTable]:
+    """The numeric columns that vary and miss nothing, and their standardised values as a table of vectors."""
     usable = [
         c for c in columns if known[c].numeric and known[c].n and not known[c].n_missing and known[c].std
     ]
-    out = np.full((len(columns), len(columns)), np.nan)
-    if not usable:
-        return out
     centred = df.select(
         F.array(*[(quoted(c).cast("double") - F.lit(known[c].mean)) / F.lit(known[c].std) for c in usable]).alias("f"),
         F.lit(0.0).alias("y"),
     )
-    (gram,) = TrainingTable(centred, len(usable)).grams()
+    return usable, TrainingTable(centred, len(usable))
+
+
+def correlations(df: DataFrame, columns: Sequence[str], known: Profile) -> np.ndarray:
+    """Pearson matrix from one pass over centred columns; NaN where a column is constant or has a
+    missing value."""
+    usable, table = _standardised(df, columns, known)
+    out = np.full((len(columns), len(columns)), np.nan)
+    if not usable:
+        return out
+    (gram,) = table.grams()
     scale = np.sqrt(np.diag(gram.xtx))
     at = [columns.index(c) for c in usable]
     out[np.ix_(at, at)] = gram.xtx / np.outer(scale, scale)
     return out
+
+
+def correlation_table(df: DataFrame, columns: Sequence[str], known: Profile) -> DataFrame:
+    """(a, b, r) for each pair of usable columns, a before b or the same; for any number of columns.
+
+    Constant columns and ones with missing values have no rows. The matrix stays on the cluster.
+    """
+    usable, table = _standardised(df, columns, known)
+    if not usable:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    names = F.array(*map(F.lit, usable))
+    n = known[usable[0]].n
+    return table.gram_table().filter(F.col("b") < len(usable)).select(
+        F.get(names, F.col("a")).alias("a"), F.get(names, F.col("b")).alias("b"), (F.col("total") / n).alias("r")
+    )
+
+
+def proportional(df: DataFrame, columns: Sequence[str], known: Profile) -> list[str]:
+    """The columns that have a correlation of 1 with a later one, found block by block of the matrix."""
+    usable, table = _standardised(df, columns, known)
+    if not usable:
+        return []
+    n, found = known[usable[0]].n, set()
+    for _, rows, others, block in table.gram_blocks():
+        close = np.isclose(block / n, 1.0)
+        a, b = np.nonzero(close)
+        a, b = a + rows.start, b + others.start
+        found.update(a[(a < b) & (b < len(usable))].tolist())
+    return [usable[i] for i in sorted(found)]

@@ -1,7 +1,9 @@
 """Linear models with a quadratic or absolute loss.
 
 A quadratic loss needs only the Gram sums: one pass over the table serves closed forms, any number
-of descent steps, any grid of step sizes and penalties, and all folds.
+of descent steps, any grid of step sizes and penalties, and all folds. With more features than the driver
+can hold D x D sums of, the same solutions come from passes over the table that need D sums each: systems are
+solved by conjugate gradients, steps take their slope from a pass, and coordinates are updated block by block.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import metrics
 from ..functions.scalars import dot, linear_score, quoted, real_array, sign
 from . import sums
@@ -139,6 +142,51 @@ def solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.linalg.lstsq(a, b, rcond=None)[0]
 
 
+def conjugate(apply, b: np.ndarray, tolerance: float = 1e-11) -> np.ndarray:
+    """Solves A x = b for each column of ``b`` at once, where ``apply(p, columns)`` gives A p for some of them.
+
+    Conjugate gradients from zero: with a singular A they lead to the least-norm solution. A column is
+    done when its residual is small, or does not shrink any more.
+    """
+    x, r, p = np.zeros_like(b), b.copy(), b.copy()
+    size = (r * r).sum(axis=0)
+    goal, best, stale = tolerance**2 * size, size.copy(), np.zeros(len(size), int)
+    best_x = x.copy()
+    patience = min(len(b), 50) + 2
+    for _ in range(20 * len(b) + 20):
+        open_ = np.flatnonzero((size > goal) & (stale < patience))
+        if not len(open_):
+            break
+        ap = apply(p[:, open_], open_)
+        bend = (p[:, open_] * ap).sum(axis=0)
+        flat = bend <= 0  # nothing left but rounding
+        step = np.where(flat, 0.0, size[open_] / np.where(flat, 1.0, bend))
+        x[:, open_] += step * p[:, open_]
+        r[:, open_] -= step * ap
+        left = (r[:, open_] ** 2).sum(axis=0)
+        p[:, open_] = r[:, open_] + left / size[open_] * p[:, open_]
+        size[open_] = np.where(flat, 0.0, left)
+        better = left < best[open_]
+        best_x[:, open_[better]] = x[:, open_[better]]
+        stale[open_] = np.where(better, 0, stale[open_] + 1)
+        best[open_] = np.minimum(best[open_], left)
+    return best_x
+
+
+def normal_equations(models, table: TrainingTable, columns: Sequence[int]) -> np.ndarray:
+    """Weights of (X'X + 2 n lambda) w = X'y, by passes with D sums per model and iteration."""
+    shape = (table.dim, len(models))
+    ridge = np.array([getattr(model, "lambda_", 0.0) for model in models])
+    columns = np.array(columns)
+    with table.kept(table.dim):
+        slope, n, _ = table.gradients("mse", np.zeros(shape), columns)
+
+        def apply(p, ms):
+            return table.gradients("product", p, columns[ms])[0] + 2 * n[ms] * ridge[ms] * p
+
+        return conjugate(apply, -slope)
+
+
 def start(model: Any, dim: int) -> np.ndarray:
     w = getattr(model, "initial_w", None)
     return np.zeros(dim) if w is None else np.array(w, dtype=float)
@@ -154,6 +202,8 @@ class LeastSquares(Estimator):
 
     @classmethod
     def train(cls, models, table, columns):
+        if not table.gram_fits():
+            return normal_equations(models, table, columns), [()] * len(models)
         grams = table.grams()
         w = [solve(g.xtx, g.xty) for g in (grams[weighting(table, columns, m)] for m in range(len(models)))]
         return np.column_stack(w), [()] * len(models)
@@ -167,6 +217,8 @@ class Ridge(Estimator):
 
     @classmethod
     def train(cls, models, table, columns):
+        if not table.gram_fits():
+            return normal_equations(models, table, columns), [()] * len(models)
         grams = table.grams()
         out = []
         for m, model in enumerate(models):
@@ -201,7 +253,7 @@ class GradientDescent(Estimator):
             for m in on_gram:
                 g = grams[weighting(table, columns, m)]
                 for _ in range(models[m].max_iters):
-                    w[:, m] -= models[m].gamma * (g.xtx @ w[:, m] - g.xty) / g.n
+                    w[:, m] -= models[m].gamma * g.gradient(w[:, m]) / g.n
         for kind in ("mse", "mae"):
             rest = [m for m, x in enumerate(models) if x.loss == kind and m not in on_gram]
             gammas = np.array([models[m].gamma for m in rest])
@@ -241,18 +293,40 @@ def _run(models, members, source_at, columns, w, kind, step, steps) -> None:
     for t in range(steps):
         source = source_at(t)
         ms = [m for m in members if models[m].max_iters > t]
-        picked = np.array([columns[m] for m in ms]) if source.n_weights else None
+        of = np.array([columns[m] for m in ms])
         if kind == "newton":
-            kernel, size = sums.newton_kernel(w[:, ms], picked, source.n_weights)
+            _newton(source, w, ms, of, step)
         else:
-            kernel, size = sums.gradient_kernel(kind, w[:, ms], picked, source.n_weights)
-        flat = source.sum(kernel, size)
-        d, k = w.shape[0], len(ms)
-        gradient, n = flat[: d * k].reshape(d, k), flat[d * k : d * k + k]
-        if kind == "newton":
-            w[:, ms] = step(ms, w[:, ms], gradient, n, flat[d * k + k :].reshape(k, d, d))
+            w[:, ms] = step(ms, w[:, ms], *source.gradients(kind, w[:, ms], of)[:2])
+
+
+def _newton(source, w, ms, of, step) -> None:
+    """One Newton step of the models ``ms``; ``step`` gets what solves their Hessians.
+
+    Hessians are summed for as many models as a task can hold D x D sums of. If that is none, they are never
+    formed: conjugate gradients need their products with vectors only, a pass with D sums per model each.
+    """
+    dim = len(w)
+    room = session.TASK_STATE_BYTES // (8 * dim * dim)
+    for begin in range(0, len(ms), room or len(ms)):
+        part, picked = ms[begin : begin + (room or len(ms))], of[begin : begin + (room or len(ms))]
+        at = w[:, part]
+        if room:
+            flat = source.sum(*sums.newton_kernel(at, picked if source.n_weights else None, source.n_weights))
+            gradient, n = flat[: at.size].reshape(at.shape), flat[at.size : at.size + len(part)]
+            hessians = flat[at.size + 2 * len(part) :].reshape(len(part), dim, dim)
+
+            def solved(slopes, hessians=hessians, n=n):
+                return np.column_stack([solve(h / k, slope) for h, k, slope in zip(hessians, n, slopes.T)])
         else:
-            w[:, ms] = step(ms, w[:, ms], gradient, n)
+            gradient, n, _ = source.gradients("logistic", at, picked)
+
+            def solved(slopes, at=at, n=n, picked=picked):
+                return conjugate(
+                    lambda p, k: source.gradients("curvature", p, picked[k], at[:, k])[0] / n[k], slopes
+                )
+
+        w[:, part] = step(part, at, gradient, n, solved)
 
 
 # Penalised descent -----------------------------------------------------------------------------
@@ -293,13 +367,21 @@ class PenalisedEstimator(Estimator):
 
     def one_step(self, g: Gram, w: np.ndarray) -> np.ndarray:
         if not self.path:
-            return w - self.gamma * ((g.xtx @ w - g.xty) / g.n + self.penalty.slope(w))
-        w = w.copy()
-        for j in range(len(w)):
-            own = g.xtx[j, j]
-            rho = g.xty[j] - g.xtx[j] @ w + own * w[j]
+            return w - self.gamma * (g.gradient(w) / g.n + self.penalty.slope(w))
+        return self.updated(w, 0, g.xtx, g.gradient(w))
+
+    def updated(self, w: np.ndarray, first: int, xtx: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+        """The weights after the coordinates from ``first`` on were updated in turn.
+
+        ``xtx`` are their cross products, and ``gradient`` the sums of X'(Xw - y) for them.
+        """
+        w, gradient = w.copy(), gradient.copy()
+        for i, own in enumerate(np.diag(xtx)):
+            before = w[first + i]
+            rho = own * before - gradient[i]
             shrunk = np.sign(rho) * max(abs(rho) - self.lambda_, 0.0)
-            w[j] = shrunk / own if own > 0 else 0.0
+            w[first + i] = shrunk / own if own > 0 else 0.0
+            gradient += xtx[:, i] * (w[first + i] - before)
         return w
 
     def objective(self, g: Gram, w: np.ndarray) -> float:
@@ -309,7 +391,13 @@ class PenalisedEstimator(Estimator):
     def train(cls, models, table, columns):
         out, losses = [], []
         batched: dict[Any, Any] = {}
+        whole = [m for m, model in enumerate(models) if model.batch_size is None]
+        passed = {} if not whole or table.gram_fits() else _by_passes(models, whole, table, columns)
         for m, model in enumerate(models):
+            if m in passed:
+                out.append(passed[m][0])
+                losses.append(passed[m][1])
+                continue
             column = weighting(table, columns, m)
             w, history = start(model, table.dim), []
             if model.batch_size is None:
@@ -335,12 +423,41 @@ class PenalisedEstimator(Estimator):
         return np.column_stack(out), losses
 
 
+def _by_passes(models, picked, table: TrainingTable, columns) -> dict[int, tuple[np.ndarray, tuple[float, ...]]]:
+    """Weights and losses of the models ``picked`` without D x D sums, by one pass per step for all of them.
+
+    Coordinate descent takes a pass per block of coordinates, with the sums of that block.
+    """
+    w = np.column_stack([start(models[m], table.dim) for m in picked])
+    of = np.array([columns[m] for m in picked])
+    iters = [models[m].max_iters for m in picked]
+    losses: list[list[float]] = [[] for _ in picked]
+    with table.kept(max(iters) + 1):
+        slopes, n, _ = table.gradients("mse", w, of)
+        for t in range(max(iters)):
+            now = np.array([i for i, steps in enumerate(iters) if steps > t])
+            for i in now:
+                model = models[picked[i]]
+                if not model.path:
+                    w[:, i] -= model.gamma * (slopes[:, i] / n[i] + model.penalty.slope(w[:, i]))
+                    continue
+                for begin, end in sums.column_blocks(table.dim, session.BLOCK_COLUMNS):
+                    column = of[i] if table.n_weights else None
+                    flat = table.sum(*sums.coordinate_kernel(w[:, i], begin, end, column, table.n_weights))
+                    size = end - begin
+                    w[:, i] = model.updated(w[:, i], begin, flat[size:].reshape(size, size), flat[:size])
+            slopes[:, now], n[now], squares = table.gradients("mse", w[:, now], of[now])
+            for i, square in zip(now, squares):
+                losses[i].append(square / (2 * n[i]) + models[picked[i]].penalty.value(w[:, i]))
+    return {m: (w[:, i], tuple(losses[i])) for i, m in enumerate(picked)}
+
+
 def _batch_grams(batch_at, dim: int):
     known: dict[int, Gram] = {}
 
     def at(t: int) -> Gram:
         if t not in known:
-            known[t] = Gram.of(batch_at(t).sum(*sums.gram_kernel(dim)), dim)
+            known[t] = batch_at(t).grams()[0]
         return known[t]
 
     return at

@@ -8,12 +8,14 @@ from typing import ClassVar
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..session import check_state_size, work_folder
+from .. import session
+from ..session import work_folder
 from . import sums
-from .linear import Estimator, descend, solve, start
+from .linear import Estimator, descend, start
 from .table import TrainingTable
 
-# Steps after which the per-row rewards of the imbalanced loss are stored.
+# Steps after which the per-row rewards of the imbalanced loss are stored, or earlier where their weights
+# would take more than a quarter of what a task may hold.
 REFRESH_STEPS = 50
 
 
@@ -50,12 +52,11 @@ class Logistic(Estimator):
                 gradient[:, i] += models[m].penalty_slope(w[:, i])
             return w - np.array([models[m].gamma for m in ms]) * gradient
 
-        def newton(ms, w, gradient, n, hessians):
-            out = np.empty_like(w)
+        def newton(ms, w, gradient, n, solved):
+            slopes = gradient / n
             for i, m in enumerate(ms):
-                slope = gradient[:, i] / n[i] + models[m].penalty_slope(w[:, i])
-                out[:, i] = w[:, i] - models[m].gamma * solve(hessians[i] / n[i], slope)
-            return out
+                slopes[:, i] += models[m].penalty_slope(w[:, i])
+            return w - np.array([models[m].gamma for m in ms]) * solved(slopes)
 
         for kind, learning, step in (
             ("logistic", "gradient_descent", plain),
@@ -71,8 +72,9 @@ class ImbalancedLogistic(Estimator):
     """Logistic regression whose positive rows carry a reward that grows while they score high.
 
     The reward of a positive row is ``1 + alpha * sum_s ln(1 + e^(x . w_s))`` over the steps so far.
-    It is recomputed inside each pass from the past weights; every ``REFRESH_STEPS`` steps the
-    positive rows are written to the shared folder with their rewards and the past is dropped.
+    It is recomputed inside each pass from the past weights. Every ``REFRESH_STEPS`` steps, and whenever the
+    past weights fill their share of a task's memory, the positive rows are written to the shared folder with
+    their rewards and the past is dropped.
     """
 
     gamma: float
@@ -98,12 +100,12 @@ class ImbalancedLogistic(Estimator):
                 table.df.select(*names).withColumn("p", ones), table.dim, table.n_weights, tasks=table.tasks
             )
             for t in range(iters.max(initial=0)):
-                if len(history) == REFRESH_STEPS:
+                room = max(1, session.TASK_STATE_BYTES // (4 * 8 * w.size))
+                if len(history) >= min(REFRESH_STEPS, room):
                     positives = cls._store_rewards(positives, np.array(history), alphas, table.dim)
                     current = replace(current, df=negatives.unionByName(positives), tasks=None)
                     history = []
                 past = np.array(history).reshape(-1, *w.shape)
-                check_state_size(past.size, "the weights of the past steps")
                 kernel, size = sums.imbalanced_kernel(w, past, alphas, picked, table.n_weights)
                 flat = current.sum(kernel, size)
                 gradient, n = flat[: w.size].reshape(w.shape), flat[w.size :]

@@ -1,22 +1,24 @@
 """Sums over all rows of a table of vectors, the one building block of model training.
 
 A pass runs a NumPy kernel over Arrow batches inside the tasks. Every task emits its partial sum,
-cut into slots of fixed width; partial sums are then added slot by slot. What reaches the driver
-is the size of the sum itself (D x D, or D x models), never a function of the row count. The driver
-adds the partial sums directly only where tasks x size is known to be small.
+cut into slots of fixed width, and partial sums are added up a tree: tasks are dealt into groups of about
+the square root of their number, groups are added, then the groups' sums. What reaches the driver is the size
+of the sum itself (D x D, or D x models), never a function of the row count. The driver is the tree's root
+where the partial sums left are known to be small.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..session import DRIVER_SUM_BYTES
+from .. import session
 
 SLOT_WIDTH = 8192
 
@@ -29,6 +31,19 @@ def sum_rows(
     ``tasks`` is the number of tasks the table is read with, where the caller knows it.
     """
     width = SLOT_WIDTH
+    parts = partial_sums(df, kernel, size, width)
+    out = np.zeros(size)
+    if tasks is None or tasks * size * 8 > session.DRIVER_SUM_BYTES:
+        parts = added_up(parts)
+    table = parts.select("slot", "part").toArrow()
+    for slot, part in zip(table["slot"].to_pylist(), table["part"]):
+        values = part.values.to_numpy()
+        out[slot * width : slot * width + len(values)] += values
+    return out
+
+
+def partial_sums(df: DataFrame, kernel: Callable[[pa.RecordBatch], np.ndarray], size: int, width: int) -> DataFrame:
+    """Each task's sum, cut into slots: slot, part."""
 
     def partial(batches):
         total = None
@@ -37,30 +52,29 @@ def sum_rows(
                 part = kernel(batch)
                 total = part if total is None else total + part
         if total is not None:
-            starts = range(0, size, width)
+            starts = np.append(np.arange(0, size, width), size).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(range(len(starts)), pa.int32()),
-                    pa.array([total[s : s + width] for s in starts], pa.list_(pa.float64())),
+                    pa.array(range(len(starts) - 1), pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(starts), pa.array(total)),
                 ],
                 names=["slot", "part"],
             )
 
-    parts = df.mapInArrow(partial, "slot int, part array<double>")
-    out = np.zeros(size)
-    if tasks is not None and tasks * size * 8 <= DRIVER_SUM_BYTES:
-        table = parts.toArrow()
-    else:
-        table = (
-            parts.groupBy("slot")
-            .agg(Summarizer.sum(array_to_vector("part")).alias("total"))
-            .select("slot", vector_to_array("total").alias("part"))
-            .toArrow()
-        )
-    for slot, part in zip(table["slot"].to_pylist(), table["part"]):
-        values = part.values.to_numpy()
-        out[slot * width : slot * width + len(values)] += values
-    return out
+    return df.mapInArrow(partial, "slot int, part array<double>")
+
+
+def added_up(parts: DataFrame) -> DataFrame:
+    """The sums of equal slots over all tasks, in two levels.
+
+    Group g holds the tasks from g**2 to (g + 1)**2 - 1, so with n tasks no group has more than
+    2 sqrt(n) + 1 of them, and there are sqrt(n) groups, whatever n is.
+    """
+    total = Summarizer.sum(array_to_vector("part")).alias("total")
+    group = F.floor(F.sqrt(F.spark_partition_id())).cast("int")
+    grouped = parts.withColumn("group", group).groupBy("slot", "group").agg(total)
+    by_group = grouped.select("slot", vector_to_array("total").alias("part"))
+    return by_group.groupBy("slot").agg(total).select("slot", vector_to_array("total").alias("part"))
 
 
 def vectors(column: pa.Array, dim: int) -> np.ndarray:
@@ -71,6 +85,12 @@ def vectors(column: pa.Array, dim: int) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).reshape(len(column), dim).astype(float, copy=False)
 
 
+def list_array(matrix: np.ndarray) -> pa.ListArray:
+    """The rows of a matrix as a list column."""
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(matrix, dtype=float).ravel()))
+
+
 def scalars(column: pa.Array) -> np.ndarray:
     if column.null_count:
         raise ValueError("a label or weight is missing")
@@ -80,44 +100,76 @@ def scalars(column: pa.Array) -> np.ndarray:
 # Kernels ---------------------------------------------------------------------------------------
 
 
-def gram_kernel(dim: int, groups: int = 1, weighted: int = 0):
-    """Cross-product sums of ``[f, y, 1]`` per group.
+def column_blocks(side: int, width: int) -> list[tuple[int, int]]:
+    """``side`` columns cut into blocks of ``width``, as (from, to)."""
+    return [(begin, min(begin + width, side)) for begin in range(0, side, width)]
+
+
+def block_passes(
+    blocks: Sequence[tuple[int, int]], sums_per_cell: int, most_bytes: int
+) -> Iterator[list[tuple[int, int]]]:
+    """The pairs (i, j) of blocks, i <= j, in passes whose sums take at most ``most_bytes``, or one pair."""
+    picked, cells = [], 0
+    for i, (a, b) in enumerate(blocks):
+        for j, (c, d) in enumerate(blocks[i:], i):
+            more = (b - a) * (d - c)
+            if picked and (cells + more) * sums_per_cell * 8 > most_bytes:
+                yield picked
+                picked, cells = [], 0
+            picked.append((i, j))
+            cells += more
+    if picked:
+        yield picked
+
+
+def gram_kernel(
+    dim: int,
+    groups: int = 1,
+    weighted: int = 0,
+    blocks: Sequence[tuple[int, int]] | None = None,
+    pairs: Sequence[tuple[int, int]] = ((0, 0),),
+):
+    """Cross-product sums of ``[f, y, 1]`` per pair of column blocks and group; all columns by default.
 
     ``groups`` > 1 reads an integer column ``fold`` and sums every fold on its own (rows outside
     0..groups-1 count nowhere); ``weighted`` > 0 reads weight vectors ``wt`` and sums once per weight.
     """
-    side = dim + 2
-
-    def products(x, y, w=None):
-        out = np.empty((side, side))
-        xw, yw = (x, y) if w is None else (x * w[:, None], y * w)
-        out[:dim, :dim] = xw.T @ x
-        out[:dim, dim] = out[dim, :dim] = xw.T @ y
-        out[:dim, -1] = out[-1, :dim] = xw.sum(axis=0)
-        out[dim, dim] = yw @ y
-        out[dim, -1] = out[-1, dim] = yw.sum()
-        out[-1, -1] = len(x) if w is None else w.sum()
-        return out.ravel()
+    blocks = blocks or [(0, dim + 2)]
+    needed = sorted({i for pair in pairs for i in pair})
+    shape = [(blocks[i][1] - blocks[i][0], blocks[j][1] - blocks[j][0]) for i, j in pairs]
+    n_sums = max(groups, weighted, 1)
+
+    def columns(x, y, begin, end):
+        if end <= dim:
+            return x[:, begin:end]
+        ends = np.column_stack([y, np.ones(len(y))])[:, max(begin - dim, 0) : end - dim]
+        return np.hstack([x[:, begin:dim], ends]) if begin < dim else ends
 
     def kernel(batch):
         x, y = vectors(batch.column("f"), dim), scalars(batch.column("y"))
+        parts = {i: columns(x, y, *blocks[i]) for i in needed}
         if weighted:
             wt = vectors(batch.column("wt"), weighted)
-            return np.concatenate([products(x, y, wt[:, k]) for k in range(weighted)])
-        if groups > 1:
+            of = [({i: parts[i] * wt[:, [k]] for i, _ in pairs}, parts) for k in range(weighted)]
+        elif groups > 1:
             fold = batch.column("fold").to_numpy(zero_copy_only=False)
-            return np.concatenate([products(x[fold == g], y[fold == g]) for g in range(groups)])
-        return products(x, y)
+            of = [({i: parts[i][fold == k] for i in needed},) * 2 for k in range(groups)]
+        else:
+            of = [(parts, parts)]
+        return np.concatenate([(left[i].T @ right[j]).ravel() for left, right in of for i, j in pairs])
 
-    return kernel, max(groups, weighted, 1) * side * side
+    return kernel, n_sums * sum(a * b for a, b in shape)
 
 
-def gradient_kernel(kind: str, w: np.ndarray, columns: np.ndarray | None, n_weights: int):
+def gradient_kernel(
+    kind: str, w: np.ndarray, columns: np.ndarray | None, n_weights: int, at: np.ndarray | None = None
+):
     """Sums ``X^T r`` for many models at once: ``w`` is (D, models).
 
-    Labels of -1 count as 0 in the logistic loss. ``columns[m]`` picks the weight of model m from
-    the row's weight vector ``wt``. The last
-    ``models`` entries are the summed weights, i.e. each model's row count.
+    Labels of -1 count as 0 in the logistic loss; ``product`` takes the scores themselves for r, and
+    ``curvature`` the scores of ``w`` times the logistic slope at ``at``. ``columns[m]`` picks the weight of
+    model m from the row's weight vector ``wt``. Then come the summed weights, i.e. each model's row count,
+    and each model's sum of r squared.
     """
     dim, models = w.shape
 
@@ -130,17 +182,35 @@ def gradient_kernel(kind: str, w: np.ndarray, columns: np.ndarray | None, n_weig
                 r = 1.0 / (1.0 + np.exp(-z)) - np.where(y == -1, 0.0, y)
         elif kind == "mae":
             r = -np.sign(y - z)
+        elif kind == "curvature":
+            with np.errstate(over="ignore"):
+                s = 1.0 / (1.0 + np.exp(-(x @ at)))
+            r = s * (1.0 - s) * z
         else:
-            r = z - y
+            r = z if kind == "product" else z - y
+        weighted = r
         if n_weights:
             wt = vectors(batch.column("wt"), n_weights)[:, columns]
-            r = r * wt
+            weighted = r * wt
             n = wt.sum(axis=0)
         else:
             n = np.full(models, float(len(x)))
-        return np.concatenate([(x.T @ r).ravel(), n])
+        return np.concatenate([(x.T @ weighted).ravel(), n, (r * weighted).sum(axis=0)])
 
-    return kernel, dim * models + models
+    return kernel, dim * models + 2 * models
+
+
+def coordinate_kernel(w: np.ndarray, begin: int, end: int, column: int | None, n_weights: int):
+    """X'(Xw - y) of the coordinates from ``begin`` to ``end``, and their cross products, for one model."""
+    dim = len(w)
+
+    def kernel(batch):
+        x, y = vectors(batch.column("f"), dim), scalars(batch.column("y"))
+        part, r = x[:, begin:end], x @ w - y
+        weighted = part if column is None else part * vectors(batch.column("wt"), n_weights)[:, [column]]
+        return np.concatenate([weighted.T @ r, (weighted.T @ part).ravel()])
+
+    return kernel, (end - begin) * (end - begin + 1)
 
 
 def newton_kernel(w: np.ndarray, columns: np.ndarray | None, n_weights: int):
@@ -210,7 +280,7 @@ def reward_batches(history: np.ndarray, alphas: np.ndarray, dim: int, names: lis
             y = np.where(y == -1, 0.0, y)
             p = vectors(batch.column("p"), models) + alphas * y[:, None] * gain
             columns = {n: batch.column(n) for n in names}
-            columns["p"] = pa.array(list(p), pa.list_(pa.float64()))
+            columns["p"] = list_array(p)
             yield pa.RecordBatch.from_pydict(columns)
 
     return refresh

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import quoted
 from .. import session
-from ..session import BATCH_ROWS_BYTES, SPREAD_ROWS, check_state_size, work_folder
+from ..session import BATCH_ROWS_BYTES, SPREAD_ROWS, work_folder
 from . import sums
 from .sampling import Folds, batches
 
@@ -33,6 +34,10 @@ class Gram:
         z = flat.reshape(dim + 2, dim + 2)
         return Gram(z[-1, -1], z[:dim, :dim], z[:dim, dim], z[dim, dim])
 
+    def gradient(self, w: np.ndarray) -> np.ndarray:
+        """Half the slope of the sum of squared residuals."""
+        return self.xtx @ w - self.xty
+
     def __sub__(self, other: "Gram") -> "Gram":
         return Gram(
             self.n - other.n, self.xtx - other.xtx, self.xty - other.xty, self.yty - other.yty
@@ -56,6 +61,31 @@ def vector_size(df: DataFrame, vector: str) -> int:
     return row["n"]
 
 
+def _cells(pairs, blocks, width: int):
+    """Turns slots of summed pairs of blocks into numbered cells."""
+    shapes = [(blocks[i][1] - blocks[i][0], blocks[j][1] - blocks[j][0]) for i, j in pairs]
+    ends = np.cumsum([a * b for a, b in shapes])
+    origins = np.array([(blocks[i][0], blocks[j][0]) for i, j in pairs])
+    wide = np.array([b for _, b in shapes])
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for slot, part in zip(batch.column("slot").to_pylist(), batch.column("part")):
+                total = part.values.to_numpy()
+                at = slot * width + np.arange(len(total))
+                weighting, at = np.divmod(at, int(ends[-1]))
+                pair = np.searchsorted(ends, at, side="right")
+                row, column = np.divmod(at - np.append(0, ends)[pair], wide[pair])
+                a, b = origins[pair, 0] + row, origins[pair, 1] + column
+                upper = a <= b
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v[upper], pa.int32()) for v in (weighting, a, b)] + [pa.array(total[upper])],
+                    ["weighting", "a", "b", "total"],
+                )
+
+    return cells
+
+
 @dataclass
 class LocalBatch:
     """One mini-batch small enough to be summed where the descent loop runs."""
@@ -67,6 +97,13 @@ class LocalBatch:
     def sum(self, kernel, size: int) -> np.ndarray:
         return kernel(self.batch)
 
+    def grams(self) -> list[Gram]:
+        return [Gram.of(self.sum(*sums.gram_kernel(self.dim)), self.dim)]
+
+    def gradients(self, kind: str, w: np.ndarray, columns, at: np.ndarray | None = None):
+        flat = self.sum(*sums.gradient_kernel(kind, w, None, 0, at))
+        return flat[: w.size].reshape(w.shape), *flat[w.size :].reshape(2, -1)
+
 
 @dataclass
 class TrainingTable:
@@ -170,23 +207,71 @@ class TrainingTable:
             stored.unpersist()
 
     def sum(self, kernel, size: int) -> np.ndarray:
-        check_state_size(size, "this pass")
-        columns = [c for c in self.df.columns if c != "id"]
-        return sums.sum_rows(self.df.select(*columns), kernel, size, self.tasks)
+        return sums.sum_rows(self.passed(), kernel, size, self.tasks)
+
+    def passed(self) -> DataFrame:
+        """What a pass reads."""
+        return self.df.select(*[c for c in self.df.columns if c != "id"])
+
+    @property
+    def n_sums(self) -> int:
+        """How many Gram sums a pass adds up: one per fold or weighting."""
+        return max(self.n_folds or self.n_weights, 1)
 
     def gram_fits(self) -> bool:
-        """Whether the cross products of all weightings are small enough to be summed at once."""
-        return max(self.n_folds, self.n_weights, 1) * (self.dim + 2) ** 2 * 8 <= session.TASK_STATE_BYTES
+        """Whether the driver can hold the cross products of all weightings."""
+        return self.n_sums * (self.dim + 2) ** 2 * 8 <= session.TASK_STATE_BYTES
+
+    def _block_sums(self, pairs, blocks):
+        return sums.gram_kernel(self.dim, self.n_folds or 1, 0 if self.n_folds else self.n_weights, blocks, pairs)
+
+    def block_passes(self) -> tuple[list[tuple[int, int]], list[list[tuple[int, int]]]]:
+        """The blocks of the columns ``[f, y, 1]`` and the pairs of blocks that each pass adds up.
+
+        Cross products are symmetric, so only pairs (i, j) with i <= j are summed, and a task never holds
+        more of them than a quarter of its budget.
+        """
+        blocks = sums.column_blocks(self.dim + 2, session.BLOCK_COLUMNS)
+        return blocks, list(sums.block_passes(blocks, self.n_sums, session.TASK_STATE_BYTES // 4))
+
+    def gram_blocks(self) -> Iterator[tuple[int, slice, slice, np.ndarray]]:
+        """(fold or weighting, rows, columns, sums) of each pair of blocks, one pass after another."""
+        blocks, passes = self.block_passes()
+        with self.kept(len(passes)) if len(passes) > 1 else nullcontext():
+            for pairs in passes:
+                flat, at = self.sum(*self._block_sums(pairs, blocks)), 0
+                for k in range(self.n_sums):
+                    for i, j in pairs:
+                        rows, columns = slice(*blocks[i]), slice(*blocks[j])
+                        shape = rows.stop - rows.start, columns.stop - columns.start
+                        yield k, rows, columns, flat[at : at + shape[0] * shape[1]].reshape(shape)
+                        at += shape[0] * shape[1]
+
+    def gram_table(self) -> DataFrame:
+        """The cross products as a table, for any number of features: weighting, a, b, total with a <= b.
+
+        Columns are numbered; the label is number D and the count of rows D + 1. The sums stay on the cluster.
+        """
+        blocks, passes = self.block_passes()
+        pieces, spark = [], self.df.sparkSession
+        with self.kept(len(passes)) if len(passes) > 1 else nullcontext():
+            for pairs in passes:
+                kernel, size = self._block_sums(pairs, blocks)
+                path, width = work_folder(spark), sums.SLOT_WIDTH
+                summed = sums.added_up(sums.partial_sums(self.passed(), kernel, size, width))
+                summed.mapInArrow(_cells(pairs, blocks, width), "weighting int, a int, b int, total double").write.parquet(path)
+                pieces.append(spark.read.parquet(path))
+        return reduce(DataFrame.unionAll, pieces)
 
     def grams(self) -> list[Gram]:
-        """One Gram per weighting (a single one without weights), all in one pass."""
+        """One Gram per weighting (a single one without weights); for as many features as the driver can hold."""
         if self._grams is None:
-            side = (self.dim + 2) ** 2
-            kernel, size = sums.gram_kernel(
-                self.dim, self.n_folds or 1, 0 if self.n_folds else self.n_weights
-            )
-            flat = self.sum(kernel, size).reshape(-1, side)
-            parts = [Gram.of(g, self.dim) for g in flat]
+            side = self.dim + 2
+            dense = np.empty((self.n_sums, side, side))
+            for k, rows, columns, block in self.gram_blocks():
+                dense[k, rows, columns] = block
+                dense[k, columns, rows] = block.T
+            parts = [Gram.of(g, self.dim) for g in dense]
             if self.n_folds:
                 total = parts[0]
                 for part in parts[1:]:
@@ -195,6 +280,23 @@ class TrainingTable:
             self._grams = parts
         return self._grams
 
+    def gradients(self, kind: str, w: np.ndarray, columns, at: np.ndarray | None = None):
+        """X'r, row counts and sums of r squared for many models; as many at a time as a task can hold."""
+        picked = np.array(columns) if self.n_weights else None
+        group = max(1, session.TASK_STATE_BYTES // (32 * max(self.dim, 1)))
+        slopes, counts, squares = np.empty_like(w), np.empty(w.shape[1]), np.empty(w.shape[1])
+        for begin in range(0, w.shape[1], group):
+            ms = slice(begin, begin + group)
+            part = w[:, ms]
+            flat = self.sum(
+                *sums.gradient_kernel(
+                    kind, part, None if picked is None else picked[ms], self.n_weights, None if at is None else at[:, ms]
+                )
+            )
+            slopes[:, ms] = flat[: part.size].reshape(part.shape)
+            counts[ms], squares[ms] = flat[part.size :].reshape(2, -1)
+        return slopes, counts, squares
+
     def mini_batches(self, column: int, batch_size: int, steps: int, seed: int):
         """A function from step number to the mini-batch of that step.
 

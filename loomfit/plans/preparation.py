@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -168,10 +167,7 @@ class DropProportional(Step):
     """Of each pair of columns with correlation 1, remove the one that comes first."""
 
     def learn(self, scan: Scan) -> Fitted:
-        columns = scan.columns
-        r = st.correlations(scan.df, columns, scan.profile)
-        close = np.isclose(r, 1.0)
-        return dropping([c for i, c in enumerate(columns) if close[i, i + 1 :].any()])
+        return dropping(st.proportional(scan.df, scan.columns, scan.profile))
 
 
 @dataclass(frozen=True)

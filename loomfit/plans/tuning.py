@@ -83,7 +83,7 @@ def _score_by_column(table, w, columns, classifies, metric) -> np.ndarray:
     @F.arrow_udf("array<double>")
     def predict(v: pa.Array) -> pa.Array:
         p = sums.vectors(v, dim) @ w
-        return pa.array(list(np.sign(p) if classifies else p), pa.list_(pa.float64()))
+        return sums.list_array(np.sign(p) if classifies else p)
 
     weights = ["wt", "wv"] if table.n_weights else []
     rows = table.df.select(F.posexplode(predict("f")).alias("m", "p"), "y", *weights)

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Bytes of partial sums the driver adds up itself. Above this they are reduced by a shuffle.
+# Bytes of partial sums the driver adds up itself. Above this the cluster adds them first.
 DRIVER_SUM_BYTES = 32 * 1024 * 1024
-# Bytes of model state (weights, centres) sent to every task with a pass.
+# Bytes of model state (weights, centres, sums) a task holds in a pass; more takes more passes.
 TASK_STATE_BYTES = 256 * 1024 * 1024
+# Columns of a block of cross products.
+BLOCK_COLUMNS = 512
 # Bytes of mini-batch rows that one descent run may fetch; beyond it batches stay on the cluster.
 BATCH_ROWS_BYTES = 32 * 1024 * 1024
 # Rows of the largest piece of a table, times passes, from which on spreading the table pays.
@@ -39,10 +43,15 @@ def work_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def check_state_size(n_values: int, what: str) -> None:
-    """Refuse model state that is too large to ship with every task."""
-    if n_values * 8 > TASK_STATE_BYTES:
-        raise ValueError(
-            f"{what} needs {n_values * 8} bytes in every task, limit {TASK_STATE_BYTES}; "
-            "train fewer models, or fewer centres, at a time"
-        )
+@contextmanager
+def limits(**values: int) -> Iterator[None]:
+    """Other size limits for what runs inside, such as ``limits(TASK_STATE_BYTES=64 * 1024 * 1024)``.
+
+    They decide how much work a pass takes on, never what comes out.
+    """
+    before = {name: globals()[name] for name in values}
+    globals().update(values)
+    try:
+        yield
+    finally:
+        globals().update(before)

@@ -246,10 +246,59 @@ def test_missing_feature_is_an_error(spark):
         LeastSquares().fit(df, ["a"], "y")
 
 
-def test_model_state_limit(df, monkeypatch):
+def test_without_room_for_products_all_models_are_the_same(df, monkeypatch):
+    """With no room for D x D sums, models come from passes with D sums each."""
+    models = [
+        LeastSquares(),
+        Ridge(0.3),
+        Lasso(0.2, 0.1, max_iters=3),
+        Lasso(0.2, path=True, max_iters=2),
+        ElasticNet(0.4, 0.2, 0.1, max_iters=3),
+        Logistic(1.0, 2, 0.05, learning="newton"),
+        ImbalancedLogistic(0.3, 0.2, 4),
+    ]
+    weighted = df.withColumn("w", F.col("n") + 1).coalesce(2)
+    want = [model.fit(weighted, XS, "y", weight="w") for model in models]
     monkeypatch.setattr(session, "TASK_STATE_BYTES", 8)
-    with pytest.raises(ValueError, match="limit"):
-        LeastSquares().fit(df, XS, "y")
+    monkeypatch.setattr(session, "DRIVER_SUM_BYTES", 0)
+    monkeypatch.setattr(session, "BLOCK_COLUMNS", 2)
+    got = [model.fit(weighted, XS, "y", weight="w") for model in models]
+    for a, b in zip(got, want):
+        assert np.allclose(a.weights, b.weights, atol=1e-8)
+        assert np.allclose(a.losses, b.losses)
+
+
+def test_gram_in_blocks(df, data, monkeypatch):
+    x, y = data
+    z = np.column_stack([x, y, np.ones(len(x))])
+    monkeypatch.setattr(session, "BLOCK_COLUMNS", 2)
+    monkeypatch.setattr(session, "TASK_STATE_BYTES", 2000)
+    monkeypatch.setattr(session, "DRIVER_SUM_BYTES", 0)
+    t = TrainingTable.build(df.withColumn("w", F.col("n") + 1), XS, "y", weight="w")
+    w = np.arange(240) % 4 + 1
+    (g,) = t.grams()
+    assert np.allclose(g.xtx, x.T @ (x * w[:, None])) and np.allclose(g.xty, x.T @ (y * w)) and g.n == w.sum()
+    monkeypatch.setattr(session, "TASK_STATE_BYTES", 100)
+    t = TrainingTable.build(df, XS, "y")
+    assert len(t.block_passes()[1]) > 1
+    cells = {(r["a"], r["b"]): r["total"] for r in t.gram_table().collect()}
+    want = z.T @ z
+    assert cells.keys() == {(a, b) for a in range(5) for b in range(a, 5)}
+    assert all(np.isclose(v, want[at]) for at, v in cells.items())
+
+
+def test_a_sum_is_added_in_groups_of_about_the_root_of_its_tasks(spark):
+    df = spark.range(0, 1000, 1, 50).select(F.array(F.col("id").cast("double")).alias("f"))
+    parts = sums.partial_sums(df, lambda b: sums.vectors(b.column("f"), 1).sum(axis=0), 1, 8)
+    tasks = parts.groupBy(F.floor(F.sqrt(F.spark_partition_id())).alias("g")).count().collect()
+    assert len(tasks) <= 8 and max(r["count"] for r in tasks) <= 2 * 8
+    assert [r["part"] for r in sums.added_up(parts).collect()] == [[499500.0]]
+
+
+def test_singular_normal_equations_give_the_shortest_solution(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_STATE_BYTES", 8)
+    df = spark.createDataFrame([(float(i), 2.0 * i, 3.0 * i) for i in range(5)], "a double, b double, y double")
+    assert np.allclose(LeastSquares().fit(df, ["a", "b"], "y").weights, [0.6, 1.2])
 
 
 def test_bad_settings():
