@@ -79,29 +79,51 @@ def stratified_ctes(k: int, relation: str, id_col: str, seed: int = 1) -> str:
         f"ranked AS (SELECT *, {rank_sql(seed, id_col, 'y')} - 1 AS k, count(*) OVER (PARTITION BY y) // {k} "
         f"AS size FROM {relation}), "
         f"folded AS (SELECT *, (k // size)::INT AS fold FROM ranked WHERE k < size * {k}), "
-        f"sizes AS (SELECT max(size) FILTER (y = -1) * {k - 1} AS keep, max(size) FILTER (y = 1) * {k - 1} AS have "
-        f"FROM folded), "
-        f"dup AS (SELECT {id_col}, i, c FROM folded, range({k}) a(i), sizes, "
-        f"range(1, (SELECT ceil(keep / have)::INT + 1 FROM sizes)) b(c) WHERE y = 1 AND fold <> i), "
-        f"kept AS (SELECT {id_col}, i, row_number() OVER (PARTITION BY i ORDER BY "
-        f"{key_sql(seed, 'i', id_col, 'c')}, {id_col}) AS pos FROM dup), "
-        f"copied AS (SELECT {id_col}, i, count(*) AS copies FROM kept, sizes WHERE pos <= keep GROUP BY {id_col}, i "
-        f"UNION ALL SELECT {id_col}, i, 1 FROM folded, range({k}) a(i) WHERE y = -1 AND fold <> i)"
+        f"sizes AS (SELECT max(size) FILTER (y = -1) AS a, max(size) FILTER (y = 1) AS b FROM folded), "
+        f"copied AS (SELECT {id_col}, i, CASE WHEN y = -1 THEN 1 ELSE a // b + (k % size < a % b)::INT END AS copies "
+        f"FROM folded, sizes, range({k}) f(i) WHERE fold <> i)"
     )
 
 
-@query(
-    "sample_stratified_upsampled",
-    f"WITH src AS ({EVENT_SQL}), {stratified_ctes(3, 'src', 'event_id')} "
-    "SELECT f.event_id, f.y, f.fold, a.i::INT AS i, coalesce(c.copies, 0)::INT AS copies FROM folded f "
-    "CROSS JOIN range(3) a(i) LEFT JOIN copied c ON c.event_id = f.event_id AND c.i = a.i",
-)
-def stratified_upsampled(spark, sf):
+def _stratified(k: int) -> str:
+    return (
+        f"WITH src AS ({EVENT_SQL}), {stratified_ctes(k, 'src', 'event_id')} "
+        "SELECT f.event_id, f.y, f.fold, a.i::INT AS i, coalesce(c.copies, 0)::INT AS copies FROM folded f "
+        f"CROSS JOIN range({k}) a(i) LEFT JOIN copied c ON c.event_id = f.event_id AND c.i = a.i"
+    )
+
+
+def _stratified_rows(spark, sf, k: int):
     df = purchases(spark, sf).select("event_id", "y")
-    folds = sampling.stratified_upsampled_folds(df, "event_id", "y", 3)
+    folds = sampling.stratified_upsampled_folds(df, "event_id", "y", k)
     return folds.df.select("event_id", "y", "fold", F.posexplode("copies").alias("i", "copies"))
 
 
+@query("sample_stratified_upsampled", _stratified(3))
+def stratified_upsampled(spark, sf):
+    return _stratified_rows(spark, sf, 3)
+
+
+@query("sample_stratified_upsampled_100_folds", _stratified(100))
+def stratified_upsampled_100(spark, sf):
+    return _stratified_rows(spark, sf, 100)
+
+
+@query(
+    "sample_stratified_200_strata",
+    f"SELECT o_orderkey, stratum, ((rank - 1) // (n // 4))::INT AS fold FROM (SELECT *, "
+    f"row_number() OVER (PARTITION BY stratum ORDER BY {key_sql(1, 'o_orderkey')}, o_orderkey) AS rank, "
+    "count(*) OVER (PARTITION BY stratum) AS n FROM (SELECT o_orderkey, "
+    "CASE WHEN o_custkey % 200 > 0 THEN o_custkey % 200 END AS stratum FROM orders)) "
+    "WHERE n >= 4 AND rank <= n // 4 * 4",
+)
+def stratified_200(spark, sf):
+    """Four folds with equally many orders of each of 200 strata; one of them is null."""
+    stratum = F.col("o_custkey") % 200
+    df = table(spark, sf, "orders").select("o_orderkey", F.when(stratum > 0, stratum).alias("stratum"))
+    return sampling.stratified_folds(df, "o_orderkey", "stratum", 4).df
+
+
 _BATCHES = (
     "SELECT o_orderkey, b::INT AS batch FROM ({rows}), range({steps}) t(b) "
     "WHERE ((rank - 1 - b * {size}) % n + n) % n < {size}"

@@ -7,13 +7,15 @@ partitioning and any re-run. Two ways to use it:
   buckets, so no task ever sees more than a bucket.
 * ``Positions`` finds where the first r rows end. Splits, folds and exact-size samples then are
   plain filters on the row's own hash: one counting pass, one pass over a single bucket, and no
-  shuffle of the table.
+  shuffle of the table. It is for few strata, whose counts come to the driver.
+* ``stratum_blocks`` does the same for any number of strata and cuts. Counts and cuts stay tables, and rows
+  meet the cuts of their stratum by a join.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import quoted
-from ..session import MAX_STRATA
+from ..session import MAX_STRATA, work_folder
 
 KEY, BUCKET, TIE, STRATUM = "__key", "__bucket", "__tie", "__stratum"
 HEX_DIGITS = 3  # 4,096 buckets to count
@@ -194,10 +196,13 @@ class Positions:
     def block(self, ends: Mapping[Any, Sequence[int]]) -> Column:
         """Index of the block a row falls in when its stratum is cut after ``ends``; -1 past the last.
 
-        The key is bound to a variable, so a row's hash is computed once, however many cuts there are.
+        With several cuts the key is bound to a variable, so a row's hash is computed once. A single cut needs
+        none, and stays inside generated code.
         """
         found = self.cuts(ends)
         here = place(self.key, self.tie)
+        if max(map(len, found.values()), default=0) <= 1:
+            return self._index(found, here)
         return F.transform(F.array(here), lambda bound: self._index(found, bound))[0]
 
     def _index(self, found: Mapping[Any, Sequence[Cut]], here: Column) -> Column:
@@ -243,3 +248,63 @@ def _in_buckets(spots) -> Column:
 def row_positions(df: DataFrame, id_col: str, seed: int = 1, by: Column | None = None) -> Positions:
     """``Positions`` over the ids of a table."""
     return Positions(df, order_key(seed, quoted(id_col)), quoted(id_col), by)
+
+
+def stratum_blocks(
+    df: DataFrame, id_col: str, by: Column, ends: Callable[[Column], Column], seed: int = 1, name: str = "block"
+) -> DataFrame:
+    """Add the index of the block a row is in when its stratum's seeded order is cut after ``ends`` rows.
+
+    ``by`` may have any number of values; null is one of them. ``ends`` gives the ascending cuts of a stratum from
+    its number of rows, as an array. Rows past the last cut are in block ``size(ends)``.
+
+    Rows are counted per stratum and key prefix. A running sum over the prefixes of a stratum tells which
+    of them hold a cut, and only their rows are sorted. The cuts, a row per stratum, are written to the
+    shared folder; a stratum that holds most rows is split by the join as any skewed key is.
+    """
+    keyed = df.select(F.struct(by.alias("by")).alias(STRATUM), order_key(seed, quoted(id_col)).alias(KEY), quoted(id_col).alias(TIE))
+    digits = HEX_DIGITS
+    rows = df.count()
+    while rows > REFINE_ROWS * 16**digits and digits < KEY_DIGITS:
+        digits += 1
+    prefix = F.substring(KEY, 1, digits).alias(BUCKET)
+    whole, so_far = Window.partitionBy(STRATUM), Window.partitionBy(STRATUM).orderBy(BUCKET)
+    counted = keyed.groupBy(STRATUM, prefix).agg(F.count("*").alias("n"))
+    located = counted.withColumn("upto", F.sum("n").over(so_far)).withColumn("rows", F.sum("n").over(whole))
+    cut = F.filter(ends(F.col("rows")), lambda r: (r > F.col("upto") - F.col("n")) & (r <= F.col("upto")))
+    spots = located.select(STRATUM, BUCKET, F.explode(F.transform(cut, lambda r: r - F.col("upto") + F.col("n"))).alias("__within"))
+    inside = Window.partitionBy(STRATUM, BUCKET).orderBy(KEY, TIE)
+    sorted_rows = (
+        keyed.withColumn(BUCKET, prefix)
+        .join(spots.select(STRATUM, BUCKET).distinct(), [STRATUM, BUCKET], "left_semi")
+        .withColumn("__within", F.row_number().over(inside))
+    )
+    cuts = (
+        sorted_rows.join(spots, [STRATUM, BUCKET, "__within"])
+        .groupBy(STRATUM)
+        .agg(F.collect_list(place(F.col(KEY), F.col(TIE))).alias("__cuts"))
+    )
+    path = work_folder(df.sparkSession)
+    sizes = keyed.groupBy(STRATUM).agg(F.count("*").alias("rows"))
+    # A cut before the first row has no row to be found at.
+    ahead = F.size(F.filter(ends(F.col("rows")), lambda r: r <= 0))
+    sizes.withColumn("__ahead", ahead).drop("rows").join(
+        cuts.withColumn("__cuts", F.sort_array("__cuts")), STRATUM, "left"
+    ).write.parquet(path)
+    cuts = df.sparkSession.read.parquet(path)
+    # Binary search among a stratum's cuts, by steps that halve.
+    most = cuts.agg(F.max(F.size("__cuts"))).first()[0] or 0
+    steps = F.array(*[F.lit(1 << p) for p in reversed(range(max(most, 1).bit_length()))])
+    passed = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get("__cuts", at + step - 1) < F.col("__here"), at + step).otherwise(at),
+    )
+    here = place(order_key(seed, quoted(id_col)), quoted(id_col))
+    return (
+        df.withColumn("__here", here)
+        .withColumn(STRATUM, F.struct(by.alias("by")))
+        .join(cuts, STRATUM)
+        .withColumn(name, F.col("__ahead") + passed)
+        .drop("__here", "__cuts", "__ahead", STRATUM)
+    )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import quoted
-from .ordering import Positions, hash_number, id_rank, order_key, place, row_positions, seeded_rank
+from .ordering import hash_number, id_rank, order_key, row_positions, seeded_rank, stratum_blocks
 
 MAJORITY, MINORITY = -1, 1
 DRAWS_PER_TASK = 5_000_000
@@ -101,46 +101,52 @@ def kfold(df: DataFrame, id_col: str, k: int, seed: int = 1) -> Folds:
     return Folds(df.filter(positions.first({0: size * k})).withColumn("fold", fold), k)
 
 
+def stratified_folds(df: DataFrame, id_col: str, by: str, k: int = 5, seed: int = 1) -> Folds:
+    """k folds with equally many rows of every stratum; the rows of a stratum beyond a multiple of k are left out.
+
+    ``by`` may have any number of values; null is one of them.
+    """
+    ends = lambda n: F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.floor(n / k) * i)
+    placed = stratum_blocks(df, id_col, quoted(by), ends, seed, "fold")
+    return Folds(placed.filter(F.col("fold") < k), k)
+
+
 def stratified_upsampled_folds(
     df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 1
 ) -> Folds:
     """Per-class folds whose training side holds as many minority as majority rows.
 
-    The training minority of a fold is repeated often enough to reach the majority count; then
-    exactly that many of the copies are kept. Test folds are not resampled.
+    A fold's training minority is repeated evenly: with a majority and b minority rows per fold, each row has
+    a // b copies, and the first a % b rows of each fold have one more. So every training side has exactly as
+    many minority as majority rows, and a row's copies follow from its place in its fold. Test folds are
+    not resampled.
     """
-    y, row_id = quoted(label), quoted(id_col)
-    positions = row_positions(df, id_col, seed, by=y.cast("int"))
-    size = {c: positions.count(c) // k for c in (MAJORITY, MINORITY)}
+    y = quoted(label)
+    counts = class_counts(df, label)
+    size = {c: counts.get(c, 0) // k for c in (MAJORITY, MINORITY)}
     if not all(size.values()):
         raise ValueError("every fold needs rows of both classes")
-    fold = positions.block({c: [n * (i + 1) for i in range(k)] for c, n in size.items()})
-    inside = positions.first({c: n * k for c, n in size.items()})
-    folded = df.filter(inside).withColumn("fold", fold)
-    keep, have = (k - 1) * size[MAJORITY], (k - 1) * size[MINORITY]
-    n_copies = math.ceil(keep / have)
-
-    copies = (
-        folded.filter(y == MINORITY)
-        .select(row_id.alias("id"), "fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("i"))
-        .filter(F.col("i") != F.col("fold"))
-        .select("id", "i", F.explode(F.sequence(F.lit(1), F.lit(n_copies))).alias("copy"))
-    )
-    key = order_key(seed, F.col("i"), F.col("id"), F.col("copy"))
-    cuts = Positions(copies, key, F.col("id"), F.col("i")).cuts({i: [keep] for i in range(k)})
-
-    def kept_copies(i: int) -> Column:
-        (cut,) = cuts[i]
-        return F.aggregate(
-            F.sequence(F.lit(1), F.lit(n_copies)),
-            F.lit(0),
-            lambda n, copy: n + cut.covers(place(order_key(seed, F.lit(i), row_id, copy), row_id)).cast("int"),
+    each, more = divmod(size[MAJORITY], size[MINORITY])
+
+    def ends(n: Column) -> Column:
+        per_fold = F.floor(n / k)
+        extra = F.when(per_fold == size[MAJORITY], 0).otherwise(more) if size[MAJORITY] != size[MINORITY] else F.lit(0)
+        return F.flatten(
+            F.transform(
+                F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")),
+                lambda i: F.array(per_fold * i + extra, per_fold * (i + 1)),
+            )
         )
 
-    per_fold = [
-        F.when(F.col("fold") == i, 0).when(y == MAJORITY, 1).otherwise(kept_copies(i)) for i in range(k)
-    ]
-    return Folds(folded.withColumn("copies", F.array(*per_fold)), k, copies="copies")
+    placed = stratum_blocks(df.filter(y.isin(MAJORITY, MINORITY)), id_col, y.cast("int"), ends, seed, "__block")
+    folded = placed.filter(F.col("__block") < 2 * k).withColumn("fold", F.floor(F.col("__block") / 2).cast("int"))
+    copies = F.when(y == MAJORITY, 1).otherwise(each + (F.col("__block") % 2 == 0).cast("int"))
+    folded = folded.withColumn("copies", copies)
+    # not a lambda over the folds: the optimiser would place the search for the block into it, once per fold
+    per_fold = F.concat(
+        F.array_repeat("copies", F.col("fold")), F.array(F.lit(0)), F.array_repeat("copies", k - 1 - F.col("fold"))
+    )
+    return Folds(folded.withColumn("copies", per_fold).drop("__block"), k, copies="copies")
 
 
 def batches(
