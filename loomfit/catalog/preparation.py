@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.functions import unwrap_udt
 
+from ..functions import statistics as st
 from ..plans import preparation as prep
 from ..sources.dictionary import ColumnSpec
 from .common import PART_SPEC, PART_SQL, SIZE_SQL, parts, query, r, rs, table, uniform_sql
@@ -271,9 +273,87 @@ def sorted_classes(spark, sf):
 )
 def class_codes(spark, sf):
     df = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    found = prep.OneHot().fit(df, _ORDER_SPEC).state["o_orderpriority"]
-    codes = spark.createDataFrame([(v, i) for i, v in enumerate(found)], "o_orderpriority string, code long")
-    return df.join(F.broadcast(codes), "o_orderpriority").select("o_orderkey", "code")
+    return st.class_codes(df, "o_orderpriority").select("o_orderkey", "code")
+
+
+@query(
+    "prep_class_codes_missing",
+    f"SELECT p_partkey, dense_rank() OVER (ORDER BY p_size NULLS LAST) - 1 AS code FROM ({PART_SQL})",
+)
+def class_codes_missing(spark, sf):
+    return st.class_codes(parts(spark, sf), "p_size").select("p_partkey", "code")
+
+
+_MANY_SQL = (
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN o_custkey END AS customer, "
+    "CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate::VARCHAR END AS day FROM orders"
+)
+
+
+def _many_classes(spark, sf):
+    """Orders with two columns of more than a thousand classes each, some of them missing."""
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 7 > 0, F.col("o_custkey")).alias("customer"),
+        F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderdate").cast("string")).alias("day"),
+    )
+
+
+@query(
+    "agg_value_counts_many_classes",
+    f"WITH o AS ({_MANY_SQL}) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {c}::VARCHAR AS value, count(*) AS n, "
+        f"row_number() OVER (ORDER BY {c} NULLS LAST) - 1 AS code FROM o GROUP BY {c}"
+        for c in ("customer", "day")
+    ),
+)
+def value_counts_many(spark, sf):
+    names = F.array(F.lit("customer"), F.lit("day"))
+    found = st.class_table(_many_classes(spark, sf), ["customer", "day"])
+    value = F.coalesce(F.col("v").cast("long").cast("string"), "s")
+    return found.select(F.get(names, F.col("c")).alias("name"), value.alias("value"), "n", "code")
+
+
+def _drawn_sql(c: str) -> str:
+    return (
+        f"cum_{c} AS (SELECT {c}, (sum(n) OVER (ORDER BY {c}))::DOUBLE / sum(n) OVER () AS upto, "
+        f"(sum(n) OVER (ORDER BY {c}) - n)::DOUBLE / sum(n) OVER () AS above FROM "
+        f"(SELECT {c}, count(*) AS n FROM o WHERE {c} IS NOT NULL GROUP BY {c})), "
+        f"u_{c} AS (SELECT o_orderkey, {uniform_sql(1, repr(c), 'o_orderkey')} AS u FROM o WHERE {c} IS NULL), "
+        f"d_{c} AS (SELECT o_orderkey, {c} FROM u_{c} JOIN cum_{c} ON u >= above AND u < upto)"
+    )
+
+
+@query(
+    "prep_impute_distributions_many_classes",
+    f"WITH o AS ({_MANY_SQL}), {_drawn_sql('customer')}, {_drawn_sql('day')} "
+    "SELECT o.o_orderkey, coalesce(o.customer, a.customer) AS customer, coalesce(o.day, b.day) AS day "
+    "FROM o LEFT JOIN d_customer a USING (o_orderkey) LEFT JOIN d_day b USING (o_orderkey)",
+)
+def impute_many_classes(spark, sf):
+    """Draws from the frequencies of columns with many classes."""
+    step = prep.Impute("distributions", max_classes=100)
+    return step.fit_transform(_many_classes(spark, sf), ColumnSpec(keys=("o_orderkey",)))
+
+
+@query(
+    "prep_one_hot_many_classes",
+    f"WITH o AS ({_MANY_SQL}) SELECT o_orderkey, dense_rank() OVER (ORDER BY customer NULLS LAST) - 1 AS customer, "
+    "dense_rank() OVER (ORDER BY day NULLS LAST) - 1 AS day, 1.0::DOUBLE AS value, "
+    "(SELECT count(DISTINCT customer) + max((customer IS NULL)::INT) FROM o) AS size FROM o",
+)
+def one_hot_many_classes(spark, sf):
+    """Sparse indicator vectors, as the place of their only one, their value and size."""
+    step = prep.OneHot(max_classes=100)
+    out = step.fit_transform(_many_classes(spark, sf), ColumnSpec(keys=("o_orderkey",)))
+    sparse = {c: unwrap_udt(F.col(f"{c}__classes")) for c in ("customer", "day")}
+    return out.select(
+        "o_orderkey",
+        *[F.get(v["indices"], F.lit(0)).cast("long").alias(c) for c, v in sparse.items()],
+        F.get(sparse["customer"]["values"], F.lit(0)).alias("value"),
+        sparse["customer"]["size"].cast("long").alias("size"),
+    )
 
 
 PIPELINE_SQL = (

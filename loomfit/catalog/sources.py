@@ -75,13 +75,13 @@ def column_names(spark, sf):
 
 
 _DICTIONARY_SQL = (
-    "SELECT DISTINCT 'p_size' AS col, p_size::VARCHAR AS answer, CASE WHEN p_size IN (7, 11) THEN 'Refused' "
-    "WHEN p_size = 9 THEN 'Don’t know/Not sure' ELSE p_type || '' END AS meaning FROM part WHERE p_type = 'PROMO'"
+    "SELECT 'p_size' AS col, p_size::VARCHAR AS answer, min(CASE WHEN p_size IN (7, 11) THEN 'Refused' "
+    "WHEN p_size = 9 THEN 'Don’t know/Not sure' ELSE p_type END) AS meaning FROM part GROUP BY p_size"
 )
 
 
 def _write_dictionary(spark, sf) -> str:
-    """A dictionary file whose answers are the sizes of promoted parts."""
+    """A dictionary file whose answers are the sizes of all parts; of several meanings the least one counts."""
     meaning = (
         F.when(F.col("p_size").isin(7, 11), "Refused")
         .when(F.col("p_size") == 9, "Don’t know/Not sure")
@@ -89,9 +89,8 @@ def _write_dictionary(spark, sf) -> str:
     )
     answers = (
         table(spark, sf, "part")
-        .filter(F.col("p_type") == "PROMO")
-        .select(F.col("p_size").cast("string").alias("answer"), meaning.alias("meaning"))
-        .distinct()
+        .groupBy(F.col("p_size").cast("string").alias("answer"))
+        .agg(F.min(meaning).alias("meaning"))
     )
     one = answers.agg(F.map_from_entries(F.collect_list(F.struct("answer", "meaning"))).alias("Values"))
     record = one.select(
@@ -116,7 +115,7 @@ def dictionary_table(spark, sf):
 @query(
     "source_dictionary_spec",
     f"SELECT p_partkey, CASE WHEN p_size NOT IN (SELECT answer::INT FROM ({_DICTIONARY_SQL}) "
-    "WHERE meaning <> 'PROMO') THEN p_size END AS p_size FROM part",
+    "WHERE meaning IN ('Refused', 'Don’t know/Not sure')) THEN p_size END AS p_size FROM part",
 )
 def dictionary_spec(spark, sf):
     from ..plans.preparation import RecodeMissing
@@ -213,9 +212,7 @@ def join_cluster_tags(spark, sf):
 )
 def join_dictionary(spark, sf):
     codes = dictionary.codes_from_answers(PART_SPEC.answer_table(spark)).filter(F.col("col") == "p_size")
-    part = table(spark, sf, "part").select("p_partkey", "p_size")
-    hit = part.join(codes, part.p_size.cast("double") == codes.code, "left")
-    return hit.select("p_partkey", F.when(F.col("code").isNull(), F.col("p_size")).alias("p_size"))
+    return dictionary.recode_by_dictionary(table(spark, sf, "part").select("p_partkey", "p_size"), ["p_size"], codes)
 
 
 # Aggregations -----------------------------------------------------------------------------------
@@ -283,6 +280,33 @@ def median_many(spark, sf):
     return _medians(spark, table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"])
 
 
+_ODD_SQL = (
+    "SELECT CASE WHEN l_partkey % 11 = 0 THEN 'infinity'::DOUBLE WHEN l_partkey % 13 = 0 THEN '-infinity'::DOUBLE "
+    "WHEN l_partkey % 17 = 0 THEN NULL ELSE l_extendedprice END AS a, "
+    "CASE WHEN l_partkey % 3 = 0 THEN l_extendedprice WHEN l_partkey % 19 = 0 THEN NULL ELSE 7.0 END AS b, "
+    "CASE WHEN l_partkey % 5 < 4 THEN 'infinity'::DOUBLE ELSE l_tax END AS c FROM lineitem"
+)
+
+
+@query(
+    "agg_median_infinities",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {rs(f'quantile_cont({c}, 0.5)')} AS median FROM ({_ODD_SQL}) WHERE {c} IS NOT NULL"
+        for c in ("a", "b", "c")
+    ),
+)
+def median_infinities(spark, sf):
+    """Medians among infinities, missing values as null or as not a number, and many repetitions."""
+    part, price = F.col("l_partkey"), F.col("l_extendedprice").cast("double")
+    inf, nan = F.lit(float("inf")), F.lit(float("nan"))
+    df = table(spark, sf, "lineitem").select(
+        F.when(part % 11 == 0, inf).when(part % 13 == 0, -inf).when(part % 17 == 0, nan).otherwise(price).alias("a"),
+        F.when(part % 3 == 0, price).when(part % 19 == 0, None).otherwise(7.0).alias("b"),
+        F.when(part % 5 < 4, inf).otherwise(F.col("l_tax").cast("double")).alias("c"),
+    )
+    return _medians(spark, df, ["a", "b", "c"])
+
+
 @query(
     "agg_value_counts",
     " UNION ALL ".join(
@@ -369,6 +393,5 @@ def concat_parts(spark, sf):
     "UNION ALL SELECT doc_id, quality + toxic AS n FROM labels) GROUP BY doc_id",
 )
 def add_copies(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.lit(1).alias("n"))
-    more = table(spark, sf, "labels").select("doc_id", (F.col("quality") + F.col("toxic")).alias("n"))
-    return rows.unionByName(more).groupBy("doc_id").agg(F.sum("n").alias("copies"))
+    more = table(spark, sf, "labels").select("doc_id", (F.col("quality") + F.col("toxic")).alias("copies"))
+    return sampling.add_copies([table(spark, sf, "documents"), more], "doc_id")

@@ -13,16 +13,15 @@ from dataclasses import dataclass, replace
 from typing import Any
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.table import TrainingTable
-from ..session import MAX_CLASSES
+from ..session import MAX_CLASSES, work_folder
 from .scalars import quoted
 
-BINS = 4096
-MAX_DOUBLE = 1.7976931348623157e308
+SKETCH_ACCURACY = 10_000  # a sketch's quantiles are off by one in so many rows at most
 
 
 @dataclass(frozen=True)
@@ -127,82 +126,169 @@ def medians(df: DataFrame, columns: Sequence[str], known: Profile) -> dict[str,
 def order_statistics(
     df: DataFrame, wanted: Mapping[str, Sequence[int]], known: Profile
 ) -> dict[tuple[str, int], float]:
-    """The r-th smallest value (from 0) of columns, by narrowing bounds; all targets together.
+    """The r-th smallest value (from 0) of columns, in three scans; all targets together.
 
-    Each pass counts the values in equal bins between two bounds and keeps the bin that holds the
-    target. A bin with a single value is the answer, so survey codes take one pass and continuous
-    columns a few; memory stays fixed however many distinct values there are.
+    A mergeable quantile sketch gives a lower and an upper bound for each target. One scan counts exactly
+    what is below and between them, and the last one counts the distinct values between, which are about
+    one in SKETCH_ACCURACY / 4 of the rows or have many repetitions, and finds the target among them. The driver
+    gets a row per target. Not a number is left out; infinities are values.
     """
-    solved: dict[tuple[str, int], float] = {}
-    # target -> (low, high, number of values below low)
-    open_: dict[tuple[str, int], tuple[float, float, int]] = {
-        (c, r): (float(known[c].low), float(known[c].high), 0) for c, rs in wanted.items() for r in rs
-    }
-    while open_:
-        for target, (low, high, _) in list(open_.items()):
-            if low == high:
-                solved[target] = low
-                del open_[target]
-        if not open_:
-            break
-        spans = sorted({(c, *bounds) for (c, _), bounds in open_.items()})
-        cells = [
-            F.struct(
-                F.lit(i).alias("t"),
-                quoted(c).cast("double").alias("v"),
-                F.lit(low).alias("low"),
-                F.lit(high).alias("high"),
-            )
-            for i, (c, low, high, _) in enumerate(spans)
+    targets = [(c, r) for c, rs in wanted.items() for r in rs]
+    if not targets:
+        return {}
+    per_column = {c: sorted({b for r in rs for b in _bounds(r, known[c])}) for c, rs in wanted.items()}
+    number = {c: F.when(~F.isnan(quoted(c).cast("double")), quoted(c).cast("double")) for c in per_column}
+    sketch = df.agg(
+        *[
+            F.percentile_approx(number[c], F.array(*map(F.lit, shares)), SKETCH_ACCURACY).alias(str(i))
+            for i, (c, shares) in enumerate(per_column.items())
         ]
-        # halves keep the span finite for any two doubles; infinities have bins of their own
-        low, high = (F.least(F.greatest(c, F.lit(-MAX_DOUBLE)), F.lit(MAX_DOUBLE)) for c in ("low", "high"))
-        span = high / 2 - low / 2
-        at = F.when(span > 0, (F.col("v") / 2 - low / 2) / span).otherwise((F.col("v") > low).cast("double"))
-        bin_of = (
-            F.when(F.col("v") < -MAX_DOUBLE, -1)
-            .when(F.col("v") > MAX_DOUBLE, BINS)
-            .otherwise(F.least(F.floor(at * BINS), F.lit(BINS - 1)))
-        )
+    ).first()
+    at = {(c, share): v for i, (c, shares) in enumerate(per_column.items()) for share, v in zip(shares, sketch[i])}
+    bounds = [tuple(at[c, share] for share in _bounds(r, known[c])) for c, r in targets]
+    spans = _in_spans(df, targets, bounds)
+    counted = spans.groupBy("t").agg(
+        F.count_if(F.col("v") < F.col("low")).alias("below"),
+        F.count_if(F.col("v").between(F.col("low"), F.col("high"))).alias("inside"),
+    )
+    found = {row["t"]: row for row in counted.collect()}
+    solved: dict[tuple[str, int], float] = {}
+    open_, ranks = [], []
+    for i, (target, (low, high)) in enumerate(zip(targets, bounds)):
+        rank = target[1] - found[i]["below"]
+        if not 0 <= rank < found[i]["inside"]:  # the sketch was off: look among all values
+            open_.append((target, (float("-inf"), float("inf"))))
+            ranks.append(target[1])
+        elif low == high:
+            solved[target] = low
+        else:
+            open_.append((target, (low, high)))
+            ranks.append(rank)
+    if open_:
+        inside = _in_spans(df, [t for t, _ in open_], [b for _, b in open_]).filter(F.col("v").between(F.col("low"), F.col("high")))
+        upto = F.sum("n").over(Window.partitionBy("t").orderBy("v"))
+        wanted_rank = F.get(F.array(*map(F.lit, ranks)), F.col("t"))
         rows = (
-            df.select(F.inline(F.array(*cells)))
-            .filter(F.col("v").between(F.col("low"), F.col("high")) & ~F.isnan("v"))
-            .withColumn("bin", bin_of)
-            .groupBy("t", "bin")
-            .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            inside.groupBy("t", "v")
+            .agg(F.count("*").alias("n"))
+            .withColumn("upto", upto)
+            .filter((F.col("upto") > wanted_rank) & (F.col("upto") - F.col("n") <= wanted_rank))
             .collect()
         )
-        per_span: dict[int, list] = {}
-        for r in sorted(rows, key=lambda r: r["bin"]):
-            per_span.setdefault(r["t"], []).append(r)
-        for target, bounds in list(open_.items()):
-            below = bounds[2]
-            for r in per_span[spans.index((target[0], *bounds))]:
-                if below + r["n"] > target[1]:
-                    open_[target] = (r["low"], r["high"], below)
-                    break
-                below += r["n"]
+        solved |= {open_[row["t"]][0]: row["v"] for row in rows}
     return solved
 
 
+def _bounds(rank: int, known: ColumnProfile) -> tuple[float, float]:
+    """Shares of the sorted values between which a rank lies, with room for twice the sketch's error."""
+    n = max(known.n - known.n_missing, 1)
+    return max(rank / n - 2 / SKETCH_ACCURACY, 0.0), min((rank + 1) / n + 2 / SKETCH_ACCURACY, 1.0)
+
+
+def _in_spans(df: DataFrame, targets: Sequence[tuple[str, int]], bounds: Sequence[tuple[float, float]]) -> DataFrame:
+    """``(t, v, low, high)`` rows: every number of a target's column, with the target's bounds."""
+    cells = [
+        F.struct(F.lit(i).alias("t"), quoted(c).cast("double").alias("v"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+        for i, ((c, _), (low, high)) in enumerate(zip(targets, bounds))
+    ]
+    return df.select(F.inline(F.array(*cells))).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
+def class_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The classes of categorical columns as a table, for any number of them.
+
+    ``c`` is the column's number, ``v`` or ``s`` the class as a number or text, ``n`` its rows, ``code`` its place
+    among the sorted classes, from 0, missing last, and ``upto`` and ``total`` the rows with a class up to this one
+    and with any. Classes are counted before they meet, and sorted and summed up in ranges.
+    """
+    return _placed(unfold(df, columns).groupBy("c", "v", "s").agg(F.count("*").alias("n")))
+
+
+def _placed(counted: DataFrame) -> DataFrame:
+    """Counted classes with their places and running sums; see ``class_table``."""
+    spark, path = counted.sparkSession, work_folder(counted.sparkSession)
+    missing = (F.col("v").isNull() & F.col("s").isNull()).alias("missing")
+    order = ("c", "missing", "v", "s")
+    ranged = counted.select("c", "v", "s", "n", missing).repartitionByRange(*[F.col(c) for c in order])
+    ranged.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path).withColumn("known", F.when(F.col("missing"), 0).otherwise(F.col("n")))
+    parts = ranged.groupBy("c", "part").agg(F.count("*").alias("__classes"), F.sum("known").alias("__rows"))
+    earlier = Window.partitionBy("c").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        "c",
+        "part",
+        F.coalesce(F.sum("__classes").over(earlier), F.lit(0)).alias("__classes"),
+        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__rows"),
+        F.sum("__rows").over(Window.partitionBy("c")).alias("total"),
+    )
+    inside = Window.partitionBy("c", "part").orderBy("missing", "v", "s")
+    return (
+        ranged.withColumn("__at", F.row_number().over(inside) - 1)
+        .withColumn("__upto", F.sum("known").over(inside))
+        .join(offsets, ["c", "part"])
+        .select(
+            "c", "v", "s", "n", (F.col("__classes") + F.col("__at")).alias("code"), (F.col("__rows") + F.col("__upto")).alias("upto"), "total"
+        )
+    )
+
+
+def class_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:
+    """Add the place of a row's class among the column's sorted classes, from 0; missing is the last one."""
+    codes = class_table(df, [column]).select(F.struct("v", "s").alias("__class"), F.col("code").alias(name))
+    # a struct of both kinds of value is never null, so the missing class finds its code
+    return df.withColumn("__class", class_key(df, column)).join(codes, "__class", "left").drop("__class")
+
+
+def class_key(df: DataFrame, column: str) -> Column:
+    """A row's class as in ``class_table``: a struct of number and text, of which one or none is set."""
+    if is_numeric(df, column):
+        v, s = quoted(column).cast("double"), F.lit(None).cast("string")
+        v = F.when(~F.isnan(v), v)
+    else:
+        v, s = F.lit(None).cast("double"), quoted(column).cast("string")
+    return F.struct(v.alias("v"), s.alias("s"))
+
+
+def split_classes(
+    df: DataFrame, columns: Sequence[str], known: Profile, limit: int
+) -> tuple[dict[str, list[tuple[Any, int]]], dict[str, DataFrame]]:
+    """Classes with counts of the columns that have at most ``limit`` of them, and tables for the other columns.
+
+    The data is read once. Lists are sorted, the missing class comes last; tables are as in ``class_table``.
+    """
+    if not columns:
+        return {}, {}
+    spark, path = df.sparkSession, work_folder(df.sparkSession)
+    unfold(df, columns).groupBy("c", "v", "s").agg(F.count("*").alias("n")).write.parquet(path)
+    counted = spark.read.parquet(path)
+    present = F.count_if(F.col("v").isNotNull() | F.col("s").isNotNull())
+    sizes = {row["c"]: row["k"] for row in counted.groupBy("c").agg(present.alias("k")).collect()}
+    wide = [i for i in range(len(columns)) if sizes.get(i, 0) > limit]
+    lists: dict[str, list[tuple[Any, int]]] = {c: [] for i, c in enumerate(columns) if i not in wide}
+    few = counted.filter(~F.col("c").isin(wide)) if wide else counted
+    for r in few.collect():  # at most limit + 1 rows of each column
+        lists[columns[r["c"]]].append((r["v"] if known[columns[r["c"]]].numeric else r["s"], r["n"]))
+    for classes in lists.values():
+        classes.sort(key=lambda vc: (vc[0] is None, vc[0] if vc[0] is not None else 0))
+    if not wide:
+        return lists, {}
+    path = work_folder(spark)
+    _placed(counted.filter(F.col("c").isin(wide))).write.parquet(path)
+    classes = spark.read.parquet(path)
+    return lists, {columns[i]: classes.filter(F.col("c") == i).drop("c") for i in wide}
+
+
 def class_counts_of(
     df: DataFrame, columns: Sequence[str], known: Profile, limit: int = MAX_CLASSES
 ) -> dict[str, list[tuple[Any, int]]]:
-    """Sorted distinct values of categorical columns with their counts; a missing class comes last."""
-    if not columns:
-        return {}
-    most = len(columns) * (limit + 1)
-    rows = unfold(df, columns).groupBy("c", "v", "s").count().limit(most + 1).collect()
-    out: dict[str, list[tuple[Any, int]]] = {c: [] for c in columns}
-    for r in rows:
-        name = columns[r["c"]]
-        out[name].append((r["v"] if known[name].numeric else r["s"], r["count"]))
-    wide = [c for c, classes in out.items() if len([v for v, _ in classes if v is not None]) > limit]
-    if wide or len(rows) > most:
-        raise ValueError(f"columns with more than {limit} distinct values: {wide or columns}")
-    for classes in out.values():
-        classes.sort(key=lambda vc: (vc[0] is None, vc[0] if vc[0] is not None else 0))
-    return out
+    """Sorted distinct values of categorical columns with their counts; a missing class comes last.
+
+    For columns with at most ``limit`` of them; ``class_table`` has any number.
+    """
+    lists, wide = split_classes(df, columns, known, limit)
+    if wide:
+        raise ValueError(f"columns with more than {limit} distinct values: {list(wide)}")
+    return lists
 
 
 def _standardised(df: DataFrame, columns: Sequence[str], known: Profile) -> tuple[list[str], TrainingTable]:

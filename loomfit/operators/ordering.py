@@ -79,18 +79,19 @@ def id_rank(df: DataFrame, id_col: str, name: str = "rank", ranges: int = 256) -
 def _number_rows(
     bucketed: DataFrame, columns: list[str], by: list[str], order: list[str], name: str
 ) -> DataFrame:
-    """Number rows inside ordered buckets and add the sizes of the earlier buckets."""
+    """Number rows inside ordered buckets and add the sizes of the earlier buckets; null is a group, too."""
     sizes = bucketed.groupBy(*by, BUCKET).agg(F.count("*").alias("__size"))
     earlier = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *by, BUCKET, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before")
+        F.struct(*by, BUCKET).alias(STRATUM), F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before")
     )
     if not by:
         offsets = F.broadcast(offsets)  # one row per bucket, of which there is a fixed number
     inside = Window.partitionBy(*by, BUCKET).orderBy(*[quoted(c) for c in order])
     return (
         bucketed.withColumn("__within", F.row_number().over(inside).cast("long"))
-        .join(offsets, [*by, BUCKET])
+        .withColumn(STRATUM, F.struct(*by, BUCKET))
+        .join(offsets, STRATUM)
         .withColumn(name, F.col("__before") + F.col("__within"))
         .select(*[quoted(c) for c in columns], name)
     )

@@ -7,6 +7,7 @@ folds and resampling add filters or a ``copies`` column to the table and never s
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -61,6 +62,19 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     return kept.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
 
 
+def add_copies(tables: Sequence[DataFrame], id_col: str, copies: str = "copies") -> DataFrame:
+    """Add up how often rows are taken: ids with the sum of their copies over all tables.
+
+    Ids are counted per task before they meet. A table without the copies column takes each of its rows once;
+    a null number of copies counts as none.
+    """
+    counted = [
+        t.select(quoted(id_col), (F.coalesce(quoted(copies), F.lit(0)) if copies in t.columns else F.lit(1)).cast("long").alias(copies))
+        for t in tables
+    ]
+    return reduce(DataFrame.unionByName, counted).groupBy(quoted(id_col)).agg(F.sum(copies).alias(copies))
+
+
 @dataclass(frozen=True)
 class Folds:
     """A table with a test-fold column, and the training copies of every row per fold.

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,11 +176,13 @@ class Impute(Step):
     """Fill missing continuous values with the median or mean.
 
     ``distributions`` also fills each missing categorical value with a seeded draw from the observed
-    frequencies of its column; the draw depends on the row's id (the first key of the spec).
+    frequencies of its column; the draw depends on the row's id (the first key of the spec). Columns with more
+    than ``max_classes`` classes are drawn from their cumulative frequencies as a table, by a join in ranges.
     """
 
     strategy: str = "median"
     seed: int = 1
+    max_classes: int = MAX_CLASSES
 
     def __post_init__(self):
         if self.strategy not in ("median", "mean", "distributions"):
@@ -195,13 +198,15 @@ class Impute(Step):
         fills = {c: v for c, v in fills.items() if v is not None}
         exprs = {c: F.coalesce(quoted(c).cast("double"), F.lit(v)) for c, v in fills.items()}
         drawn: dict[str, list[tuple[Any, int]]] = {}
+        wide: dict[str, DataFrame] = {}
         if self.strategy == "distributions":
             if not scan.spec.keys:
                 raise ValueError("seeded draws need an id: put it first in the spec's keys")
             row_id = quoted(scan.spec.keys[0])
-            counts = st.class_counts_of(
-                scan.df, scan.spec.categorical_in(scan.df.columns), known
+            counts, wide = st.split_classes(
+                scan.df, scan.spec.categorical_in(scan.df.columns), known, self.max_classes
             )
+            wide = {c: classes for c, classes in wide.items() if known[c].n_missing}
             drawn = {c: [vc for vc in v if vc[0] is not None] for c, v in counts.items()}
             drawn = {c: v for c, v in drawn.items() if v}
             for c, classes in drawn.items():
@@ -210,11 +215,50 @@ class Impute(Step):
                 exprs[c] = F.coalesce(quoted(c), draw)
 
         def carry(before: Profile) -> Profile | None:
-            if any(before[c].n_missing for c in drawn):
+            if any(before[c].n_missing for c in (*drawn, *wide)):
                 return None
             return {c: p.filled(fills[c]) if c in fills else p for c, p in before.items()}
 
-        return replacing(exprs, carry, {"fills": fills, "draws": drawn})
+        fitted = replacing(exprs, carry, {"fills": fills, "draws": drawn, "tables": wide})
+        if not wide:
+            return fitted
+
+        def project(df: DataFrame) -> DataFrame:
+            out = fitted.project(df)
+            for c, classes in wide.items():
+                out = _draw_from(out, c, classes, uniform(self.seed, F.lit(c), row_id))
+            return out.select(*[quoted(c) for c in df.columns])
+
+        return Fitted(project, carry, fitted.state)
+
+
+DRAW_RANGES = 1024
+
+
+def _draw_from(df: DataFrame, column: str, classes: DataFrame, u: Column) -> DataFrame:
+    """Fill a column's missing values from the slices of cumulative frequencies that hold ``u``.
+
+    The unit interval is cut into DRAW_RANGES equal ranges; a class is listed in all that its slice meets, and
+    a row looks in the one that holds its number. Rows that miss nothing meet no class, and are spread out.
+    """
+    share = lambda n: n / F.col("total")
+    known = classes.filter(F.col("v").isNotNull() | F.col("s").isNotNull())
+    slices = known.select(
+        (F.col("v") if st.is_numeric(df, column) else F.col("s")).cast(df.schema[column].dataType).alias("__value"),
+        share(F.col("upto") - F.col("n")).alias("__from"),
+        share(F.col("upto")).alias("__to"),
+    )
+    last = F.lit(DRAW_RANGES - 1)
+    at = lambda x: F.least(F.floor(x * DRAW_RANGES).cast("int"), last)
+    slices = slices.withColumn("__range", F.explode(F.sequence(at(F.col("__from")), at(F.col("__to")))))
+    missing = quoted(column).isNull()
+    spread = -1 - F.pmod(F.xxhash64(u), F.lit(DRAW_RANGES)).cast("int")
+    rows = df.withColumn("__u", u).withColumn("__row_range", F.when(missing, at(F.col("__u"))).otherwise(spread))
+    inside = (F.col("__u") >= F.col("__from")) & (F.col("__u") < F.col("__to"))
+    joined = rows.join(slices, (F.col("__row_range") == F.col("__range")) & inside, "left")
+    return joined.withColumn(column, F.coalesce(quoted(column), F.col("__value"))).drop(
+        "__u", "__row_range", "__value", "__from", "__to", "__range"
+    )
 
 
 def _draw(u: Column, classes: Sequence[tuple[Any, int]]) -> Column:
@@ -270,6 +314,9 @@ class OneHot(Step):
 
     Classes are sorted; missing is a class of its own (``column__nan``) and comes last. Classes not
     seen in fitting give zeros. Continuous columns come first in the output.
+
+    A column with more than ``max_classes`` classes becomes one sparse vector ``column__classes`` instead, with
+    the same places; its classes stay a table and rows find theirs by a join.
     """
 
     drop_last: bool = False
@@ -277,24 +324,38 @@ class OneHot(Step):
 
     def learn(self, scan: Scan) -> Fitted:
         names = scan.spec.categorical_in(scan.df.columns)
-        classes = {
-            c: [v for v, _ in found]
-            for c, found in st.class_counts_of(scan.df, names, scan.profile, self.max_classes).items()
-        }
+        lists, wide = st.split_classes(scan.df, names, scan.profile, self.max_classes)
+        classes = {c: [v for v, _ in found] for c, found in lists.items()}
         if self.drop_last:
             classes = {c: found[:-1] for c, found in classes.items()}
         # SQL text: thousands of indicators would be slow to build one Column object at a time
         made = []
-        for c in names:
+        for c in classes:
             kind = "double" if scan.profile[c].numeric else "string"
             for v in classes[c]:
                 hit = f"CAST({sql_name(c)} AS {kind}) <=> {sql_literal(v)}"
                 made.append(f"CAST({hit} AS double) AS {sql_name(class_column(c, v))}")
 
         def project(df: DataFrame) -> DataFrame:
-            return df.selectExpr(*[sql_name(c) for c in df.columns if c not in classes], *made)
-
-        return Fitted(project, state=classes)
+            out = df.selectExpr(*[sql_name(c) for c in df.columns if c not in classes], *made)
+            for c, table in wide.items():
+                out = _sparse(out, c, table, self.drop_last)
+            return out
+
+        return Fitted(project, state={**classes, **wide})
+
+
+def _sparse(df: DataFrame, column: str, classes: DataFrame, drop_last: bool) -> DataFrame:
+    """Replace a column by the sparse indicator vector of its class; unseen classes give zeros."""
+    key, code = "__class", "__code"
+    codes = classes.select(F.struct("v", "s").alias(key), F.col("code").cast("double").alias(code))
+    size = int(codes.agg(F.max(code)).first()[0]) + (0 if drop_last else 1)
+    placed = df.withColumn(key, st.class_key(df, column)).join(codes, key, "left").drop(key, column)
+    # classes without a place, unseen or dropped, take one behind all others, which the encoder cuts off
+    placed = placed.withColumn(code, F.least(F.coalesce(code, F.lit(float(size))), F.lit(float(size))))
+    encoder = OneHotEncoder(inputCol=code, outputCol=f"{column}__classes", dropLast=True)
+    fitted = encoder.fit(df.sparkSession.createDataFrame([(float(size),)], f"{code} double"))
+    return fitted.transform(placed).drop(code)
 
 
 def sql_name(column: str) -> str:

@@ -93,3 +93,17 @@ def codes_from_answers(answers: DataFrame) -> DataFrame:
     return answers.filter(
         F.col("meaning").isin(*MISSING_MEANINGS) & (F.col("answer") != BLANK)
     ).select("col", F.col("answer").try_cast("double").alias("code")).distinct()
+
+
+def recode_by_dictionary(df: DataFrame, columns: Sequence[str], codes: DataFrame) -> DataFrame:
+    """Set the answers to NULL that a dictionary kept as a table calls missing.
+
+    ``codes`` has ``(col, code)`` rows, as ``codes_from_answers`` gives them. Answers are compared as
+    numbers; those that are none, and null, stay as they are. Rows are neither lost nor repeated.
+    """
+    for i, name in enumerate(columns):
+        own = codes.filter(F.col("col") == name).select(F.col("code").alias(f"__code{i}")).distinct()
+        answer = F.col("`" + name.replace("`", "``") + "`")
+        hit = df.join(own, answer.try_cast("double") == F.col(f"__code{i}"), "left")
+        df = hit.withColumn(name, F.when(F.col(f"__code{i}").isNull(), answer)).drop(f"__code{i}")
+    return df

@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from loomfit.functions import statistics as st
 from loomfit.plans import preparation as prep
 from loomfit.session import work_folder
 from loomfit.sources import tables
-from loomfit.sources.dictionary import ColumnSpec, codes_from_answers, read_answer_table
+from loomfit.sources.dictionary import ColumnSpec, codes_from_answers, read_answer_table, recode_by_dictionary
 
 
 def values(df, column):
@@ -56,11 +57,10 @@ def test_one_hot_quotes_odd_values(spark):
     assert sorted(sum(r) for r in out.collect()) == [1.0] * len(odd)
 
 
-def test_one_hot_limit(spark):
+def test_one_hot_beyond_the_limit_is_a_sparse_vector(spark):
     df = spark.range(30).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="distinct"):
-        prep.OneHot(max_classes=20).fit(df, ColumnSpec())
-    assert len(prep.OneHot(max_classes=30).fit_transform(df, ColumnSpec()).columns) == 30
+    out = prep.OneHot(max_classes=20).fit_transform(df, ColumnSpec())
+    assert out.columns == ["c__classes"] and out.count() == 30
 
 
 def test_recode_keeps_missing_and_ignores_blank(spark, tmp_path):
@@ -205,8 +205,6 @@ def test_load_once_refuses_a_broken_copy(spark, tmp_path):
 
 
 def test_median_with_infinity_and_nan(spark):
-    from loomfit.functions import statistics as st
-
     inf, nan = float("inf"), float("nan")
     for values, want in (
         ([1.0, 2.0, 3.0, inf], 2.5),
@@ -226,3 +224,54 @@ def test_recode_text_answers(spark):
     df = spark.createDataFrame([("x",), ("7",), (None,), ("8",)], "a string")
     got = Pipeline([RecodeMissing()]).fit_transform(df, spec).collect()
     assert [r["a"] for r in got] == ["x", None, None, "8"]
+
+
+def test_order_statistics_are_exact_even_if_the_sketch_is_off(spark, monkeypatch):
+    rng = np.random.RandomState(2)
+    values = [float(v) for v in np.concatenate([rng.normal(size=500), np.full(300, 0.25), [np.inf] * 40, [-np.inf] * 9])]
+    df = spark.createDataFrame([(v,) for v in values] + [(float("nan"),), (None,)], "a double")
+    known = st.profile(df, ["a"])
+    ranks = [0, 8, 9, 400, 424, len(values) - 1]
+    want = {("a", r): sorted(values)[r] for r in ranks}
+    assert st.order_statistics(df, {"a": ranks}, known) == want
+    monkeypatch.setattr(st, "_bounds", lambda rank, known: (0.9, 0.95))
+    assert st.order_statistics(df, {"a": ranks}, known) == want
+
+
+def test_classes_as_a_table(spark):
+    rows = [(i, None if i % 9 == 0 else f"k{i % 40:02d}", None if i % 7 == 0 else float(i % 30)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, s string, x double")
+    found = {(r["c"], r["v"], r["s"]): (r["n"], r["code"], r["upto"], r["total"]) for r in st.class_table(df, ["s", "x"]).collect()}
+    for c, column in enumerate(("s", "x")):
+        values = [r[c + 1] for r in rows]
+        present = sorted({v for v in values if v is not None})
+        upto = 0
+        for code, value in enumerate(present):
+            n = values.count(value)
+            upto += n
+            key = (c, value, None) if c else (c, None, value)
+            assert found.pop(key) == (n, code, upto, sum(v is not None for v in values))
+        assert found.pop((c, None, None))[:2] == (values.count(None), len(present))
+    assert not found
+    codes = {r["id"]: r["code"] for r in st.class_codes(df, "x").collect()}
+    assert codes == {i: 30 if x is None else int(x) for i, _, x in rows}
+
+
+def test_wide_one_hot_equals_narrow(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    seen = spark.createDataFrame([(i, None if i % 5 == 0 else f"k{i % 7}") for i in range(40)], "id long, s string")
+    new = seen.union(spark.createDataFrame([(99, "unseen")], "id long, s string"))
+    spec = ColumnSpec(keys=("id",))
+    for drop_last in (False, True):
+        narrow = prep.OneHot(drop_last).fit(seen, spec).transform(new).collect()
+        wide = prep.OneHot(drop_last, max_classes=3).fit(seen, spec).transform(new)
+        got = {r["id"]: r["v"] for r in wide.select("id", vector_to_array("s__classes").alias("v")).collect()}
+        assert got == {r["id"]: list(r)[1:] for r in narrow}
+
+
+def test_dictionary_lookup_keeps_every_row(spark):
+    codes = spark.createDataFrame([("a", 7.0), ("a", 7.0), ("b", 9.0)], "col string, code double")
+    df = spark.createDataFrame([("7", 9), ("x", 7), (None, None), ("7.0", 1)], "a string, b int")
+    got = recode_by_dictionary(df, ["a", "b"], codes).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, None), ("x", 7), (None, None), (None, 1)], key=str)

@@ -186,3 +186,28 @@ def test_many_cuts_compute_one_hash_and_lose_nothing(spark, monkeypatch):
     assert placed._jdf.queryExecution().executedPlan().toString().count("md5(") == 1
     sizes = {r["block"]: r["n"] for r in placed.groupBy("block").agg(F.count("*").alias("n")).collect()}
     assert sizes == {i: 2000 * (i + 1) // k - 2000 * i // k for i in range(k)}
+
+
+def test_blocks_of_any_number_of_strata(spark, monkeypatch):
+    from loomfit.operators import ordering
+
+    monkeypatch.setattr(ordering, "REFINE_ROWS", 10)
+    monkeypatch.setattr(ordering, "HEX_DIGITS", 1)
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i % 83) for i in range(3000)], "id long, s long")
+    sizes = {}
+    for row in df.groupBy("s").count().collect():
+        sizes[row["s"]] = row["count"]
+    ends = lambda n: F.array(F.lit(0).cast("long"), F.floor(n / 3), n - 1, n + 5)
+    placed = ordering.stratum_blocks(df, "id", F.col("s"), ends).collect()
+    ranked = {r["id"]: r["rank"] for r in ordering.seeded_rank(df, "id", by="s").collect()}
+    assert len(placed) == 3000
+    for row in placed:
+        n, rank = sizes[row["s"]], ranked[row["id"]]
+        assert row["block"] == sum(end < rank for end in (0, n // 3, n - 1, n + 5)), row
+
+
+def test_copies_add_up(spark):
+    one = spark.createDataFrame([(1,), (1,), (2,)], "id long")
+    two = spark.createDataFrame([(1, 5), (3, None), (None, 2)], "id long, copies int")
+    got = {tuple(r) for r in sampling.add_copies([one, two], "id").collect()}
+    assert got == {(1, 7), (2, 1), (3, 0), (None, 2)}
