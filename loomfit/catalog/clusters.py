@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.ensemble import ClusterEnsemble
 from ..operators.kmeans import KMeans, cluster_means, cluster_sizes, nearest_centre
 from .common import EVENT_FEATURES, EVENT_SQL, LOGISTIC, descent_ctes, purchases, query, r, rs, score_sql, table, uniform_sql
-from .sampling import bootstrap_sql, lloyd_ctes
+from .sampling import bootstrap_sql, lloyd_ctes, spread_ctes
 
 XS = EVENT_FEATURES
 _POINTS = "pts AS (SELECT vec_id AS id, embedding::DOUBLE[] AS f, label FROM embeddings)"
@@ -130,11 +130,29 @@ def start(spark, sf):
     return spark.createDataFrame(rows, "cluster int, pos int, value double").withColumn("value", r(F.col("value")))
 
 
-@query("cluster_fit_spread")
+_SPREAD, _SPREAD_LAST = lloyd_ctes("pts", "SELECT * FROM spread", 3, 64, "c")
+_SPREAD = f"{spread_ctes('pts', '10')},\n{_SPREAD}"
+_SPREAD_SIZES = "SELECT cluster, count(*) AS n FROM ({nearest}) GROUP BY cluster"
+
+
+@query("cluster_start_spread", f"WITH RECURSIVE {_POINTS}, {spread_ctes('pts', '40')} "
+       f"SELECT j::INT AS cluster, pos::INT AS pos, {rs('v')} AS value FROM "
+       "(SELECT j, unnest(c) AS v, unnest(range(64)) AS pos FROM spread)")
+def start_spread(spark, sf):
+    """Forty seeded starting centres: more than the rows' distances are summed up for between two writes."""
+    df = _embeddings(spark, sf).select(F.col("embedding").cast("array<double>").alias("f"), F.col("vec_id").alias("id"))
+    rows = [(j, pos, float(v)) for j, c in enumerate(KMeans(40).start(df)) for pos, v in enumerate(c)]
+    return spark.createDataFrame(rows, "cluster int, pos int, value double").withColumn("value", r(F.col("value")))
+
+
+@query(
+    "cluster_fit_spread",
+    f"WITH RECURSIVE {_POINTS}, {_SPREAD} " + _SPREAD_SIZES.format(nearest=_NEAREST.format(c=_SPREAD_LAST)),
+)
 def fit_spread(spark, sf):
-    """k-means from seeded starting centres, run until the centres stay."""
+    """k-means from seeded starting centres."""
     df = _embeddings(spark, sf)
-    model = KMeans(10, 100).fit(df, "embedding", "vec_id")
+    model = KMeans(10, 3).fit(df, "embedding", "vec_id")
     return cluster_sizes(model.assign(df))
 
 

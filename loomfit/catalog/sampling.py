@@ -234,6 +234,26 @@ def lloyd_ctes(points: str, centres: str, steps: int, dims: int, prefix: str) ->
     return ",\n".join(ctes), f"{prefix}{steps}"
 
 
+def spread_ctes(points: str, k: str, seed: int = 1) -> str:
+    """``spread(j, c)``: ``k`` seeded starting centres from ``points(id, f)``; needs WITH RECURSIVE."""
+
+    def drawn(step: str, weight: str, where: str) -> str:
+        race = f"{{'r': {weight}, 'id': id}}"
+        return f"arg_min(f, {race}) FILTER ({where}) OVER ()"
+
+    number = lambda step: (
+        f"((('0x' || substr(md5(concat_ws(':', concat('{seed}:', {step}), id)), 1, 13))::BIGINT)::DOUBLE + 0.5) "
+        "/ 4503599627370496.0::DOUBLE"
+    )
+    return (
+        f"walk AS (SELECT 0 AS j, id, f, list_distance(f, c) AS w, c FROM (SELECT id, f, "
+        f"{drawn('0', number('0'), 'TRUE')} AS c FROM {points}) UNION ALL "
+        f"SELECT j + 1, id, f, w + list_distance(f, c), c FROM (SELECT j, id, f, w, "
+        f"{drawn('j + 1', f'-ln({number("j + 1")}) / w', 'w > 0')} AS c FROM walk WHERE j + 1 < {k})), "
+        "spread AS (SELECT j, any_value(c) AS c FROM walk GROUP BY j)"
+    )
+
+
 _centres, _last = lloyd_ctes(
     "pts",
     f"SELECT j, f AS c FROM (SELECT f, {rank_sql(1, 'id')} - 1 AS j FROM pts) "
@@ -259,3 +279,30 @@ def to_centres(spark, sf):
         docs, "doc_id", ["chars", "lines"], "y", max_iter=2, init=np.array(first, dtype=float)
     )
     return out.select("doc_id", r(F.col("chars"), 9).alias("chars"), r(F.col("lines"), 9).alias("lines"), "y")
+
+
+def _seeded_centres(on: str) -> str:
+    rows = "WHERE y = -1" if on == "majority" else ""
+    lloyd, last = lloyd_ctes("pts", "SELECT * FROM spread", 2, 2, "c")
+    return (
+        f"WITH RECURSIVE src AS ({DOC_SQL}), pts AS (SELECT doc_id AS id, [chars, lines]::DOUBLE[] AS f FROM src {rows}), "
+        f"{spread_ctes('pts', '(SELECT count(*) FROM src WHERE y = 1)')}, {lloyd} "
+        f"SELECT doc_id, {rs('chars', 9)} AS chars, {rs('lines', 9)} AS lines, y FROM src WHERE y = 1 "
+        f"UNION ALL SELECT NULL, {rs('c[1]', 9)}, {rs('c[2]', 9)}, -1 FROM {last}"
+    )
+
+
+def _to_seeded_centres(spark, sf, on: str):
+    out = downsample_to_centres(documents(spark, sf), "doc_id", ["chars", "lines"], "y", on, max_iter=2)
+    return out.select("doc_id", r(F.col("chars"), 9).alias("chars"), r(F.col("lines"), 9).alias("lines"), "y")
+
+
+@query("resample_downsample_to_seeded_centres", _seeded_centres("majority"))
+def to_seeded_centres(spark, sf):
+    """As many k-means centres of the majority as there are minority rows, from seeded starting centres."""
+    return _to_seeded_centres(spark, sf, "majority")
+
+
+@query("resample_downsample_to_seeded_centres_of_all", _seeded_centres("all"))
+def to_seeded_centres_of_all(spark, sf):
+    return _to_seeded_centres(spark, sf, "all")

@@ -19,6 +19,7 @@ from .sampling import MAJORITY, MINORITY, class_counts
 from .table import TrainingTable, vector_size
 
 TOLERANCE = 1e-9
+WEIGHT_STEPS = 16  # starting centres after which the rows' summed distances are written
 
 
 def nearest_centre(vector: Column, centres: np.ndarray) -> Column:
@@ -75,19 +76,19 @@ def _closer(part: np.ndarray, first: int):
     return closer
 
 
-def distance_sum(vector: Column, centres: np.ndarray) -> Column:
-    """Sum of the distances of a row to all centres."""
+def distance_sum(vector: Column, centres: np.ndarray, so_far: Column) -> Column:
+    """A number plus the distances of a row to some centres, one after another."""
     dim = centres.shape[1]
 
     @F.arrow_udf("double")
-    def total(v: pa.Array) -> pa.Array:
+    def total(v: pa.Array, before: pa.Array) -> pa.Array:
         x = sums.vectors(v, dim)
-        out = np.zeros(len(x))
+        out = before.to_numpy(zero_copy_only=False).copy()
         for c in centres:
             out += np.sqrt(((x - c) ** 2).sum(axis=1))
         return pa.array(out)
 
-    return total(vector)
+    return total(vector, so_far)
 
 
 def shipped_whole(centres: np.ndarray) -> bool:
@@ -215,19 +216,36 @@ class KMeans:
         return KMeansModel(names, vector, centres, last, iteration)
 
     def start(self, df: DataFrame) -> np.ndarray:
-        """Seeded starting centres from ``(f, id)`` rows: one aggregate per centre."""
+        """Seeded starting centres from ``(f, id)`` rows: one aggregate per centre.
+
+        A row's weight is the sum of its distances to the centres so far. It is a column that grows by the newest
+        centres only: the weights are written to the shared folder after every WEIGHT_STEPS centres, and a
+        draw adds the distances to the centres since then.
+        """
+        spark = df.sparkSession
+        spark.sparkContext.setJobDescription("starting centre 1")
         first = df.agg(F.min_by("f", F.struct(uniform(f"{self.seed}:0", F.col("id")), "id")))
         chosen = [first.first()[0]]
-        while len(chosen) < self.n_clusters:
-            weight = distance_sum(F.col("f"), np.array(chosen))
-            race = -F.ln(uniform(f"{self.seed}:{len(chosen)}", F.col("id"))) / F.col("weight")
-            drawn = (
-                df.withColumn("weight", weight)
-                .filter(F.col("weight") > 0)
-                .agg(F.min_by("f", F.struct(race, "id")))
-                .first()[0]
-            )
-            chosen.append(drawn if drawn is not None else chosen[0])
+        weighted, done = df.withColumn("weight", F.lit(0.0)), 0
+        try:
+            while len(chosen) < self.n_clusters:
+                spark.sparkContext.setJobDescription(f"starting centre {len(chosen) + 1} of {self.n_clusters}")
+                if len(chosen) - done > WEIGHT_STEPS:
+                    path = work_folder(spark)
+                    newest = np.array(chosen[done:-1])
+                    weighted.withColumn("weight", distance_sum(F.col("f"), newest, F.col("weight"))).write.parquet(path)
+                    weighted, done = spark.read.parquet(path), len(chosen) - 1
+                weight = distance_sum(F.col("f"), np.array(chosen[done:]), F.col("weight"))
+                race = -F.ln(uniform(f"{self.seed}:{len(chosen)}", F.col("id"))) / F.col("weight")
+                drawn = (
+                    weighted.withColumn("weight", weight)
+                    .filter(F.col("weight") > 0)
+                    .agg(F.min_by("f", F.struct(race, "id")))
+                    .first()[0]
+                )
+                chosen.append(drawn if drawn is not None else chosen[0])
+        finally:
+            spark.sparkContext.setJobDescription(None)
         return np.array(chosen, dtype=float)
 
 

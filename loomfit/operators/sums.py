@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .. import session
 
 SLOT_WIDTH = 8192
+ASSIGN_CELLS = 1 << 21  # distances computed at once
 
 
 def sum_rows(
@@ -321,15 +322,31 @@ def evaluation_kernel(w: np.ndarray, columns: np.ndarray | None, n_weights: int,
 
 
 def assign(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Index of the nearest centre of each row; the lowest index wins a tie."""
-    best = np.full(len(x), np.inf)
+    """Index of the nearest centre of each row; the lowest index wins a tie.
+
+    Distances come from one matrix product, |x|^2 - 2 x.c + |c|^2. Where that leaves more than one centre within
+    its rounding error, those centres are measured again coordinate by coordinate.
+    """
+    k, dim = centres.shape
+    shift = centres.mean(axis=0)  # near the rows, as a rule, which keeps the products small
+    moved = centres - shift
+    lengths = np.einsum("ij,ij->i", moved, moved)
+    error = 16 * (dim + 4) * np.finfo(float).eps
     index = np.zeros(len(x), dtype=np.int32)
-    for j, centre in enumerate(centres):
-        gap = x - centre
-        d = np.einsum("ij,ij->i", gap, gap)
-        closer = d < best
-        best[closer] = d[closer]
-        index[closer] = j
+    step = max(1, ASSIGN_CELLS // (k + dim))
+    for begin in range(0, len(x), step):
+        rows = x[begin : begin + step]
+        near = rows - shift
+        d = lengths - 2.0 * (near @ moved.T)
+        own = np.einsum("ij,ij->i", near, near)
+        limit = d.min(axis=1) + error * (own + lengths.max())
+        close = ~(d > limit[:, None])
+        found = close.argmax(axis=1)
+        for i in np.flatnonzero(close.sum(axis=1) > 1):
+            candidates = np.flatnonzero(close[i])
+            gap = rows[i] - centres[candidates]
+            found[i] = candidates[np.einsum("ij,ij->i", gap, gap).argmin()]
+        index[begin : begin + step] = found
     return index
 
 

@@ -113,3 +113,25 @@ def test_bad_settings(df):
         KMeans(2).fit(df, ["a", "b"])
     with pytest.raises(ValueError):
         downsample_to_centres(df, "id", ["a", "b"], "y", "minority")
+
+
+def test_nearest_by_products_is_the_nearest_by_coordinates():
+    from loomfit.operators import sums
+
+    rng = np.random.RandomState(4)
+    for scale, offset in ((1, 0), (1e-3, 1e6), (1e3, 0)):
+        centres = np.round(rng.normal(size=(37, 5)), 1) * scale + offset
+        centres[20] = centres[3]
+        x = np.vstack([np.round(rng.normal(size=(400, 5)), 1) * scale + offset, centres, (centres[1:] + centres[:-1]) / 2])
+        gaps = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        got = sums.assign(x, centres)
+        assert np.array_equal(gaps[np.arange(len(x)), got], gaps.min(axis=1))
+        assert (got[400:437] <= np.arange(37)).all() and got[420] == 3
+
+
+def test_weights_written_between_draws_change_nothing(df, monkeypatch):
+    from loomfit.operators import kmeans
+
+    want = KMeans(9, 0, seed=2).fit(df, ["a", "b"], "id").centres
+    monkeypatch.setattr(kmeans, "WEIGHT_STEPS", 2)
+    assert np.array_equal(KMeans(9, 0, seed=2).fit(df, ["a", "b"], "id").centres, want)
