@@ -24,6 +24,7 @@ WIDTH = 8  # tokens of a window
 LITERALS = 0.6  # share of a window that must be words, not placeholders, or else its values count
 READINGS = (False, True)  # whether a capital that begins a sentence is a name
 FILTER_BITS = 22  # the prefilter has 2**FILTER_BITS cells, whatever the size of the benchmark
+TEXT_BYTES = 256 * 1024  # text read at once
 COVERAGE = 0.5  # share of an item's windows, or of its tokens along one alignment, that a document must have
 RUN = 13  # or so many of its tokens in a row
 CONSISTENCY = 0.8  # share of an item's slots that must hold one value
@@ -81,7 +82,7 @@ class Templates:
         some = high > low
         starts = np.where(some, whole[low], spans.starts)
         ends = np.where(some, whole[high - 1] + 1, spans.starts)
-        foreign = np.concatenate([[0], np.cumsum(~_IN_NUMBER[data], dtype=np.int64)])
+        foreign = np.concatenate([np.zeros(1, np.int32), np.cumsum(~_IN_NUMBER[data], dtype=np.int32)])
         raw_starts, raw_ends, offsets = spans.starts, spans.ends, spans.offsets
         first = data[np.minimum(starts, len(data) - 1)] if len(spans) else np.zeros(0, np.uint8)
         cuts = {}
@@ -98,7 +99,7 @@ class Templates:
         n = len(starts)
         hashes = spans.hashes(FOLDED, starts, ends)
         first = data[np.minimum(starts, len(data) - 1)] if n else np.zeros(0, np.uint8)
-        upper = np.concatenate([[0], np.cumsum(_UPPER[data], dtype=np.int64)])
+        upper = np.concatenate([np.zeros(1, np.int32), np.cumsum(_UPPER[data], dtype=np.int32)])
         types = np.full(n, WORD, np.int8)
         types[_UPPER[first] & (upper[ends] - upper[starts] == 1)] = NAME
         types[_UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, hashes), len(_UNIT_HASHES) - 1)] == hashes] = UNIT
@@ -155,7 +156,7 @@ class Templates:
         wordy = count(word) >= LITERALS * width
         valued = ~wordy & (count(literal) >= LITERALS * width)
         if vocabulary is not None:
-            strange = ~vocabulary[_cell(self.values)]
+            strange = ~_holds(vocabulary, self.values)
             wordy &= count(word & strange) == 0
             valued &= count(literal & strange) == 0
         found = []
@@ -177,6 +178,12 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
+def _holds(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the cell of each hash is set, in a filter of eight cells a byte."""
+    cell = _cell(hashes)
+    return (packed[cell >> 3] << (cell & 7).astype(np.uint8)) & 128 > 0
+
+
 def _signed(hashes: np.ndarray) -> pa.Array:
     return pa.array(hashes.astype(np.uint64).view(np.int64))
 
@@ -185,12 +192,13 @@ def item_windows(items: DataFrame) -> DataFrame:
     """The distinct windows of each template class of (item_id, text), in both readings.
 
     Items with the same windows and the same pattern of equal slots are one class, named by its smallest
-    id. An item shorter than a window is one window. Columns: reading, hash, width, item_id, n_items, at,
+    id, of any type that has an order; items without an id are left out. An item shorter than a window is one window. Columns: reading, hash, width, item_id, n_items, at,
     n_windows, n_tokens (in the windows), slots (for each placeholder of the window its offset, the number of
     its value, and whether the value is found elsewhere than at the beginning of sentences).
     """
+    kind = items.schema["item_id"].dataType.simpleString()
     schema = (
-        "item_id long, class long, reading int, hash long, width int, at int, n_windows int, n_tokens int, "
+        f"item_id {kind}, class long, reading int, hash long, width int, at int, n_windows int, n_tokens int, "
         "slots array<struct<at:int,slot:int,sure:boolean>>"
     )
 
@@ -199,13 +207,12 @@ def item_windows(items: DataFrame) -> DataFrame:
             rows = []
             for reading in READINGS:
                 rows += _item_rows(batch, reading)
-            columns = list(zip(*rows)) or [[]] * len(_ITEM_SCHEMA)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, _ITEM_SCHEMA)], schema=_ITEM_SCHEMA
-            )
+            fields = _ITEM_SCHEMA.set(0, pa.field("item_id", batch.schema.field("item_id").type))
+            columns = list(zip(*rows)) or [[]] * len(fields)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=fields)
 
     found = items.filter(F.col("item_id").isNotNull()).select(
-        F.col("item_id").cast("long"), text_bytes(F.col("text")).alias("text")
+        "item_id", text_bytes(F.col("text")).alias("text")
     ).mapInArrow(run, schema)
     return found.groupBy("class", "reading", "hash").agg(
         F.min("item_id").alias("item_id"),
@@ -253,7 +260,7 @@ def item_words(items: DataFrame) -> DataFrame:
     """The cells of the words and values of (item_id, text), each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXT_BYTES):
             values = [Templates(batch.column("text"), reading).values for reading in READINGS]
             cells = np.unique(_cell(np.concatenate(values)))
             yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32())], ["cell"])
@@ -273,14 +280,13 @@ def document_windows(docs: DataFrame, cells: np.ndarray, words: np.ndarray, widt
     shared = docs.sparkSession.sparkContext.broadcast((np.packbits(cells), np.packbits(words), widths))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, vocabulary, sizes = shared.value
-        passing, vocabulary = np.unpackbits(bits).astype(bool), np.unpackbits(vocabulary).astype(bool)
-        for batch in small_batches(batches, "text"):
+        passing, vocabulary, sizes = shared.value
+        for batch in small_batches(batches, "text", TEXT_BYTES):
             for reading in READINGS:
                 templates = Templates(batch.column("text"), reading)
                 for width in sizes:
                     at, found = templates.windows(width, vocabulary)
-                    hit = passing[_cell(found)]
+                    hit = _holds(passing, found)
                     at, found = at[hit], found[hit]
                     text = np.searchsorted(templates.offsets, at, side="right") - 1
                     yield pa.RecordBatch.from_arrays(
@@ -323,7 +329,9 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, consist
     of its tokens or RUN in a row, or if it is the one with most windows and the document has at least
     ``coverage`` of all; along it, at least ``consistency`` of the item's slots must hold one value each, also without
     words that only begin sentences. The best such alignment is shown. Null and empty texts contain nothing;
-    repeated rows count once; an empty table on either side gives no rows.
+    repeated rows count once; an empty table on either side gives no rows. Documents and items with a null id
+    are left out, as a pair could not name them; other columns are ignored, whatever their names. Ties between
+    alignments go to the smaller shift, then to the first reading.
     """
     known = keep(item_windows(items))
     shift = F.shiftrightunsigned(F.col("hash"), 64 - FILTER_BITS).cast("int").alias("cell")
