@@ -26,6 +26,8 @@ from .common import FOLDED, Spans, _mixed, id_hash, keep, query, read, small_bat
 # Contexts: the last 2, 3 and 5 bytes, and the word so far. Their tables have 2**bits slots of 16
 # counts, one per half byte; the sparser a context, the more slots.
 SLOT_BITS = (15, 17, 19, 19)
+COUNT_BYTES = 512 * 1024  # text counted at once
+SCORE_BYTES = 1024 * 1024  # text scored at once
 TASK_SPLITS = 8  # input splits that a counting task puts together, as it sends whole tables
 CHUNK = 1 << 12  # slots that travel together
 FAN_IN = 32  # partial tables that one task adds up
@@ -132,13 +134,13 @@ class ContextMixer:
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             totals = [np.zeros(16 << bits, np.int32) for bits in SLOT_BITS]
-            for batch in small_batches(batches, "text"):
+            for batch in small_batches(batches, "text", COUNT_BYTES):
                 text = Bytes(Spans(batch.column("text")))
                 high, low = (text.data >> 4).astype(np.int32), (text.data & 15).astype(np.int32)
                 for total, context, bits in zip(totals, text.contexts(), SLOT_BITS):
                     first, second = slots(context, high.astype(np.uint64), bits)
-                    halves = np.concatenate([first * 16 + high, second * 16 + low])
-                    total += np.bincount(halves, minlength=len(total))
+                    cells, n = np.unique(np.concatenate([first * 16 + high, second * 16 + low]), return_counts=True)
+                    total[cells] += n.astype(np.int32)
             part = TaskContext.get().partitionId()
             for k, total in enumerate(totals):
                 packed = [(i, _packed(piece)) for i, piece in enumerate(total.reshape(-1, 16 * CHUNK)) if piece.any()]
@@ -302,7 +304,7 @@ def score(docs: DataFrame, training) -> DataFrame:
         cost = np.append(np.log10(count + 0.5) - divisor, 0.0)
         seen = np.append(count > 0, False)
         out = []
-        for batch in small_batches(texts.combine_chunks().to_batches(), "text"):
+        for batch in small_batches(texts.combine_chunks().to_batches(), "text", SCORE_BYTES):
             spans = Spans(batch.column("text"))
             wanted = spans.hashes(FOLDED)
             at = np.searchsorted(hashes, wanted)
