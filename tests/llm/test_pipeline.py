@@ -3,6 +3,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from loomfit.llm.common import keep
 
@@ -24,8 +26,10 @@ def planted(spark, sf):
         (10**6 + 4, None, "en", "s", 1),
         (10**6 + 5, "", None, None, None),
         (10**6 + 6, "12 34 ###", "en", "s", 1),
+        (10**6 + 7, " ".join(rng.choice(words, 40_000)), "en", "s", 1),
     ]
-    return docs.union(spark.createDataFrame(rows, COLUMNS))
+    clashing = "predicted score margins lang_pred ambiguous key h0 h1 component_id item_id length bucket".split()
+    return docs.union(spark.createDataFrame(rows, COLUMNS)).withColumns({c: F.lit(c) for c in clashing})
 
 
 def test_stages_do_what_they_say(spark, sf, planted):
@@ -35,10 +39,10 @@ def test_stages_do_what_they_say(spark, sf, planted):
         docs = keep(stage(spark, docs, sf))
         assert docs.columns == planted.columns
         ids[name] = {r["doc_id"] for r in docs.select("doc_id").collect()}
-    new = {10**6 + k for k in range(7)}
-    assert ids["language_id"] & new == {10**6, 10**6 + 1, 10**6 + 2, 10**6 + 3}
-    assert ids["jaccard_join"] & new == {10**6, 10**6 + 3}
-    assert ids["decontamination"] & new == {10**6}
+    new = {10**6 + k for k in range(8)}
+    assert ids["language_id"] & new == {10**6, 10**6 + 1, 10**6 + 2, 10**6 + 3, 10**6 + 7}
+    assert ids["jaccard_join"] & new == {10**6, 10**6 + 3, 10**6 + 7}
+    assert ids["decontamination"] & new == {10**6, 10**6 + 7}
     packed = corpus_pipeline.packing(spark, docs, sf)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == ids["decontamination"]
 
