@@ -30,6 +30,9 @@ KEY, BUCKET, TIE, STRATUM = "__key", "__bucket", "__tie", "__stratum"
 HEX_DIGITS = 3  # 4,096 buckets to count
 KEY_DIGITS = 32  # length of a key
 RANK_DIGITS = 4  # 65,536 buckets to sort
+RANGE_ROWS = 1_000_000  # rows of a range of ids that are sorted together
+MIN_RANGES = 64
+SKETCH_ACCURACY = 10_000  # a sketch's quantiles are off by one in so many rows at most
 REFINE_ROWS = 2_000_000  # largest bucket searched for a cut as it is; larger ones are counted finer
 
 
@@ -63,8 +66,14 @@ def seeded_rank(
     return _number_rows(keyed, df.columns, [by] if by else [], [KEY, id_col], name)
 
 
-def id_rank(df: DataFrame, id_col: str, name: str = "rank", ranges: int = 256) -> DataFrame:
-    """Add the 1-based position of each row in ascending order of a numeric id."""
+def id_rank(df: DataFrame, id_col: str, name: str = "rank", ranges: int | None = None) -> DataFrame:
+    """Add the 1-based position of each row in ascending order of a numeric id.
+
+    Rows are sorted in ranges of ids. Without ``ranges`` there are as many as it takes for about RANGE_ROWS rows
+    in each, so no task gets more on a larger table.
+    """
+    if ranges is None:
+        ranges = max(MIN_RANGES, math.ceil(df.count() / RANGE_ROWS))
     steps = [i / ranges for i in range(1, ranges)]
     bounds = df.select(F.percentile_approx(quoted(id_col), F.lit(steps), 10 * ranges)).first()[0]
     splits = [-math.inf, *sorted({float(b) for b in bounds or []}), math.inf]
@@ -309,3 +318,16 @@ def stratum_blocks(
         .withColumn(name, F.col("__ahead") + passed)
         .drop("__here", "__cuts", "__ahead", STRATUM)
     )
+
+
+def first_by_id(df: DataFrame, id_col: str, n: int, rows: int) -> DataFrame:
+    """At least the ``n`` rows with the smallest numeric ids, and not many more, of a table of ``rows`` rows.
+
+    A quantile sketch gives an id that is large enough; all rows are taken if its filter should hold too few.
+    """
+    if n >= rows:
+        return df
+    share = min(n / rows + 2 / SKETCH_ACCURACY, 1.0)
+    bound = df.select(F.percentile_approx(quoted(id_col), F.lit(share), SKETCH_ACCURACY)).first()[0]
+    front = df.filter(quoted(id_col) <= F.lit(bound))
+    return front if front.count() >= n else df

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import quoted
-from .ordering import hash_number, id_rank, order_key, row_positions, seeded_rank, stratum_blocks
+from .ordering import first_by_id, hash_number, id_rank, order_key, row_positions, seeded_rank, stratum_blocks
 
 MAJORITY, MINORITY = -1, 1
 DRAWS_PER_TASK = 5_000_000
@@ -178,13 +178,14 @@ def batches(
     needs are numbered.
     """
     needed = batch_size * num_batches
-    positions = row_positions(df, id_col, seed)
-    n = positions.count()
     if shuffle:
+        positions = row_positions(df, id_col, seed)
+        n = positions.count()
         rows = df.filter(positions.first({0: needed})) if needed < n else df
         ranked = seeded_rank(rows, id_col, seed, name="__rank")
     else:
-        ranked = id_rank(df, id_col, "__rank")
+        n = df.count()
+        ranked = id_rank(first_by_id(df, id_col, needed, n), id_col, "__rank")
     first = F.col("__rank") - 1
     return (
         ranked.filter(first < needed)

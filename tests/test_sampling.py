@@ -211,3 +211,25 @@ def test_copies_add_up(spark):
     two = spark.createDataFrame([(1, 5), (3, None), (None, 2)], "id long, copies int")
     got = {tuple(r) for r in sampling.add_copies([one, two], "id").collect()}
     assert got == {(1, 7), (2, 1), (3, 0), (None, 2)}
+
+
+def test_ranges_of_ids_follow_the_table(spark, monkeypatch):
+    from loomfit.operators import ordering
+
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 10)
+    df = spark.range(5000).select((F.col("id") * 3 - 700).alias("id")).repartition(7)
+    ranked = {r["id"]: r["rank"] for r in ordering.id_rank(df, "id").collect()}
+    assert ranked == {i * 3 - 700: i + 1 for i in range(5000)}
+    assert [r["id"] for r in sampling.stride(df, "id", 1000).orderBy("id").collect()] == [-700, 2300, 5300, 8300, 11300]
+
+
+def test_unshuffled_batches_number_only_the_rows_they_use(spark, monkeypatch):
+    from loomfit.operators import ordering
+
+    df = spark.range(40_000)
+    front = ordering.first_by_id(df, "id", 100, 40_000)
+    assert 100 <= front.count() < 200
+    got = sampling.batches(df, "id", 50, 2, shuffle=False).collect()
+    assert sorted((r["batch"], r["id"]) for r in got) == [(i // 50, i) for i in range(100)]
+    monkeypatch.setattr(ordering, "SKETCH_ACCURACY", 2)
+    assert ordering.first_by_id(df, "id", 40_000, 40_000).count() == 40_000
