@@ -75,17 +75,17 @@ class ClusterEnsemble:
         """The table with weight vectors ``wt``/``wv``, and the clusters that get a model."""
         y = quoted(label)
         majority, minority = df.filter(y == MAJORITY), df.filter(y == MINORITY)
-        sizes = {
-            r["cluster"]: r["n"]
-            for r in majority.groupBy(quoted(cluster).alias("cluster")).agg(F.count("*").alias("n")).collect()
-        }
-        n_min = minority.count()
+        # one aggregate for the sizes of the majority's clusters and of the minority
+        group = F.when(y == MAJORITY, quoted(cluster)).alias("cluster")
+        rows = df.filter(y.isin(MAJORITY, MINORITY)).groupBy(y.alias("y"), group).agg(F.count("*").alias("n")).collect()
+        sizes = {r["cluster"]: r["n"] for r in rows if r["y"] == MAJORITY and r["cluster"] is not None}
+        n_min = sum(r["n"] for r in rows if r["y"] == MINORITY)
         large = [c for c in sorted(sizes) if sizes[c] >= self.threshold_quantile * n_min]
         chosen = large[: len(self.lambdas)]
         if not chosen:
             raise ValueError("no majority cluster is large enough")
         drawn = (
-            bootstrap_copies(minority, id_col, {c: sizes[c] for c in chosen}, self.seed)
+            bootstrap_copies(minority, id_col, {c: sizes[c] for c in chosen}, self.seed, n_min)
             .groupBy(id_col)
             .agg(
                 F.array(

@@ -228,16 +228,16 @@ def upsample(df: DataFrame, id_col: str, label: str, seed: int = 1, ratio: float
 
 
 def bootstrap_copies(
-    minority: DataFrame, id_col: str, draws: dict[int, int], seed: int = 1
+    minority: DataFrame, id_col: str, draws: dict[int, int], seed: int = 1, rows: int | None = None
 ) -> DataFrame:
     """Draws with replacement: ``(group, id, copies)`` with ``draws[group]`` draws per group.
 
     Draw j of a group picks the row at position ``hash(seed, group, j) mod n``. Draws are counted
-    before they meet the rows.
+    before they meet the rows. ``rows`` is the number of rows to draw from, if it is known.
     """
     spark = minority.sparkSession
     ranked = seeded_rank(minority.select(quoted(id_col)), id_col, seed, name="__rank")
-    n = minority.count()
+    n = minority.count() if rows is None else rows
     if not n or not draws:
         raise ValueError("nothing to draw from")
     pieces = [
