@@ -126,56 +126,64 @@ def medians(df: DataFrame, columns: Sequence[str], known: Profile) -> dict[str,
 def order_statistics(
     df: DataFrame, wanted: Mapping[str, Sequence[int]], known: Profile
 ) -> dict[tuple[str, int], float]:
-    """The r-th smallest value (from 0) of columns, in three scans; all targets together.
+    """The r-th smallest value (from 0) of columns, in three scans; all ranks together.
 
-    A mergeable quantile sketch gives a lower and an upper bound for each target. One scan counts exactly
+    A mergeable quantile sketch gives a lower and an upper bound for each rank. One scan counts exactly
     what is below and between them, and the last one counts the distinct values between, which are about
-    one in SKETCH_ACCURACY / 4 of the rows or have many repetitions, and finds the target among them. The driver
-    gets a row per target. Not a number is left out; infinities are values.
+    one in SKETCH_ACCURACY / 4 of the rows or have many repetitions, and finds the rank among them. The driver
+    gets a row per rank. Not a number is left out; infinities are values.
     """
-    targets = [(c, r) for c, rs in wanted.items() for r in rs]
-    if not targets:
+    # neighbouring ranks, like the middle two, share their bounds
+    groups: list[tuple[str, list[int]]] = []
+    for c, rs in wanted.items():
+        for r in sorted(set(rs)):
+            if groups and groups[-1][0] == c and r - groups[-1][1][-1] <= 1:
+                groups[-1][1].append(r)
+            else:
+                groups.append((c, [r]))
+    if not groups:
         return {}
-    per_column = {c: sorted({b for r in rs for b in _bounds(r, known[c])}) for c, rs in wanted.items()}
-    number = {c: F.when(~F.isnan(quoted(c).cast("double")), quoted(c).cast("double")) for c in per_column}
+    shares = [(_bounds(rs[0], known[c])[0], _bounds(rs[-1], known[c])[1]) for c, rs in groups]
+    number = [F.when(~F.isnan(quoted(c).cast("double")), quoted(c).cast("double")) for c, _ in groups]
     sketch = df.agg(
         *[
-            F.percentile_approx(number[c], F.array(*map(F.lit, shares)), SKETCH_ACCURACY).alias(str(i))
-            for i, (c, shares) in enumerate(per_column.items())
+            F.percentile_approx(v, F.array(*map(F.lit, share)), SKETCH_ACCURACY).alias(str(i))
+            for i, (v, share) in enumerate(zip(number, shares))
         ]
     ).first()
-    at = {(c, share): v for i, (c, shares) in enumerate(per_column.items()) for share, v in zip(shares, sketch[i])}
-    bounds = [tuple(at[c, share] for share in _bounds(r, known[c])) for c, r in targets]
-    spans = _in_spans(df, targets, bounds)
-    counted = spans.groupBy("t").agg(
+    columns, bounds = [c for c, _ in groups], [tuple(found) for found in sketch]
+    counted = _in_spans(df, columns, bounds).groupBy("t").agg(
         F.count_if(F.col("v") < F.col("low")).alias("below"),
         F.count_if(F.col("v").between(F.col("low"), F.col("high"))).alias("inside"),
     )
     found = {row["t"]: row for row in counted.collect()}
     solved: dict[tuple[str, int], float] = {}
-    open_, ranks = [], []
-    for i, (target, (low, high)) in enumerate(zip(targets, bounds)):
-        rank = target[1] - found[i]["below"]
-        if not 0 <= rank < found[i]["inside"]:  # the sketch was off: look among all values
-            open_.append((target, (float("-inf"), float("inf"))))
-            ranks.append(target[1])
+    open_: list[tuple[str, tuple[float, float], int, list[int]]] = []
+    for i, (c, rs) in enumerate(groups):
+        below, inside = found[i]["below"], found[i]["inside"]
+        low, high = bounds[i]
+        if rs[0] < below or rs[-1] >= below + inside:  # the sketch was off: look among all values
+            open_.append((c, (float("-inf"), float("inf")), 0, rs))
         elif low == high:
-            solved[target] = low
+            solved |= {(c, r): low for r in rs}
         else:
-            open_.append((target, (low, high)))
-            ranks.append(rank)
+            open_.append((c, (low, high), below, rs))
     if open_:
-        inside = _in_spans(df, [t for t, _ in open_], [b for _, b in open_]).filter(F.col("v").between(F.col("low"), F.col("high")))
+        spans = _in_spans(df, [o[0] for o in open_], [o[1] for o in open_])
         upto = F.sum("n").over(Window.partitionBy("t").orderBy("v"))
-        wanted_rank = F.get(F.array(*map(F.lit, ranks)), F.col("t"))
+        first = F.get(F.array(*[F.lit(rs[0] - below) for _, _, below, rs in open_]), F.col("t"))
+        last = F.get(F.array(*[F.lit(rs[-1] - below) for _, _, below, rs in open_]), F.col("t"))
         rows = (
-            inside.groupBy("t", "v")
+            spans.filter(F.col("v").between(F.col("low"), F.col("high")))
+            .groupBy("t", "v")
             .agg(F.count("*").alias("n"))
             .withColumn("upto", upto)
-            .filter((F.col("upto") > wanted_rank) & (F.col("upto") - F.col("n") <= wanted_rank))
+            .filter((F.col("upto") > first) & (F.col("upto") - F.col("n") <= last))
             .collect()
         )
-        solved |= {open_[row["t"]][0]: row["v"] for row in rows}
+        for row in rows:
+            c, _, below, rs = open_[row["t"]]
+            solved |= {(c, r): row["v"] for r in rs if row["upto"] - row["n"] <= r - below < row["upto"]}
     return solved
 
 
@@ -185,11 +193,11 @@ def _bounds(rank: int, known: ColumnProfile) -> tuple[float, float]:
     return max(rank / n - 2 / SKETCH_ACCURACY, 0.0), min((rank + 1) / n + 2 / SKETCH_ACCURACY, 1.0)
 
 
-def _in_spans(df: DataFrame, targets: Sequence[tuple[str, int]], bounds: Sequence[tuple[float, float]]) -> DataFrame:
-    """``(t, v, low, high)`` rows: every number of a target's column, with the target's bounds."""
+def _in_spans(df: DataFrame, columns: Sequence[str], bounds: Sequence[tuple[float, float]]) -> DataFrame:
+    """``(t, v, low, high)`` rows: every number of each column, with the column's place in the list and its bounds."""
     cells = [
         F.struct(F.lit(i).alias("t"), quoted(c).cast("double").alias("v"), F.lit(low).alias("low"), F.lit(high).alias("high"))
-        for i, ((c, _), (low, high)) in enumerate(zip(targets, bounds))
+        for i, (c, (low, high)) in enumerate(zip(columns, bounds))
     ]
     return df.select(F.inline(F.array(*cells))).filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
