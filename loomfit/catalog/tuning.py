@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import metrics as m
 from ..functions import statistics as st
 from ..functions.scalars import quoted
-from ..operators.linear import Lasso, Ridge
+from ..operators.linear import GradientDescent, Lasso, Ridge
 from ..operators.logistic import Logistic
 from ..plans.polynomial import Polynomial
 from ..plans.tuning import CrossValidation, GridSearch, Scores, grid_table
@@ -251,6 +252,36 @@ def polynomial_degree(spark, sf):
     return _rounded(search.fit(_large(spark, sf), ("x1", "x2"), "y", "event_id"), spark)
 
 
+def _polynomial_batch_runs(steps, gamma, size):
+    out = []
+    n = "floor(d.n * 0.8)::BIGINT"
+    in_batch = lambda t: f"d.train = 1 AND ((d.rank - 1 - {t * size}) % {n} + {n}) % {n} < {size}"
+    for i, degree in enumerate(_POLY):
+        xs = [f'"{x}"' for x in _POLY[degree]]
+        ctes, last = descent_ctes("ev", xs, steps, gamma, SQUARED, prefix=f"q{degree}_", where=in_batch)
+        columns = f"{i} AS combo, {degree}::BIGINT AS degree, "
+        out.append((ctes, last, columns, "d.train = 0", "d.train = 1", 0, f"0.5 * avg(pow({score_sql(xs)} - d.y, 2))"))
+    return out
+
+
+@query("tune_polynomial_mini_batch", _scores_sql(_SPLIT.format(src=_POWERS), _polynomial_batch_runs(6, 0.1, 64)))
+def polynomial_mini_batch(spark, sf):
+    constants = {"continuous": ("x1", "x2"), "estimator": GradientDescent(0.1, 6, batch_size=64)}
+    search = GridSearch(Polynomial, {"degree": [1, 2]}, m.mse, constants, "min")
+    return _rounded(search.fit(_large(spark, sf), ("x1", "x2"), "y", "event_id"), spark)
+
+
+_MANY = [round(0.1 * (i + 1), 1) for i in range(8)]
+
+
+@query("tune_grid_in_groups", _scores_sql(_FOLDED.format(src=_BIG), _logistic_runs(_MANY, 3)))
+def grid_in_groups(spark, sf):
+    """A grid of more models than a task may hold takes more passes, with equal scores."""
+    search = GridSearch(Logistic, {"gamma": _MANY}, m.f1, {"max_iters": 3}, k_folds=3)
+    with session.limits(TASK_STATE_BYTES=32 * len(XS) * 7):
+        return _rounded(search.fit(_large(spark, sf), XS, "y", "event_id"), spark)
+
+
 _LASSO_RUNS = []
 for _fold in range(3):
     _ctes, _last = descent_ctes(

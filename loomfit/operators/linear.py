@@ -187,6 +187,11 @@ def normal_equations(models, table: TrainingTable, columns: Sequence[int]) -> np
         return conjugate(apply, -slope)
 
 
+def models_per_pass(dim: int) -> int:
+    """How many models of this size a task holds weights and sums of."""
+    return max(1, session.TASK_STATE_BYTES // (32 * max(dim, 1)))
+
+
 def start(model: Any, dim: int) -> np.ndarray:
     w = getattr(model, "initial_w", None)
     return np.zeros(dim) if w is None else np.array(w, dtype=float)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import session
 from ..session import work_folder
 from . import sums
-from .linear import Estimator, descend, start
+from .linear import Estimator, descend, models_per_pass, start
 from .table import TrainingTable
 
 # Steps after which the per-row rewards of the imbalanced loss are stored, or earlier where their weights
@@ -85,6 +85,11 @@ class ImbalancedLogistic(Estimator):
 
     @classmethod
     def train(cls, models, table, columns):
+        group = models_per_pass(table.dim)
+        if len(models) > group:
+            with table.kept(max(m.max_iters for m in models)):
+                parts = [slice(i, i + group) for i in range(0, len(models), group)]
+                return np.hstack([cls.train(models[ms], table, columns[ms])[0] for ms in parts]), [()] * len(models)
         w = np.column_stack([start(model, table.dim) for model in models])
         gammas = np.array([m.gamma for m in models])
         alphas = np.array([m.alpha for m in models])

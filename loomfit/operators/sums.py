@@ -198,7 +198,22 @@ def gradient_kernel(
             n = np.full(models, float(len(x)))
         return np.concatenate([(x.T @ weighted).ravel(), n, (r * weighted).sum(axis=0)])
 
-    return kernel, dim * models + 2 * models
+    return in_pieces(kernel, models), dim * models + 2 * models
+
+
+def in_pieces(kernel: Callable[[pa.RecordBatch], np.ndarray], models: int) -> Callable[[pa.RecordBatch], np.ndarray]:
+    """The kernel run over as many rows at a time as keep a table of rows x models small."""
+    rows = max(1, ASSIGN_CELLS // max(models, 1))
+
+    def run(batch):
+        if batch.num_rows <= rows:
+            return kernel(batch)
+        total = kernel(batch.slice(0, rows))
+        for begin in range(rows, batch.num_rows, rows):
+            total += kernel(batch.slice(begin, rows))
+        return total
+
+    return run
 
 
 def coordinate_kernel(w: np.ndarray, begin: int, end: int, column: int | None, n_weights: int):
@@ -318,7 +333,7 @@ def evaluation_kernel(w: np.ndarray, columns: np.ndarray | None, n_weights: int,
                 out += [fact.sum(axis=0, dtype=float) for fact in facts]
         return np.concatenate(out)
 
-    return kernel, 2 * 7 * models
+    return in_pieces(kernel, models), 2 * 7 * models
 
 
 def assign(x: np.ndarray, centres: np.ndarray) -> np.ndarray:

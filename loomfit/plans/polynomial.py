@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Hashable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -51,12 +51,23 @@ class Polynomial:
     continuous: Sequence[str]
     estimator: Estimator
 
+    @property
+    def features_key(self) -> Hashable:
+        """Equal for models with equal features, which a search trains on one table."""
+        return self.degree, tuple(self.continuous)
+
+    def expanded(self, df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
+        """The table with powers for the continuous features, and the names of all features."""
+        spec = self._spec(df, features)
+        out = Powers(self.degree).fit(df, spec).transform(df)
+        return out, spec.features(out.columns)
+
+    def _spec(self, df: DataFrame, features: Sequence[str]) -> ColumnSpec:
+        return ColumnSpec(continuous=self.continuous, keys=[c for c in df.columns if c not in features])
+
     def fit(self, df: DataFrame, features: Sequence[str], label: str, **how) -> PolynomialModel:
-        carried = [c for c in df.columns if c not in features]
-        spec = ColumnSpec(continuous=self.continuous, keys=carried)
-        step = Powers(self.degree).fit(df, spec)
-        expanded = step.transform(df)
-        names = spec.features(expanded.columns)
+        expanded, names = self.expanded(df, features)
+        spec = self._spec(df, features)
         model = self.estimator.fit(expanded, names, label, **how)
         continuous = tuple(spec.continuous_in(df.columns))
         others = tuple(spec.categorical_in(df.columns))

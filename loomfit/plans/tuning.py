@@ -1,27 +1,33 @@
 """Cross-validation, hold-out scoring and grid search.
 
 All settings and folds are trained side by side: a fold is a weighting of the rows, so a grid costs as
-many passes as its longest run has steps (one pass for quadratic losses), plus one to score.
+many passes as its longest run has steps (one pass for quadratic losses), plus one to score. Settings that
+see different features, such as powers of different degree, share a pass where their features agree; the rows
+and folds are kept once for all of them. More models than a task can hold take more passes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+import inspect
+from collections.abc import Callable, Hashable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 from itertools import product
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import session
 from ..functions import metrics
 from ..functions.scalars import quoted
 from ..operators import sums
 from ..operators.ensemble import f1_of
-from ..operators.linear import Estimator
+from ..operators.linear import Estimator, models_per_pass
 from ..operators.sampling import kfold, stratified_upsampled_folds, train_flag
 from ..operators.table import TrainingTable
 
@@ -63,21 +69,32 @@ def grid_table(spark: SparkSession, grid: Mapping[str, Sequence[float]]) -> Data
 def score_models(
     table: TrainingTable, w: np.ndarray, columns: Sequence[int], classifies: bool, metric: Metric
 ) -> np.ndarray:
-    """(models, 2) scores on test and training rows, in one pass for all models."""
-    picked = np.array(columns) if table.n_weights else None
-    if metric in _FROM_SUMS:
-        use_sign = classifies or metric is metrics.f1_continuous
-        kernel, size = sums.evaluation_kernel(w, picked, table.n_weights, use_sign)
-        facts = table.sum(kernel, size).reshape(2, 7, w.shape[1])
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return np.array(
-                [[_FROM_SUMS[metric](*facts[side, :, m]) for side in (0, 1)] for m in range(w.shape[1])]
-            )
-    return _score_by_column(table, w, columns, classifies, metric)
+    """(models, 2) scores on test and training rows, in one pass for as many models as a task can hold."""
+    picked = np.array(columns)
+    score = _score_by_sums if metric in _FROM_SUMS else _score_by_column
+    group = models_per_pass(table.dim)
+    if score is _score_by_column:
+        group = min(group, session.SCORED_MODELS)
+    parts = [slice(begin, begin + group) for begin in range(0, w.shape[1], group)]
+    return np.concatenate([score(table, w[:, ms], picked[ms], classifies, metric) for ms in parts])
+
+
+def _score_by_sums(table, w, columns, classifies, metric) -> np.ndarray:
+    """Scores by metrics of known sums, which every task adds up for itself."""
+    use_sign = classifies or metric is metrics.f1_continuous
+    kernel, size = sums.evaluation_kernel(w, columns if table.n_weights else None, table.n_weights, use_sign)
+    facts = table.sum(kernel, size).reshape(2, 7, w.shape[1])
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.array(
+            [[_FROM_SUMS[metric](*facts[side, :, m]) for side in (0, 1)] for m in range(w.shape[1])]
+        )
 
 
 def _score_by_column(table, w, columns, classifies, metric) -> np.ndarray:
-    """Scores by any aggregate of (prediction, label) columns."""
+    """Scores by any aggregate of (prediction, label) columns.
+
+    Such an aggregate may count rows, so a row that trains several times is repeated for it.
+    """
     dim = table.dim
 
     @F.arrow_udf("array<double>")
@@ -180,8 +197,10 @@ def _finite(score: float) -> float | None:
 class GridSearch:
     """Scores every setting by k-fold cross-validation, or by one hold-out split without ``k_folds``.
 
-    ``model_class`` is an ``Estimator``, or any class whose objects have ``fit(df, features, label)``
-    returning a model with ``transform(df)`` that adds ``prediction``. With ``stratified`` the folds
+    ``model_class`` is an ``Estimator``; a class whose objects have an ``estimator`` and prepare its features by
+    ``expanded(df, features)``, such as ``Polynomial``; or any class whose objects have
+    ``fit(df, features, label)`` returning a model with ``transform(df)`` that adds ``prediction``. Where that
+    ``fit`` has a parameter ``id_col``, it gets the id. With ``stratified`` the folds
     are drawn per class and their training sides up-sampled.
     """
 
@@ -213,51 +232,95 @@ class GridSearch:
         else:
             flag = train_flag(df, id_col, self.ratio, self.seed)
         n_folds = folds.k if folds else 1
-        if isinstance(self.model_class, type) and issubclass(self.model_class, Estimator):
-            rows = self._together(models, df, features, label, id_col, folds, flag, n_folds)
+        source = folds.df if folds else df
+        if all(_trains_together(model) for model in models):
+            kept = [*([features] if isinstance(features, str) else features), label, id_col]
+            kept += [folds.fold, folds.copies] if folds else []
+            source = source.select(*[quoted(c) for c in dict.fromkeys(kept) if c])
+            rows = self._together(models, source, features, label, id_col, folds, flag, n_folds)
         else:
-            rows = self._one_by_one(models, df, features, label, folds, flag, n_folds)
+            rows = self._one_by_one(models, source, features, label, id_col, folds, flag, n_folds)
         return Scores(tuple(combos), constants, tuple(rows), self.eval_criteria)
 
-    def _together(self, models, df, features, label, id_col, folds, flag, n_folds):
+    def _together(self, models, source, features, label, id_col, folds, flag, n_folds):
+        groups: dict[Hashable, list[int]] = {}
+        for i, model in enumerate(models):
+            groups.setdefault(_shared_by(model), []).append(i)
         rows = []
-        for intercept in sorted({m.wants_intercept for m in models}):
-            members = [i for i, m in enumerate(models) if m.wants_intercept == intercept]
-            needs_id = any(models[i].wants_id for i in members)
-            table = TrainingTable.build(
-                folds.df if folds else df,
-                features,
-                label,
-                intercept=intercept,
-                id_col=id_col if needs_id else None,
-                folds=folds,
-                train=flag,
-            )
-            every = [(i, fold) for i in members for fold in range(n_folds)]
-            columns = [fold for _, fold in every]
-            with table.kept(max(getattr(models[i], "max_iters", 1) for i in members)):
-                w, _ = self.model_class.train([models[i] for i, _ in every], table, columns)
-                scores = score_models(table, w, columns, self.model_class.classifies, self.metric)
-            for (i, fold), (test, train) in zip(every, scores):
-                rows += [(i, fold, TEST, _finite(test)), (i, fold, TRAIN, _finite(train))]
+        with _kept(source, len(groups) > 1) as stored:
+            for members in groups.values():
+                df, names = stored, features
+                inner = {i: models[i] for i in members}
+                if not isinstance(models[members[0]], Estimator):
+                    df, names = models[members[0]].expanded(stored, features)
+                    inner = {i: models[i].estimator for i in members}
+                kind = inner[members[0]]
+                table = TrainingTable.build(
+                    df,
+                    names,
+                    label,
+                    intercept=kind.wants_intercept,
+                    id_col=id_col if any(m.wants_id for m in inner.values()) else None,
+                    folds=folds,
+                    train=flag,
+                )
+                every = [(i, fold) for i in members for fold in range(n_folds)]
+                columns = [fold for _, fold in every]
+                with table.kept(max(getattr(m, "max_iters", 1) for m in inner.values())):
+                    w, _ = type(kind).train([inner[i] for i, _ in every], table, columns)
+                    scores = score_models(table, w, columns, kind.classifies, self.metric)
+                for (i, fold), (test, train) in zip(every, scores):
+                    rows += [(i, fold, TEST, _finite(test)), (i, fold, TRAIN, _finite(train))]
         return sorted(rows, key=lambda r: r[:2])
 
-    def _one_by_one(self, models, df, features, label, folds, flag, n_folds):
+    def _one_by_one(self, models, source, features, label, id_col, folds, flag, n_folds):
         rows = []
-        for i, model in enumerate(models):
-            for fold in range(n_folds):
-                train = folds.train(fold) if folds else df.filter(flag)
-                test = folds.test(fold) if folds else df.filter(~flag)
-                fitted = model.fit(train, features, label)
-                for name, part in ((TEST, test), (TRAIN, train)):
-                    scored = fitted.transform(part).select(
-                        F.col("prediction").alias("p"), quoted(label).cast("double").alias("y")
-                    )
-                    score = scored.agg(self.metric(F.col("p"), F.col("y")).alias("s")).first()["s"]
-                    rows.append((i, fold, name, _finite(score)))
+        with _kept(source, len(models) * n_folds > 1) as stored:
+            parts = replace(folds, df=stored) if folds else None
+            for i, model in enumerate(models):
+                named = {"id_col": id_col} if "id_col" in inspect.signature(model.fit).parameters else {}
+                for fold in range(n_folds):
+                    train = parts.train(fold) if folds else stored.filter(flag)
+                    test = parts.test(fold) if folds else stored.filter(~flag)
+                    fitted = model.fit(train, features, label, **named)
+                    sides = [
+                        fitted.transform(part).select(
+                            F.lit(name).alias("side"), F.col("prediction").alias("p"), quoted(label).cast("double").alias("y")
+                        )
+                        for name, part in ((TEST, test), (TRAIN, train))
+                    ]
+                    scored = sides[0].unionByName(sides[1]).groupBy("side")
+                    found = dict(scored.agg(self.metric(F.col("p"), F.col("y")).alias("s")).collect())
+                    rows += [(i, fold, name, _finite(found.get(name))) for name in (TEST, TRAIN)]
         return rows
 
 
+def _trains_together(model: Any) -> bool:
+    return isinstance(model, Estimator) or (
+        hasattr(model, "expanded") and isinstance(getattr(model, "estimator", None), Estimator)
+    )
+
+
+def _shared_by(model: Any) -> Hashable:
+    """What models have in common that train on one table: their features, intercept and way of training."""
+    if isinstance(model, Estimator):
+        return None, type(model), model.wants_intercept
+    return model.features_key, type(model.estimator), model.estimator.wants_intercept
+
+
+@contextmanager
+def _kept(df: DataFrame, several: bool) -> Iterator[DataFrame]:
+    """The table, kept near the executors where several models read it; lost blocks are recomputed."""
+    if not several:
+        yield df
+        return
+    stored = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield stored
+    finally:
+        stored.unpersist()
+
+
 @dataclass(frozen=True)
 class CrossValidation:
     """k-fold scores of one estimator."""

@@ -17,6 +17,8 @@ TASK_STATE_BYTES = 256 * 1024 * 1024
 BLOCK_COLUMNS = 512
 # Bytes of mini-batch rows that one descent run may fetch; beyond it batches stay on the cluster.
 BATCH_ROWS_BYTES = 32 * 1024 * 1024
+# Models that a pass scores by a user's metric; more takes more passes.
+SCORED_MODELS = 512
 # Rows of the largest piece of a table, times passes, from which on spreading the table pays.
 SPREAD_ROWS = 2_000_000
 # Distinct values one categorical column may expand into.

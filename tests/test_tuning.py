@@ -4,10 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomfit import session
 from loomfit.functions import metrics as m
 from loomfit.operators.linear import GradientDescent, Lasso, LeastSquares, Ridge
 from loomfit.operators.logistic import ImbalancedLogistic, Logistic
 from loomfit.operators.sampling import kfold, split, stratified_upsampled_folds
+from loomfit.plans.polynomial import Polynomial
 from loomfit.plans.tuning import CrossValidation, GridSearch, Scores, grid_combinations, grid_table
 
 XS = ["a", "b"]
@@ -63,6 +65,76 @@ def test_stratified_grid(spark, df, metric):
         assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize(
+    "inner, metric",
+    [(GradientDescent(0.05, 4, batch_size=20), m.mse), (Ridge(0.1), lambda p, y: F.max(F.abs(p - y)))],
+)
+def test_search_over_powers(spark, df, inner, metric):
+    grid = {"degree": [1, 3], "continuous": [("a",), ("a", "b")]}
+    search = GridSearch(Polynomial, grid, metric, {"estimator": inner}, "min", k_folds=2)
+    scores = search.fit(df, XS, "y", "id")
+    folds = kfold(df, "id", 2)
+    for combo, params in enumerate(grid_combinations(grid)):
+        for i in range(2):
+            fitted = Polynomial(**params, estimator=inner).fit(folds.train(i), XS, "y", id_col="id")
+            for name, part in (("test", folds.test(i)), ("train", folds.train(i))):
+                want = fitted.transform(part).agg(metric(F.col("prediction"), F.col("y")).alias("s")).first()["s"]
+                assert {(c, f, s): v for c, f, s, v in scores.rows}[combo, i, name] == pytest.approx(want)
+    assert set(scores.table(spark).columns) == {"combo", "degree", "continuous", "fold", "split", "score"}
+
+
+class Centre:
+    """A user's model that wants the id."""
+
+    def __init__(self, shift):
+        self.shift = shift
+
+    def fit(self, df, features, label, id_col):
+        self.value = df.agg(F.avg(label), F.count(id_col)).first()[0] + self.shift
+        return self
+
+    def transform(self, df):
+        return df.withColumn("prediction", F.lit(self.value))
+
+
+def test_user_models_read_kept_rows(spark, df):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    source = df.mapInArrow(counted, df.schema)
+    search = GridSearch(Centre, {"shift": [0.0, 0.5, 1.0]}, m.mae, eval_criteria="min", k_folds=3)
+    rows = {r[:3]: r[3] for r in search.fit(source, XS, "y", "id").rows}
+    folds = kfold(df, "id", 3)
+    for c, shift in enumerate((0.0, 0.5, 1.0)):
+        for i in range(3):
+            model = Centre(shift).fit(folds.train(i), XS, "y", "id")
+            want = model.transform(folds.test(i)).agg(m.mae(F.col("prediction"), F.col("y")).alias("s")).first()["s"]
+            assert rows[c, i, "test"] == pytest.approx(want)
+    assert reads.value <= 4 * df.count()  # the folds count and cut, then all models share one reading
+
+
+@pytest.mark.parametrize(
+    "kind, grid, metric",
+    [
+        (Logistic, {"gamma": [0.1, 0.2, 0.4], "max_iters": [2]}, m.f1_continuous),
+        (Logistic, {"gamma": [0.5, 1.0], "max_iters": [1], "learning": ["newton"]}, m.accuracy),
+        (ImbalancedLogistic, {"gamma": [0.1, 0.2], "alpha": [0.1], "max_iters": [2]}, m.f1),
+        (GradientDescent, {"gamma": [0.01, 0.1], "max_iters": [2], "loss": ["mae"]}, lambda p, y: F.avg(F.abs(p - y))),
+    ],
+)
+def test_groups_of_models_score_alike(df, kind, grid, metric):
+    search = GridSearch(kind, grid, metric, k_folds=2)
+    want = search.fit(df, XS, "y", "id").rows
+    with session.limits(TASK_STATE_BYTES=32 * len(XS) * 3, SCORED_MODELS=2):
+        got = search.fit(df, XS, "y", "id").rows
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
+
+
 def test_holdout(df):
     search = GridSearch(Logistic, {"lambda_": [0.0, 0.5], "max_iters": [2, 6]}, m.f1, ratio=0.7)
     scores = search.fit(df, XS, "y", "id")
