@@ -16,6 +16,7 @@ from .common import in_ranges, query, read
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 # Query parameters that only track visitors.
 TRACKING = r"^(utm_[^=]*|gclid|fbclid|msclkid)(=|$)"
+_ORDER = ("ts", "record_id", "__is_full", "__tie")
 RECORD = ("record_id", "url", "ts", "status", "headers")
 
 
@@ -66,7 +67,8 @@ def resolve(records: DataFrame) -> DataFrame:
     """One row per revisit: record_id, url, ts, target_id, target_ts, outcome, headers.
 
     ``records`` has record_id, url, ts, status (200 for a full response, 304 for a revisit) and headers (a
-    map with names in any case); other columns and other statuses are ignored. ``outcome`` is
+    map with names in any case); other columns and other statuses are ignored. Of header names that differ
+    in case alone, the one that sorts first counts. ``outcome`` is
 
     * ``resolved``: the ETag (compared weakly) agrees or, where the revisit has none, Last-Modified does;
     * ``unchecked``: the revisit has no validator, so the latest earlier response is taken as it is;
@@ -74,22 +76,31 @@ def resolve(records: DataFrame) -> DataFrame:
     * ``missing``: no earlier full response, or a null url or time.
 
     Responses of equal time are ordered by record id, and a response is earlier than a revisit only if
-    its (time, id) is smaller. Repeated rows give repeated results; an empty table gives none.
+    its (time, id) is smaller; of responses with equal time and id, one is taken by a hash of its headers.
+    A null id is the smallest. Repeated rows give repeated results; an empty table gives none.
     """
-    lower = F.map_from_entries(
-        F.transform(
-            F.map_entries(F.coalesce(F.col("headers"), F.create_map().cast("map<string,string>"))),
-            lambda e: F.struct(F.lower(e.key).alias("key"), e.value.alias("value")),
+    entries = F.array_sort(F.map_entries(F.coalesce(F.col("headers"), F.create_map().cast("map<string,string>"))))
+    named = F.transform(entries, lambda e: F.struct(F.lower(e.key).alias("key"), e.value.alias("value")))
+    names = F.transform(F.col("__named"), lambda e: e.key)
+    firsts = F.filter(F.col("__named"), lambda e, i: F.array_position(F.col("__names"), e.key) == i + 1)
+    rows = (
+        records.filter(F.col("status").isin(200, 304))
+        .select(*RECORD[:4], named.alias("__named"), canonical_url(F.col("url")).alias("__key"))
+        .withColumn("__names", names)
+        .withColumn("__firsts", firsts)
+        .select(
+            *RECORD[:4],
+            F.map_from_entries("__firsts").alias("headers"),
+            "__key",
+            (F.col("status") == 200).cast("int").alias("__is_full"),
+            F.xxhash64("__firsts").alias("__tie"),
         )
     )
-    rows = records.filter(F.col("status").isin(200, 304)).select(
-        *RECORD[:4], lower.alias("headers"), canonical_url(F.col("url")).alias("__key")
-    )
     whole = F.col("__key").isNotNull() & F.col("ts").isNotNull()
     full = F.when(
         F.col("status") == 200, F.struct(F.col("record_id").alias("id"), F.col("ts").alias("ts"), F.col("headers"))
     )
-    joined = latest_before(rows.filter(whole).withColumn("__full", full), "__key", ("ts", "record_id"), "__full")
+    joined = latest_before(rows.filter(whole).withColumn("__full", full), "__key", _ORDER, "__full")
     lost = rows.filter(~whole).select("*", F.lit(None).cast(joined.schema["latest"].dataType).alias("latest"))
     found = joined.drop("__full").unionByName(lost).filter("status = 304")
     sent, kept = F.col("headers"), F.col("latest.headers")
