@@ -1,8 +1,9 @@
 """License scans by conditional compression.
 
 A block of text that quotes a license compresses much better with that license's wording as a zstandard
-raw dictionary than without. Templates are ranked by that gain and confirmed, in order, by the exact
-differences of their words. Blocks are windows over the words of the whole text, so a notice may be wrapped.
+raw dictionary than without. Templates are ranked by the bytes they save on a block; those that save enough
+win, and winners are confirmed, in order, by the exact differences of their words. Blocks are windows over the
+words of the whole text, of a size that follows from the template's, so a notice may be wrapped and of any length.
 """
 
 from __future__ import annotations
@@ -56,11 +57,25 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
 )
-CUE = r"(?i)licen[sc]|copyright|warrant|redistribut|permission|permitted|creative\W+commons|\bcc\W+by\b|\bcc0\b"
-BLOCK_WORDS = 100  # words from a notice's first to its last, at most; more than twice the longest template
-AGREEMENT = 0.8  # share of a template's words that a block must have, in order
+CUE = r"(?i)licen[sc]|copyright|warrant|redistribut|permission|permitted|creative\W+commons|\bcc\W+by\b|\bcc0\b|unencumbered"
+AGREEMENT = 0.8  # share of a template's words that a notice must have, in order
+SPREAD = 1.5  # words from a notice's first to its last, at most, as a multiple of the template's
+SAVES = 0.05  # of the bytes that a template's dictionary saves on the template itself, the share to save on a block
+LEVEL = 19  # at lower ones, zstandard leaves short literals as they are, so savings jump
 MEMORY = 50_000  # blocks a task remembers
 _TOKEN = re.compile(r"\w+")
 _CUE = re.compile(CUE)
@@ -70,6 +85,16 @@ def words_of(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
+def _compressor(words: Sequence[str] | None = None) -> zstandard.ZstdCompressor:
+    """A compressor that has a template's words as raw dictionary, or none."""
+    raw = words and zstandard.ZstdCompressionDict(
+        " ".join(words).encode().ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+    )
+    return zstandard.ZstdCompressor(
+        level=LEVEL, dict_data=raw or None, write_content_size=False, write_checksum=False, write_dict_id=False
+    )
+
+
 @dataclass(frozen=True)
 class Finding:
     license: str
@@ -85,45 +110,49 @@ class Finding:
         return replace(self, places=tuple(p + by for p in self.places))
 
 
+def _preference(f: Finding) -> tuple:
+    return f.missing + f.extra, -f.reduction, f.template, f.places
+
+
 class Scanner:
-    """Ranks templates for a block by what they save, and confirms them by their wording."""
+    """Ranks templates by the bytes they save on a block, and confirms the winners by their wording."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]], agreement: float):
+    def __init__(
+        self, templates: Sequence[tuple[str, str]], agreement: float, spread: float = SPREAD, saves: float = SAVES
+    ):
         self.templates = templates
         self.words = [words_of(text) for _, text in templates]
         self.counts = [Counter(words) for words in self.words]
         self.may_miss = [sum(len(w) - m >= agreement * len(w) for m in range(1, len(w) + 1)) for w in self.words]
-        self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
-        self.with_template = [
-            zstandard.ZstdCompressor(
-                level=3,
-                dict_data=zstandard.ZstdCompressionDict(
-                    " ".join(words).encode().ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT
-                ),
-                write_content_size=False,
-                write_checksum=False,
-                write_dict_id=False,
-            )
-            for words in self.words
-        ]
-        self.known: dict[str, tuple[Finding, ...]] = {}
-
-    def saved(self, have: list[str], i: int) -> float:
-        data = " ".join(have).encode()
-        return 1 - len(self.with_template[i].compress(data)) / len(self.plain.compress(data))
-
-    def rank(self, have: list[str]) -> list[int]:
-        """The templates that the words may hold, those that save most first; equal savings keep their order.
-
-        Left out are only templates of which the words, in any order, are too few.
-        """
-        bag = Counter(have)
-        may = [i for i in range(len(self.words)) if self._may_hold(bag, i)]
-        return sorted(may, key=lambda i: (-self.saved(have, i), i)) if len(may) > 1 else may
+        self.spans = [int(spread * len(w)) for w in self.words]
+        self.plain = _compressor()
+        self.with_template = [_compressor(words) for words in self.words]
+        own = [" ".join(words).encode() for words in self.words]
+        self.needed = [max(1.0, saves * self.saved(text, i)) for i, text in enumerate(own)]
+        self.sizes: dict[int, list[int]] = {}  # half the words of a block, and the templates it suits
+        for i, span in enumerate(self.spans):
+            if span:
+                self.sizes.setdefault(1 << (span - 1).bit_length(), []).append(i)
+        self.known: dict[tuple[int, str], tuple[Finding, ...]] = {}
+
+    def saved(self, text: bytes, i: int) -> int:
+        """The bytes that a template's dictionary saves on a text."""
+        return len(self.plain.compress(text)) - len(self.with_template[i].compress(text))
+
+    def share_saved(self, have: list[str], i: int) -> float:
+        text = " ".join(have).encode()
+        return self.saved(text, i) / len(self.plain.compress(text))
+
+    def winners(self, block: str, among: Sequence[int]) -> list[int]:
+        """The templates that save enough on a block, those that save most first; equal savings keep their order."""
+        text = block.encode()
+        plain = len(self.plain.compress(text))
+        saved = {i: plain - len(self.with_template[i].compress(text)) for i in among}
+        return sorted((i for i in among if saved[i] >= self.needed[i]), key=lambda i: (-saved[i], i))
 
     def _may_hold(self, bag: Counter, i: int) -> bool:
         lacking = {w: n - bag[w] for w, n in self.counts[i].items() if n > bag[w]}
-        return bool(self.words[i]) and sum(lacking.values()) <= self.may_miss[i] and not any(w.isdigit() for w in lacking)
+        return sum(lacking.values()) <= self.may_miss[i] and not any(w.isdigit() for w in lacking)
 
     def compare(self, have: list[str], i: int) -> tuple[list[int], list[str]] | None:
         """Places of the matched words and the missing words, where fewest are missing or put in; None if nowhere.
@@ -157,7 +186,7 @@ class Scanner:
             steps.append(extra.copy())
         ends = np.array([s[n] for s in steps])  # by place and number of missing words
         cost = ends + np.arange(most + 1)
-        cost[ends + n - np.arange(most + 1) > BLOCK_WORDS] = never
+        cost[ends + n - np.arange(most + 1) > self.spans[i]] = never
         k, m = (int(v) for v in np.unravel_index(int(np.argmin(cost)), cost.shape))
         if cost[k, m] >= never:
             return None
@@ -191,33 +220,35 @@ class Scanner:
         taken = set(places)
         more = [have[k] for k in range(places[0], places[-1]) if k not in taken]
         differences = " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in more])
-        saved = self.saved(have[places[0] : places[-1] + 1], i)
+        saved = self.share_saved(have[places[0] : places[-1] + 1], i)
         yield Finding(self.templates[i][0], i, saved, tuple(places), len(places), len(missing), len(more), differences)
         yield from self._all_of(have, i, begin, places[0])
         yield from self._all_of(have, i, places[-1] + 1, end)
 
-    def confirmed(self, have: list[str]) -> tuple[Finding, ...]:
-        """The notices in a block of words."""
+    def confirmed(self, have: list[str], size: int) -> tuple[Finding, ...]:
+        """The notices in a block of words of the templates that blocks of this size suit."""
         block = " ".join(have)
-        if block not in self.known:
+        if (size, block) not in self.known:
             if len(self.known) >= MEMORY:
                 self.known.clear()
-            self.known[block] = tuple(f for i in self.rank(have) for f in self._all_of(have, i, 0, len(have)))
-        return self.known[block]
+            won = self.winners(block, self.sizes[size])
+            self.known[size, block] = tuple(f for i in won for f in self._all_of(have, i, 0, len(have)))
+        return self.known[size, block]
 
     def find_all(self, have: list[str]) -> list[Finding]:
         """The notices in the words of a text, without those whose matched words all belong to a better one.
 
         Of a notice with differences the words may also belong to several better ones: such a notice is only
-        put together from their words. Blocks of twice BLOCK_WORDS overlap by half, so every notice is
-        inside of one.
+        put together from their words. Blocks of twice a size overlap by half, so every notice of at most that
+        size is inside of one.
         """
         found = {}
-        for begin in range(0, max(len(have) - BLOCK_WORDS, 1), BLOCK_WORDS):
-            block = have[begin : begin + 2 * BLOCK_WORDS]
-            if _CUE.search(" ".join(block)):
-                for f in self.confirmed(block):
-                    moved = f.moved(begin)
+        cues = self._cues(have)
+        for size in self.sizes:
+            last = max(len(have) - size - 1, 0) // size  # of the blocks needed to reach the end
+            for k in sorted({b for c in cues for b in (c // size - 1, c // size) if 0 <= b <= last} | ({last} if cues else set())):
+                for f in self.confirmed(have[k * size : (k + 2) * size], size):
+                    moved = f.moved(k * size)
                     found[moved.template, moved.places] = moved
         better: dict[int, list[frozenset[int]]] = {}  # by a word they match
         out = []
@@ -230,55 +261,77 @@ class Scanner:
                     better.setdefault(p, []).append(places)
         return out
 
+    @staticmethod
+    def _cues(have: list[str]) -> list[int]:
+        """Places of words that a cue begins in."""
+        text = " ".join(have)
+        if not (begins := [m.start() for m in _CUE.finditer(text)]):
+            return []
+        firsts = np.cumsum([0] + [len(w) + 1 for w in have])
+        return sorted(set((np.searchsorted(firsts, begins, side="right") - 1).tolist()))
+
     def find(self, block: str) -> Finding | None:
         """The best notice of a text."""
         return next(iter(self.find_all(words_of(block))), None)
 
 
 def scan(
-    docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, agreement: float = AGREEMENT
+    docs: DataFrame,
+    templates: Sequence[tuple[str, str]] = TEMPLATES,
+    agreement: float = AGREEMENT,
+    spread: float = SPREAD,
+    saves: float = SAVES,
 ) -> DataFrame:
-    """License notices of documents: one row per document, line, and license found there.
+    """License notices: one row per row of ``docs``, line, and license found there.
 
     Columns: doc_id, line (of the first matched word, from 0), license, reduction, matched, missing, extra,
-    differences ("-" words of the template that are missing, "+" words put in). A notice may go over line
-    ends; it has a cue word and at most BLOCK_WORDS words. Of notices of one license that begin in one
-    line the one with fewest differences counts. Null and empty texts have none, repeated rows count
-    once, an empty table gives no rows.
+    differences ("-" words of the template that are missing, "+" words put in). A notice has, in order,
+    ``agreement`` of a template's words, its numbers and a cue word, from first to last at most ``spread`` times as
+    many words as the template, and its block saves ``saves`` of the bytes the template's dictionary saves on the
+    template itself; it may go over line ends. Of notices of one license that begin in one line the one with
+    fewest differences counts, then the one that saves the larger share, then the template listed first, then the
+    notice that begins first. Null and empty texts have none. Ids are only passed on, so null and shared
+    ids keep their rows, and repeated rows give repeated results. An empty table gives no rows; other columns are
+    ignored.
     """
-    schema = (
-        "license string, template int, reduction double, matched int, missing int, extra int, differences string"
-    )
-    fields = ("license", "template", "reduction", "matched", "missing", "extra", "differences")
-    kinds = (pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+    fields = {
+        "license": pa.string(),
+        "reduction": pa.float64(),
+        "matched": pa.int32(),
+        "missing": pa.int32(),
+        "extra": pa.int32(),
+        "differences": pa.string(),
+    }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, agreement)
+        scanner = Scanner(templates, agreement, spread, saves)
         for batch in batches:
             rows, lines, found = [], [], []
             for row, text in enumerate(batch.column("text")):
                 low = text.as_py().lower()
                 spans = list(_TOKEN.finditer(low))
-                for f in scanner.find_all([s.group() for s in spans]):
+                best: dict[tuple[int, str], Finding] = {}
+                for f in sorted(scanner.find_all([s.group() for s in spans]), key=_preference):
+                    best.setdefault((low.count("\n", 0, spans[f.places[0]].start()), f.license), f)
+                for (line, _), f in sorted(best.items()):
                     rows.append(row)
-                    lines.append(low.count("\n", 0, spans[f.places[0]].start()))
+                    lines.append(line)
                     found.append(f)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(rows, pa.int64())),
                     pa.array(lines, pa.int32()),
-                    *[pa.array([getattr(f, name) for f in found], k) for name, k in zip(fields, kinds)],
+                    *[pa.array([getattr(f, name) for f in found], kind) for name, kind in fields.items()],
                 ],
                 ["doc_id", "line", *fields],
             )
 
     cued = docs.select("doc_id", "text").filter(F.col("text").rlike(CUE))
     kind = cued.schema["doc_id"].dataType.simpleString()
-    found = cued.mapInArrow(run, f"doc_id {kind}, line int, {schema}")
-    best = F.min_by(
-        F.struct(*fields), F.struct(F.col("missing") + F.col("extra"), -F.col("reduction"), F.col("differences"))
+    return cued.mapInArrow(
+        run,
+        f"doc_id {kind}, line int, license string, reduction double, matched int, missing int, extra int, differences string",
     )
-    return found.groupBy("doc_id", "line", F.col("license").alias("l")).agg(best.alias("b")).select("doc_id", "line", "b.*")
 
 
 @query("op10_license_scan")

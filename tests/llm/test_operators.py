@@ -229,6 +229,29 @@ def test_revisits_edges(spark):
     assert revisits.resolve(df.limit(0)).count() == 0
 
 
+def test_revisits_with_repeated_names_and_equal_places(spark):
+    u, v = "http://a.com/x", "http://a.com/y"
+    log = [
+        (1, u, 10, 200, {"ETag": '"1"', "etag": '"2"', "eTag": '"0"'}),
+        (2, u, 20, 304, {"etag": '"3"', "ETAG": '"1"'}),
+        (5, v, 30, 200, {"etag": '"5"'}),
+        (5, v, 30, 304, {"etag": '"5"'}),
+        (6, v, 40, 304, {"etag": '"5"'}),
+        (7, v, 50, 200, {"etag": '"7"', "a": "b"}),
+        (7, v, 50, 200, {"etag": '"7"', "a": "c"}),
+        (8, v, 60, 304, {"etag": '"7"'}),
+        (None, v, 60, 304, {"etag": '"7"'}),
+    ]
+    df = spark.createDataFrame(log, "record_id long, url string, ts long, status int, headers map<string,string>")
+    seen = set()
+    for order in (F.asc("record_id"), F.desc("record_id"), F.rand(3)):
+        rows = revisits.resolve(df.repartition(3).orderBy(order)).collect()
+        found = {r["record_id"]: (r["outcome"], r["target_id"]) for r in rows}
+        assert found == {2: ("resolved", 1), 5: ("missing", None), 6: ("resolved", 5), 8: ("resolved", 7), None: ("resolved", 7)}
+        seen.add(next(r["headers"]["a"] for r in rows if r["record_id"] == 8))
+    assert len(seen) == 1
+
+
 # 6 ----------------------------------------------------------------------------------------------
 
 
@@ -453,6 +476,97 @@ def test_license_scan_returns_every_notice(spark):
     assert found == want | {(2, line, name) for line, name in enumerate(licenses)}
 
 
+def test_license_rows_keep_their_ids(spark):
+    texts = ["Released under the MIT License.", "Licensed under CC BY 4.0.", "Licensed under CC BY 4.0."]
+    docs = spark.createDataFrame([(None, texts[0]), (None, texts[1]), ("x", texts[2]), ("x", texts[2])], "doc_id string, text string")
+    clash = docs.withColumn("line", F.lit(9)).withColumn("template", F.lit("t")).withColumn("matched", F.lit(0))
+    found = sorted(((r["doc_id"], r["line"], r["license"]) for r in compression_licenses.scan(clash).collect()), key=str)
+    assert found == [("x", 0, "CC-BY-4.0")] * 2 + [(None, 0, "CC-BY-4.0"), (None, 0, "MIT")]
+
+
+def test_license_ties():
+    """Of two templates with equal words the first one listed counts, and of two notices the first one."""
+    templates = [("B", "Copyright one two three"), ("B", "Copyright  one TWO three"), ("A", "copyright one two three")]
+    scanner = compression_licenses.Scanner(templates, 0.8)
+    found = scanner.find_all("copyright one two three and copyright one two three".split())
+    assert [(f.template, f.places[0]) for f in found] == [(0, 0), (0, 5)]
+
+
+def altered(rng, scanner, i, words, most_extra):
+    """A template's words with some left out and some put in, amid other words."""
+    notice = list(scanner.words[i])
+    for _ in range(rng.integers(0, scanner.may_miss[i] + 1)):
+        notice.pop(int(rng.choice([k for k, w in enumerate(notice) if not w.isdigit()])))
+    for _ in range(rng.integers(0, min(most_extra, scanner.spans[i] - len(notice)) + 1)):
+        notice.insert(int(rng.integers(1, len(notice))), str(rng.choice(words)))
+    before, after = rng.integers(0, 150, 2)
+    return [*rng.choice(words, before), *notice, *rng.choice(words, after)], int(before)
+
+
+def brute_alignment(have, want, most, span):
+    """The least sum of missing words and words put in, over all stretches of a text."""
+    best = None
+    for a in range(len(have)):
+        # common[j]: most words in common of the stretch and the first j of the template, numbers included
+        common = [0] + [None] * len(want)
+        for j, w in enumerate(want):
+            common[j + 1] = None if w.isdigit() else common[j]
+        for b in range(a, min(len(have), a + span)):
+            new = [0]
+            for j, w in enumerate(want):
+                options = [common[j + 1], None if w.isdigit() else new[j]]
+                if w == have[b] and common[j] is not None:
+                    options.append(common[j] + 1)
+                new.append(max((o for o in options if o is not None), default=None))
+            common = new
+            if common[-1] is not None and len(want) - common[-1] <= most:
+                cost = len(want) - common[-1] + (b - a + 1) - common[-1]
+                best = cost if best is None else min(best, cost)
+    return best
+
+
+def test_license_alignment_equals_brute_force():
+    rng = np.random.default_rng(5)
+    templates = [("A", "a license b 2 c d"), ("B", "license b b c"), ("C", "x license 4 0"), ("D", "a b c d e license f g h i j")]
+    scanner = compression_licenses.Scanner(templates, 0.7, 2.0)
+    letters = [*"abcdefghij", "license", "license", "2", "4", "0"]
+    hits = 0
+    for _ in range(300):
+        have = [str(w) for w in rng.choice(letters, rng.integers(0, 25))]
+        for i, want in enumerate(scanner.words):
+            compared, best = scanner.compare(have, i), brute_alignment(have, want, scanner.may_miss[i], scanner.spans[i])
+            assert (compared is None) == (best is None)
+            if compared:
+                hits += 1
+                places, missing = compared
+                assert [have[p] for p in places] + missing and sorted(missing + [have[p] for p in places]) == sorted(want)
+                assert len(missing) + places[-1] - places[0] + 1 - len(places) == best
+    assert hits > 40
+
+
+def test_compression_decides_and_loses_little():
+    """Of notices with words left out and put in, the savings let through what the alignment alone finds."""
+    rng = np.random.default_rng(6)
+    words = np.array([f"{a}{b}{c}" for a in ("st", "mo", "la", "ker") for b in ("on", "i", "ure") for c in ("d", "ts", "ly", "")])
+    ranked = compression_licenses.Scanner(compression_licenses.TEMPLATES, compression_licenses.AGREEMENT)
+    every = compression_licenses.Scanner(compression_licenses.TEMPLATES, compression_licenses.AGREEMENT, saves=0.0)
+    every.needed = [-1e9] * len(every.words)  # no template is ruled out
+    found = all_found = exact = 0
+    for _ in range(8):
+        for i in range(len(ranked.words)):
+            have, begin = altered(rng, ranked, i, words, 3)
+            a, b = ({(f.license, f.places) for f in s.find_all(have)} for s in (ranked, every))
+            assert a <= b
+            found, all_found = found + len(a), all_found + len(b)
+            verbatim = [*have[:begin], *ranked.words[i], "end"]
+            exact += any(f.template == i and not f.differences for f in ranked.find_all(verbatim))
+    assert exact == 8 * len(ranked.words) and found >= 0.99 * all_found > 0
+    ranked.saved = every.saved
+    ranked.with_template = [ranked.plain] * len(ranked.words)  # no dictionary saves anything
+    ranked.known.clear()
+    assert not ranked.find_all(ranked.words[1])
+
+
 def test_license_differences():
     scanner = compression_licenses.Scanner(compression_licenses.TEMPLATES, compression_licenses.AGREEMENT)
     found = scanner.find("Released today under the MIT License.")
