@@ -339,38 +339,29 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     return _labelled(sketches, components(keep(_with_repeated_ids(sketches, links))))
 
 
-def _may_agree(x: np.ndarray, nx: int, y: np.ndarray, ny: int, percent: int) -> bool:
+def _may_agree(x: Column, nx: Column, y: Column, ny: Column, percent: int) -> Column:
     """Whether the lowest hashes x and y of two nodes leave room for enough n-grams in common.
 
     Up to the smaller of their last hashes both lists are complete, so there a node has at most as many
     n-grams of its own as it may have in all.
     """
-    reach = min(x[-1], y[-1])
-    x, y = x[: np.searchsorted(x, reach, "right")], y[: np.searchsorted(y, reach, "right")]
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    least = -(-percent * (nx + ny) // (100 + percent))
-    return len(x) - both <= nx - least and len(y) - both <= ny - least
+    reach = F.least(F.element_at(x, -1), F.element_at(y, -1))
+    both = F.size(F.array_intersect(x, y))
+    least = F.ceil(percent * (nx + ny) / (100 + percent))
+    within = lambda low: F.size(F.filter(low, lambda v: v <= reach))
+    return (within(x) - both <= nx - least) & (within(y) - both <= ny - least)
 
 
 def _check(docs: DataFrame, nodes: DataFrame, words: int, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link: first their lowest hashes are compared, then the whole sets of those that may."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
-            flat = [c.flatten().to_numpy() for c in (x, y)]
-            ends = [(c.offsets.to_numpy() - c.offsets[0].as_py()).tolist() for c in (x, y)]
-            sizes = zip(batch.column("nx").to_pylist(), batch.column("ny").to_pylist())
-            good = [
-                _may_agree(flat[0][ends[0][i] : ends[0][i + 1]], nx, flat[1][ends[1][i] : ends[1][i + 1]], ny, percent)
-                for i, (nx, ny) in enumerate(sizes)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+    """The pairs that link: first their lowest hashes are compared, then the whole sets of those that may.
 
+    A pair's lists are compared row by row in the JVM, so no batch of many pairs of long texts is ever held.
+    """
     lists = pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("nx"), F.col("low").alias("x")), "a").join(
         nodes.select(F.col("node").alias("b"), F.col("n").alias("ny"), F.col("low").alias("y")), "b"
     )
-    pairs = keep(lists.select("a", "b", "nx", "ny", "x", "y").mapInArrow(run, "a long, b long"))
+    good = _may_agree(F.col("x"), F.col("nx"), F.col("y"), F.col("ny"), percent)
+    pairs = keep(lists.filter(good).select("a", "b"))
     needed = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     return _linked(pairs, keep(_sets(docs, words, nodes, needed)), percent)
 
