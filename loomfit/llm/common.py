@@ -43,6 +43,16 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete what ``keep`` wrote for these tables, once all that reads them is written itself."""
+    for table in tables:
+        folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+        context = table.sparkSession.sparkContext
+        for folder in folders:
+            path = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(folder))
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_hash(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo a number; -1 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus, F.lit(-1))

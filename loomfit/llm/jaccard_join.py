@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLDED, Cells, Spans, keep, query, read, small_batches, text_bytes
+from .common import FOLDED, Cells, Spans, forget, keep, query, read, small_batches, text_bytes
 
 WORDS = 5
 PERCENT = 80
@@ -143,7 +143,9 @@ def _frequent_of(nodes: DataFrame, frequent: DataFrame) -> DataFrame:
         .groupBy("node")
         .agg(F.collect_list("token").alias("hot"))
     )
-    return keep(touched.join(hot, "node", "left"))
+    out = keep(touched.join(hot, "node", "left"))
+    forget(touched)
+    return out
 
 
 def _prefix_rows(nodes: DataFrame, shared_tokens: Cells) -> DataFrame:
@@ -208,7 +210,8 @@ def components(links: DataFrame) -> DataFrame:
         large = keep(large.filter("u <> v").distinct())
         small = large.join(lowest(large), "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        edges = keep(small.filter("u <> v").distinct())
+        before, edges = edges, keep(small.filter("u <> v").distinct())
+        forget(before, large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -229,7 +232,9 @@ def _groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     often = tokens.groupBy("token").agg(F.count("*").alias("c"), pivot).filter("c > 1").drop("c")
     members = rows.select("grp", "node").distinct()
     first = members.groupBy("grp").agg(F.min("node").alias("first"))
-    return keep(tokens.join(often, "token")), keep(members.join(first, "grp"))
+    out = keep(tokens.join(often, "token")), keep(members.join(first, "grp"))
+    forget(rows)
+    return out
 
 
 def _pivot_pairs(shared: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -272,8 +277,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     has a component only through other rows. An empty table gives no rows; other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    sketches = keep(_sketches(docs, words, percent))
-    nodes = keep(sketches.filter("node is not null").select("node", "key", "n", "low").dropDuplicates(["node"]))
+    whole = keep(_sketches(docs, words, percent))
+    nodes = keep(whole.filter("node is not null").select("node", "key", "n", "low").dropDuplicates(["node"]))
+    sketches = keep(whole.select("doc_id", "n", "node"))
+    forget(whole)  # the lists of lowest hashes stay once, by node
 
     counted = keep(
         nodes.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
@@ -309,6 +316,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         common = common.union(placed.select("node", "n", "deep", "common"))
         shared_tokens = shared_tokens.union(placed.select(F.explode("common")))
         own = placed.select("node", "n", "deep", F.col("own").alias("prefix"))
+        forget(tokens)
         joins.append((*_groups(_prefix_rows(own, Cells(counts.filter("c > 1").select("token"), TOKEN_BITS))), False))
     joins.append((*_groups(_prefix_rows(common, Cells(shared_tokens, TOKEN_BITS))), some_deep))
 
@@ -319,7 +327,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         return out.distinct()
 
     first = keep(union([_pivot_pairs(shared, members, percent) for shared, members, _ in joins]))
-    links = keep(_check(docs, nodes, words, first, percent))
+    links = _check(docs, nodes, words, first, percent)
     roots = keep(components(links))
 
     wide = []
@@ -335,7 +343,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         )
     second = keep(union(wide).join(first, ["a", "b"], "left_anti"))
     if second.take(1):
-        links = links.union(keep(_check(docs, nodes, words, second, percent)))
+        links = links.union(_check(docs, nodes, words, second, percent))
     return _labelled(sketches, components(keep(_with_repeated_ids(sketches, links))))
 
 
@@ -363,7 +371,10 @@ def _check(docs: DataFrame, nodes: DataFrame, words: int, pairs: DataFrame, perc
     good = _may_agree(F.col("x"), F.col("nx"), F.col("y"), F.col("ny"), percent)
     pairs = keep(lists.filter(good).select("a", "b"))
     needed = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    return _linked(pairs, keep(_sets(docs, words, nodes, needed)), percent)
+    sets = keep(_sets(docs, words, nodes, needed))
+    links = keep(_linked(pairs, sets, percent))
+    forget(sets, needed, pairs)
+    return links
 
 
 def _with_repeated_ids(sketches: DataFrame, links: DataFrame) -> DataFrame:
