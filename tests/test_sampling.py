@@ -113,6 +113,23 @@ def test_fold_upsampling_keeps_exactly_the_majority_count(spark):
     assert [sum(c[i] for c in copies) for i in range(2)] == [8, 8]
 
 
+@pytest.mark.parametrize("majority, minority, k, at_once", [(31, 9, 3, 16), (47, 12, 5, 2), (40, 10, 2, 16), (7, 9, 2, 16)])
+def test_fold_upsampling_draws_from_all_copies(spark, monkeypatch, majority, minority, k, at_once):
+    monkeypatch.setattr(sampling, "FOLDS_AT_ONCE", at_once)
+    size = {-1: majority // k, 1: minority // k}
+    fold = {i: n // size[-1] for n, i in enumerate(seeded(range(majority))) if n < size[-1] * k}
+    fold |= {i: n // size[1] for n, i in enumerate(seeded(range(majority, majority + minority))) if n < size[1] * k}
+    want = {i: [int(i < majority and f != fold[i]) for f in range(k)] for i in fold}
+    n_copies = -(-size[-1] // size[1])
+    for f in range(k):
+        copies = [(i, c) for i in fold if i >= majority and fold[i] != f for c in range(1, n_copies + 1)]
+        copies.sort(key=lambda d: (hashlib.md5(f"1:{f}:{d[0]}:{d[1]}".encode()).hexdigest(), d[0]))
+        for i, _ in copies[: size[-1] * (k - 1)]:
+            want[i][f] += 1
+    folds = sampling.stratified_upsampled_folds(labelled(spark, majority, minority), "id", "y", k)
+    assert {r["id"]: (r["fold"], r["copies"]) for r in folds.df.collect()} == {i: (fold[i], want[i]) for i in fold}
+
+
 def test_batches_run_over_the_end(spark):
     got = sampling.batches(spark.range(5), "id", 2, 4, shuffle=False).collect()
     by_batch = {b: sorted(r["id"] for r in got if r["batch"] == b) for b in range(4)}
