@@ -18,7 +18,7 @@ def test_query(name, spark, sf, duck):
         assert df.count() > 0
 
 
-GRIDS = ["tune_grid_stratified"]
+GRIDS = ["tune_grid_stratified", "workflow_grid_search"]
 
 
 @pytest.mark.parametrize("name", GRIDS)
