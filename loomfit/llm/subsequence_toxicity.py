@@ -30,6 +30,7 @@ WIDTH = 24  # letters of a word handled at once, with its two ends; longer words
 PAIRS = tuple((a, b) for b in range(2, SPAN) for a in range(1, b))
 SAMPLE_DOCS = 20_000  # bound of the labelled documents that the machine is fitted on
 LANDMARKS = 512
+BLOCK = 32  # landmarks whose kernel values are found together
 NEGATIVES = 16_000  # words of clean documents that the machine is fitted on
 COST = 100.0
 ALTERED_COST = 0.3  # share of that for words with a letter put in
@@ -64,24 +65,26 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes = np.zeros((len(words), WIDTH + SPAN), dtype=np.uint32)
     for row, word in enumerate(words):
         codes[row, : len(word)] = [ord(c) for c in word]
-    cells, weights = [], []
     first = codes[:, :WIDTH]
-    for a, b in PAIRS:
+    cells = np.empty((len(words), len(PAIRS) * WIDTH), dtype=np.uint16)  # BITS fit; a large vocabulary passes here at once
+    weights = np.empty(cells.shape, dtype=np.float32)
+    for k, (a, b) in enumerate(PAIRS):
         second, third = codes[:, a : a + WIDTH], codes[:, b : b + WIDTH]
         h = ((first * np.uint32(0x9E3779B1) + second) * np.uint32(0x85EBCA77) + third) * np.uint32(0xC2B2AE3D)
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x27D4EB2F)
-        cells.append((h >> np.uint32(32 - BITS)).astype(np.int64))
-        weights.append(np.where(third > 0, np.float32(DECAY ** (b - 2)), np.float32(0)))
-    cells, weights = np.concatenate(cells, axis=1), np.concatenate(weights, axis=1)
-    norm = np.sqrt((weights * weights).sum(axis=1, keepdims=True))
-    return cells, weights / np.maximum(norm, 1e-9)
+        part = slice(k * WIDTH, (k + 1) * WIDTH)
+        cells[:, part] = h >> np.uint32(32 - BITS)
+        weights[:, part] = np.where(third > 0, np.float32(DECAY ** (b - 2)), np.float32(0))
+    norm = np.sqrt(np.einsum("wf,wf->w", weights, weights))[:, None]
+    weights /= np.maximum(norm, np.float32(1e-9))
+    return cells, weights
 
 
 def _blocks(cells: np.ndarray, weights: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
     """The given words as columns over all cells, some words at a time, so that memory stays small."""
-    for begin in range(0, len(cells), 64):
-        block = slice(begin, min(begin + 64, len(cells)))
+    for begin in range(0, len(cells), BLOCK):
+        block = slice(begin, min(begin + BLOCK, len(cells)))
         out = np.zeros((1 << BITS, block.stop - begin), dtype=np.float32)
         for column, (at, weight) in enumerate(zip(cells[block], weights[block])):
             np.add.at(out[:, column], at, weight)
@@ -92,8 +95,8 @@ def kernel(cells: np.ndarray, weights: np.ndarray, landmark_cells: np.ndarray, l
     """Kernel values of words with landmarks, both given as cells and weights."""
     out = np.empty((len(cells), len(landmark_cells)), dtype=np.float32)
     for block, columns in _blocks(landmark_cells, landmark_weights):
-        for begin in range(0, len(cells), 256):
-            part = slice(begin, begin + 256)
+        for begin in range(0, len(cells), 128):
+            part = slice(begin, begin + 128)
             out[part, block] = np.einsum("wf,wfm->wm", weights[part], columns[cells[part]])
     return out
 
@@ -281,7 +284,11 @@ class ToxicWords:
         landmarks = cells[chosen], weights[chosen]
         values, vectors = np.linalg.eigh(kernel(*landmarks, *landmarks).astype(float))
         root = vectors / np.sqrt(np.maximum(values, 1e-6))[None, :] * (values > 1e-6)[None, :]
-        z = kernel(cells, weights, *landmarks) @ root.astype(np.float32)
+        z = kernel(cells, weights, *landmarks)
+        del cells, weights
+        root32 = root.astype(np.float32)
+        for begin in range(0, len(z), 1024):  # in place: the driver holds one table of words by landmarks
+            z[begin : begin + 1024] = z[begin : begin + 1024] @ root32
         seen = np.minimum(np.array([*[1] * len(positives), *negatives.values()]), 30)
         cost = COST * np.where(y > 0, max(1.0, 0.1 * len(negatives) / n_found), seen)
         cost[n_found : len(positives)] *= ALTERED_COST

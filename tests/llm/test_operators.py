@@ -2,6 +2,7 @@
 
 import collections
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -578,3 +579,14 @@ def test_held_out_parts(spark):
 
     rows = spark.range(50).select("id", id_hash(F.col("id"), 5).alias("part")).collect()
     assert all(r["part"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in rows)
+
+
+def test_a_large_vocabulary_takes_little_memory():
+    """The toxicity machine is fitted on the driver: its words as cells and weights must stay small there."""
+    words = [f"\x01word{i}\x02" for i in range(4000)]
+    tracemalloc.start()
+    cells, weights = subsequence_toxicity.subsequences(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3000 * len(words)
+    assert np.allclose((weights * weights).sum(axis=1), 1, atol=1e-5) and cells.max() < 1 << subsequence_toxicity.BITS
