@@ -38,6 +38,8 @@ PRIOR = 0.4  # count given to either value of a bit
 STEP = 15.0  # steps of a stored prediction per unit of log odds
 CLIP = 9.2  # largest log odds of a bit, about 1 in 10,000
 BLOCK_DOCS = 4096
+PIECE = 1 << 15  # bytes of text whose contexts are hashed together
+GROUP = 1 << 16  # bytes of text whose predictions are looked up together
 END = b"\n"
 END_WORD = 0  # stands for the end of a text among the hashes of words
 
@@ -68,22 +70,28 @@ class Bytes:
 
     def contexts(self) -> np.ndarray:
         """A 64-bit hash per context and byte of what comes before the byte in its text."""
-        data, n = self.data.astype(np.uint64), len(self.data)
-        at = np.arange(n) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
+        n = len(self.data)
         out = np.empty((len(SLOT_BITS), n), np.uint64)
-        recent = np.zeros(n, np.uint64)
-        for k in range(1, 6):
-            before = np.zeros(n, np.uint64)
-            before[k:] = data[:-k] + np.uint64(1)
-            before[at < k] = 0
-            recent |= before << np.uint64(9 * (k - 1))
-            if k in (2, 3, 5):
-                out[(2, 3, 5).index(k)] = recent
+        before = np.concatenate([np.zeros(5, np.uint8), self.data])
+        pieces = [slice(begin, min(begin + PIECE, n)) for begin in range(0, n, PIECE)]
+        for piece in pieces:
+            size = piece.stop - piece.start
+            codes = before[piece.start : piece.stop + 5].astype(np.uint64) + np.uint64(1)
+            recent = codes[4 : 4 + size].copy()
+            for k in range(2, 6):
+                recent |= codes[5 - k : 5 - k + size] << np.uint64(9 * (k - 1))
+                if k in (2, 3, 5):
+                    out[(2, 3, 5).index(k), piece] = recent
+        for k in range(5):  # a text's first bytes have fewer before them
+            at = self.bounds[:-1] + k
+            out[:3, at[at < self.bounds[1:]]] &= np.uint64((1 << 9 * k) - 1)
         powers = np.cumprod(np.full(int(self.place.max(initial=0)) + 1, 0x2545F4914F6CDD1D, np.uint64))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((data + np.uint64(1)) * powers[self.place])])
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((self.data + np.uint64(1)) * powers[self.place], out=sums[1:])
         out[3] = sums[:-1] - np.repeat(sums[self.word_starts], np.diff(np.append(self.word_starts, n)))
         for k in range(len(SLOT_BITS)):
-            out[k] = _mixed(out[k] + np.uint64((k + 1) << 56))
+            for piece in pieces:
+                out[k, piece] = _mixed(out[k, piece] + np.uint64((k + 1) << 56))
         return out
 
 
@@ -91,7 +99,7 @@ def slots(contexts: np.ndarray, high: np.ndarray, bits: int) -> tuple[np.ndarray
     """The slots of the first and of the second half of a byte; the second knows the first."""
     shift = np.uint64(64 - bits)
     second = (contexts ^ (high + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
-    return (contexts >> shift).astype(np.int32), (second >> shift).astype(np.int32)
+    return (contexts >> shift).view(np.int64), (second >> shift).view(np.int64)
 
 
 def _predictions(counts: np.ndarray) -> np.ndarray:
@@ -136,11 +144,11 @@ class ContextMixer:
             totals = [np.zeros(16 << bits, np.int32) for bits in SLOT_BITS]
             for batch in small_batches(batches, "text", COUNT_BYTES):
                 text = Bytes(Spans(batch.column("text")))
-                high, low = (text.data >> 4).astype(np.int32), (text.data & 15).astype(np.int32)
+                high, low = (text.data >> 4).astype(np.int64), (text.data & 15).astype(np.int64)
                 for total, context, bits in zip(totals, text.contexts(), SLOT_BITS):
                     first, second = slots(context, high.astype(np.uint64), bits)
-                    cells, n = np.unique(np.concatenate([first * 16 + high, second * 16 + low]), return_counts=True)
-                    total[cells] += n.astype(np.int32)
+                    np.add.at(total, first * 16 + high, np.int32(1))
+                    np.add.at(total, second * 16 + low, np.int32(1))
             part = TaskContext.get().partitionId()
             for k, total in enumerate(totals):
                 packed = [(i, _packed(piece)) for i, piece in enumerate(total.reshape(-1, 16 * CHUNK)) if piece.any()]
@@ -197,40 +205,50 @@ class ContextMixer:
         starts, lengths = starts[order], lengths[order]
         active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(1, (lengths[0] if len(lengths) else 0) + 1))
         contexts = text.contexts()
-        weights = np.full((len(SLOT_BITS), 8, len(lengths)), FIRST_WEIGHT, np.float32)
+        # Weights are kept as -weight / STEP, so that stored steps need no scaling and their sum is the negative mix.
+        weights = np.full((len(SLOT_BITS), 8, len(lengths)), -FIRST_WEIGHT / STEP, np.float32)
+        rate = np.float32(-RATE / STEP**2)
         scores = np.zeros(len(text.data))
-        group = max(1, 262_144 // max(1, len(lengths)))  # steps whose predictions are looked up together
+        group = max(1, GROUP // max(1, len(lengths)))  # steps whose predictions are looked up together
         for begin in range(0, len(active), group):
             steps = active[begin : begin + group]
             at = np.concatenate([starts[:a] + begin + t for t, a in enumerate(steps)])
-            odds, bits = self._look_up(contexts[:, at], text.data[at])
-            likely = np.empty(len(at), np.float32)
+            odds, bits = self._look_up(contexts.take(at, axis=1), text.data[at])
+            errors = np.empty((8, len(at)), np.float32)
             done = 0
             for a in steps.tolist():
                 x = odds[:, :, done : done + a].astype(np.float32)
-                x *= np.float32(1 / STEP)
                 used = weights[:, :, :a]
                 mixed = np.einsum("cbl,cbl->bl", used, x)
-                np.negative(mixed, out=mixed)
-                np.exp(np.clip(mixed, -CLIP, CLIP, out=mixed), out=mixed)
+                np.minimum(mixed, CLIP, out=mixed)
+                np.maximum(mixed, -CLIP, out=mixed)
+                np.exp(mixed, out=mixed)
                 mixed += 1
-                error = bits[:, done : done + a] - 1 / mixed
-                np.multiply.reduce(1 - np.abs(error), axis=0, out=likely[done : done + a])
-                x *= error * np.float32(RATE)
+                np.reciprocal(mixed, out=mixed)
+                error = np.subtract(bits[:, done : done + a], mixed, out=errors[:, done : done + a])
+                x *= np.multiply(error, rate, out=mixed)
                 used += x
                 done += a
-            scores[at] = np.log10(likely)
+            np.abs(errors, out=errors)
+            np.subtract(1, errors, out=errors)
+            scores[at] = np.log10(np.multiply.reduce(errors, axis=0))
         return np.add.reduceat(scores, text.word_starts) if len(scores) else scores
 
     def _look_up(self, contexts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Stored log odds by context, bit and byte, and the bits."""
-        high, low = (data >> 4).astype(np.int32), (data & 15).astype(np.int32)
+        """Stored log odds by context, bit and byte, and the bits.
+
+        A slot's 16 bytes are fetched at once; the nodes on the way to a half byte are then picked from what was fetched.
+        """
+        halves = (data >> 4).astype(np.int64), (data & 15).astype(np.int64)
+        high = halves[0].view(np.uint64)
         odds = np.empty((len(contexts), 8, len(data)), np.int8)
+        row = np.arange(len(data)) * 16
+        nodes = [[row + ((1 << depth) + (value >> (4 - depth))) for depth in range(4)] for value in halves]
         for k, (context, table) in enumerate(zip(contexts, self.tables)):
-            for half, (slot, value) in enumerate(zip(slots(context, high.astype(np.uint64), SLOT_BITS[k]), (high, low))):
-                base = slot * 16
-                for depth in range(4):
-                    table.take(base + ((1 << depth) + (value >> (4 - depth))), out=odds[k, 4 * half + depth], mode="clip")
+            for half, slot in enumerate(slots(context, high, SLOT_BITS[k])):
+                fetched = table.view("V16").take(slot, mode="clip").view(np.int8)
+                for depth, node in enumerate(nodes[half]):
+                    fetched.take(node, out=odds[k, 4 * half + depth], mode="clip")
         bits = np.unpackbits(data[None, :], axis=0).astype(np.float32)
         return odds, bits
 
