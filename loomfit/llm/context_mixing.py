@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,7 +29,7 @@ from .common import FOLDED, Spans, _mixed, id_hash, keep, query, read, small_bat
 # counts, one per half byte; the sparser a context, the more slots.
 SLOT_BITS = (15, 17, 19, 19)
 COUNT_BYTES = 512 * 1024  # text counted at once
-SCORE_BYTES = 1024 * 1024  # text scored at once
+SCORE_BYTES = 2 * 1024 * 1024  # text scored at once
 TASK_SPLITS = 8  # input splits that a counting task puts together, as it sends whole tables
 CHUNK = 1 << 12  # slots that travel together
 FAN_IN = 32  # partial tables that one task adds up
@@ -38,7 +40,7 @@ PRIOR = 0.4  # count given to either value of a bit
 STEP = 15.0  # steps of a stored prediction per unit of log odds
 CLIP = 9.2  # largest log odds of a bit, about 1 in 10,000
 BLOCK_DOCS = 4096
-PIECE = 1 << 15  # bytes of text whose contexts are hashed together
+PIECE = 1 << 14  # bytes of text whose contexts are hashed together
 GROUP = 1 << 16  # bytes of text whose predictions are looked up together
 END = b"\n"
 END_WORD = 0  # stands for the end of a text among the hashes of words
@@ -56,9 +58,9 @@ class Bytes:
         tokens = np.insert(np.arange(len(spans)), spans.offsets[1:], len(spans))  # an end after each text
         sizes = sizes[tokens]
         first = np.cumsum(sizes) - sizes
-        place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+        place = np.arange(int(sizes.sum()), dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
         after = first + sizes - 1
-        source = np.repeat(np.append(spans.starts, 0)[tokens], sizes) + place
+        source = np.repeat(np.append(spans.starts, 0).astype(np.int32)[tokens], sizes) + place
         source[after] = 0
         data = spans.data[source] if len(spans.data) else np.zeros(len(source), np.uint8)
         data[(data >= 65) & (data <= 90)] += 32
@@ -73,10 +75,13 @@ class Bytes:
         n = len(self.data)
         out = np.empty((len(SLOT_BITS), n), np.uint64)
         before = np.concatenate([np.zeros(5, np.uint8), self.data])
-        pieces = [slice(begin, min(begin + PIECE, n)) for begin in range(0, n, PIECE)]
-        for piece in pieces:
+        powers = np.cumprod(np.full(int(self.place.max(initial=0)) + 1, 0x2545F4914F6CDD1D, np.uint64))
+        sums = np.zeros(n + 1, np.uint64)
+        for piece in _pieces(n):
             size = piece.stop - piece.start
-            codes = before[piece.start : piece.stop + 5].astype(np.uint64) + np.uint64(1)
+            codes = before[piece.start : piece.stop + 5].astype(np.uint64)
+            codes += np.uint64(1)
+            np.multiply(codes[5:], powers[self.place[piece]], out=sums[piece.start + 1 : piece.stop + 1])
             recent = codes[4 : 4 + size].copy()
             for k in range(2, 6):
                 recent |= codes[5 - k : 5 - k + size] << np.uint64(9 * (k - 1))
@@ -85,16 +90,19 @@ class Bytes:
         for k in range(5):  # a text's first bytes have fewer before them
             at = self.bounds[:-1] + k
             out[:3, at[at < self.bounds[1:]]] &= np.uint64((1 << 9 * k) - 1)
-        powers = np.cumprod(np.full(int(self.place.max(initial=0)) + 1, 0x2545F4914F6CDD1D, np.uint64))
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.data + np.uint64(1)) * powers[self.place], out=sums[1:])
-        out[3] = sums[:-1] - np.repeat(sums[self.word_starts], np.diff(np.append(self.word_starts, n)))
-        for k in range(len(SLOT_BITS)):
-            for piece in pieces:
-                out[k, piece] = _mixed(out[k, piece] + np.uint64((k + 1) << 56))
+        np.cumsum(sums, out=sums)
+        for piece in _pieces(n):
+            np.subtract(sums[piece], sums[np.arange(piece.start, piece.stop) - self.place[piece]], out=out[3, piece])
+            for k in range(len(SLOT_BITS)):
+                out[k, piece] += np.uint64((k + 1) << 56)
+                out[k, piece] = _mixed(out[k, piece])
         return out
 
 
+def _pieces(n: int) -> list[slice]:
+    return [slice(begin, min(begin + PIECE, n)) for begin in range(0, n, PIECE)]
+
+
 def slots(contexts: np.ndarray, high: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The slots of the first and of the second half of a byte; the second knows the first."""
     shift = np.uint64(64 - bits)
@@ -144,11 +152,14 @@ class ContextMixer:
             totals = [np.zeros(16 << bits, np.int32) for bits in SLOT_BITS]
             for batch in small_batches(batches, "text", COUNT_BYTES):
                 text = Bytes(Spans(batch.column("text")))
-                high, low = (text.data >> 4).astype(np.int64), (text.data & 15).astype(np.int64)
-                for total, context, bits in zip(totals, text.contexts(), SLOT_BITS):
-                    first, second = slots(context, high.astype(np.uint64), bits)
-                    np.add.at(total, first * 16 + high, np.int32(1))
-                    np.add.at(total, second * 16 + low, np.int32(1))
+                contexts = text.contexts()
+                for piece in _pieces(len(text.data)):
+                    data = text.data[piece]
+                    high, low = (data >> 4).astype(np.int64), (data & 15).astype(np.int64)
+                    for total, context, bits in zip(totals, contexts[:, piece], SLOT_BITS):
+                        first, second = slots(context, high.view(np.uint64), bits)
+                        np.add.at(total, (first << 4) + high, np.int32(1))
+                        np.add.at(total, (second << 4) + low, np.int32(1))
             part = TaskContext.get().partitionId()
             for k, total in enumerate(totals):
                 packed = [(i, _packed(piece)) for i, piece in enumerate(total.reshape(-1, 16 * CHUNK)) if piece.any()]
@@ -206,51 +217,57 @@ class ContextMixer:
         active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(1, (lengths[0] if len(lengths) else 0) + 1))
         contexts = text.contexts()
         # Weights are kept as -weight / STEP, so that stored steps need no scaling and their sum is the negative mix.
-        weights = np.full((len(SLOT_BITS), 8, len(lengths)), -FIRST_WEIGHT / STEP, np.float32)
-        rate = np.float32(-RATE / STEP**2)
+        # Those of the eight bits of a lane lie side by side, so a step works on long rows of numbers.
+        # Errors are kept times the rate.
+        weights = np.full((len(SLOT_BITS), 8 * len(lengths)), -FIRST_WEIGHT / STEP, np.float32)
+        pushes = np.empty_like(weights)
+        rate, clip = np.float32(-RATE / STEP**2), np.float32(CLIP)
         scores = np.zeros(len(text.data))
         group = max(1, GROUP // max(1, len(lengths)))  # steps whose predictions are looked up together
         for begin in range(0, len(active), group):
             steps = active[begin : begin + group]
             at = np.concatenate([starts[:a] + begin + t for t, a in enumerate(steps)])
             odds, bits = self._look_up(contexts.take(at, axis=1), text.data[at])
-            errors = np.empty((8, len(at)), np.float32)
+            odds, errors = odds.swapaxes(1, 2).reshape(len(SLOT_BITS), -1), bits.T.ravel() * rate
             done = 0
-            for a in steps.tolist():
-                x = odds[:, :, done : done + a].astype(np.float32)
-                used = weights[:, :, :a]
-                mixed = np.einsum("cbl,cbl->bl", used, x)
-                np.minimum(mixed, CLIP, out=mixed)
-                np.maximum(mixed, -CLIP, out=mixed)
+            for a in (8 * steps).tolist():
+                x, used = pushes[:, :a], weights[:, :a]
+                x[:] = odds[:, done : done + a]
+                mixed = np.einsum("cl,cl->l", used, x)
+                mixed.clip(-clip, clip, out=mixed)
                 np.exp(mixed, out=mixed)
                 mixed += 1
-                np.reciprocal(mixed, out=mixed)
-                error = np.subtract(bits[:, done : done + a], mixed, out=errors[:, done : done + a])
-                x *= np.multiply(error, rate, out=mixed)
+                error = errors[done : done + a]
+                error -= np.divide(rate, mixed, out=mixed)
+                x *= error
                 used += x
                 done += a
-            np.abs(errors, out=errors)
-            np.subtract(1, errors, out=errors)
-            scores[at] = np.log10(np.multiply.reduce(errors, axis=0))
-        return np.add.reduceat(scores, text.word_starts) if len(scores) else scores
+            errors /= rate
+            chances = np.subtract(1, np.abs(errors, out=errors), out=errors)
+            for _ in range(3):
+                chances = chances[::2] * chances[1::2]
+            scores[at] = np.log(chances)
+        return np.add.reduceat(scores, text.word_starts) / np.log(10) if len(scores) else scores
+
+    @cached_property
+    def paths(self) -> list[np.ndarray]:
+        """For each context, slot and half byte the log odds of the four nodes on the way to it, as one number."""
+        nodes = [(1 << depth) + (value >> (4 - depth)) for value in range(16) for depth in range(4)]
+        return [table.reshape(-1, 16).take(nodes, axis=1).view(np.uint32).ravel() for table in self.tables]
 
     def _look_up(self, contexts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Stored log odds by context, bit and byte, and the bits.
-
-        A slot's 16 bytes are fetched at once; the nodes on the way to a half byte are then picked from what was fetched.
-        """
-        halves = (data >> 4).astype(np.int64), (data & 15).astype(np.int64)
-        high = halves[0].view(np.uint64)
-        odds = np.empty((len(contexts), 8, len(data)), np.int8)
-        row = np.arange(len(data)) * 16
-        nodes = [[row + ((1 << depth) + (value >> (4 - depth))) for depth in range(4)] for value in halves]
-        for k, (context, table) in enumerate(zip(contexts, self.tables)):
-            for half, slot in enumerate(slots(context, high, SLOT_BITS[k])):
-                fetched = table.view("V16").take(slot, mode="clip").view(np.int8)
-                for depth, node in enumerate(nodes[half]):
-                    fetched.take(node, out=odds[k, 4 * half + depth], mode="clip")
-        bits = np.unpackbits(data[None, :], axis=0).astype(np.float32)
-        return odds, bits
+        """Stored log odds by context, bit and byte, and the bits; in memory, the bits of a byte lie side by side."""
+        halves = np.stack([data >> 4, data & 15], axis=1).astype(np.int64)
+        high = halves[:, 0].astype(np.uint64)
+        odds = np.empty((len(contexts), 2 * len(data)), np.uint32)
+        at = np.empty(halves.shape, np.int64)
+        for k, (context, path) in enumerate(zip(contexts, self.paths)):
+            at[:, 0], at[:, 1] = slots(context, high, SLOT_BITS[k])
+            at <<= 4
+            at += halves
+            path.take(at.ravel(), out=odds[k], mode="clip")
+        odds = odds.view(np.int8).reshape(len(contexts), len(data), 8)
+        return odds.swapaxes(1, 2), np.unpackbits(data).reshape(-1, 8).T
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -269,10 +286,11 @@ def _block_words(blocks: DataFrame, training) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted(block: int, words: list[np.ndarray], trains: list[np.ndarray]) -> pa.RecordBatch:
-            distinct, place = np.unique(np.concatenate(words), return_inverse=True)
+            found = pa.array(np.concatenate(words).view(np.int64)).dictionary_encode()
+            distinct, place = found.dictionary, found.indices.to_numpy()
             n = np.bincount(place, weights=np.concatenate(trains), minlength=len(distinct)).astype(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(distinct), block, np.int64)), pa.array(distinct.view(np.int64)), pa.array(n)],
+                [pa.array(np.full(len(distinct), block, np.int64)), distinct, pa.array(n)],
                 ["block", "word", "n"],
             )
 
@@ -317,18 +335,17 @@ def score(docs: DataFrame, training) -> DataFrame:
     divisor = np.log10(max(total + 0.5 * (distinct + 1), 0.5))
 
     def run(key, texts, found):
-        hashes, place = np.unique(found.column("word").to_numpy().view(np.uint64), return_index=True)
-        count = found.column("c").to_numpy()[place]
-        cost = np.append(np.log10(count + 0.5) - divisor, 0.0)
-        seen = np.append(count > 0, False)
+        hashes = found.column("word").combine_chunks()
+        count = found.column("c").to_numpy()
+        cost, seen = np.log10(count + 0.5) - divisor, count > 0
+        end = pc.index(hashes, END_WORD).as_py()
         out = []
         for batch in small_batches(texts.combine_chunks().to_batches(), "text", SCORE_BYTES):
             spans = Spans(batch.column("text"))
-            wanted = spans.hashes(FOLDED)
-            at = np.searchsorted(hashes, wanted)
-            end = int(np.searchsorted(hashes, np.uint64(END_WORD)))
-            if not np.array_equal(hashes[np.minimum(at, len(hashes) - 1)], wanted):
+            places = pc.index_in(pa.array(spans.hashes(FOLDED).view(np.int64)), value_set=hashes)
+            if places.null_count or end < 0:
                 raise ValueError("the input gave other rows when it was read again")
+            at = places.to_numpy()
             sums = np.concatenate([[0.0], np.cumsum(cost[at])])[spans.offsets]
             hits = np.concatenate([[0], np.cumsum(seen[at])])[spans.offsets]
             text = Bytes(spans)

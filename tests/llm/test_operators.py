@@ -287,6 +287,58 @@ def test_mixer_is_a_probability(monkeypatch):
     assert np.allclose(together, alone, rtol=1e-4)
 
 
+def test_mixer_equals_plain_loops():
+    """Contexts, one fetch per half byte, and weights refined bit by bit, against loops over Python numbers."""
+    rng = np.random.default_rng(6)
+    tables = [rng.integers(-127, 128, 16 << bits).astype(np.int8) for bits in context_mixing.SLOT_BITS]
+    model = context_mixing.ContextMixer(tables)
+    for k, value in ((0, 0), (1, 5), (3, 15)):
+        nodes = [(1 << depth) + (value >> (4 - depth)) for depth in range(4)]
+        path = model.paths[k].reshape(-1, 16)[:, value].copy().view(np.int8).reshape(-1, 4)
+        assert np.array_equal(path, tables[k].reshape(-1, 16)[:, nodes])
+    long = b"w" * (context_mixing.PIECE - 3) + b" Over the edge of a piece " + bytes(rng.integers(97, 123, 900).astype(np.uint8))
+    texts = [b"One two  one", b"", long, "zwölf\tdrei".encode(), b"a b c"]
+    text = context_mixing.Bytes(Spans(pa.array(texts, pa.binary())))
+    found, ones = model.log10(text), (1 << 64) - 1
+
+    def mixed(value):
+        value = ((value ^ (value >> 30)) * 0xBF58476D1CE4E5B9) & ones
+        value = ((value ^ (value >> 27)) * 0x94D049BB133111EB) & ones
+        return value ^ (value >> 31)
+
+    token = 0
+    for raw in texts:
+        words = [w.lower() + b" " for w in raw.split()] + [b"\n"]
+        data, place, total, sums = b"".join(words), [i for w in words for i in range(len(w))], 0.0, []
+        ends = set(np.cumsum([len(w) for w in words]))
+        word, power = 0, 1
+        for i, byte in enumerate(data):
+            if i % context_mixing.LANE == 0:
+                weights = np.full((8, len(tables)), context_mixing.FIRST_WEIGHT)
+            if place[i] == 0:
+                word, power = 0, 1
+            power = power * 0x2545F4914F6CDD1D & ones
+            hashes = [sum((data[i - j] + 1) << (9 * (j - 1)) for j in range(1, n + 1) if i >= j) for n in (2, 3, 5)] + [word]
+            hashes = [mixed((h + ((k + 1) << 56)) & ones) for k, h in enumerate(hashes)]
+            word = (word + (byte + 1) * power) & ones
+            seconds = [(h ^ ((byte >> 4) + 1)) * 0x9E3779B97F4A7C15 & ones for h in hashes]
+            for bit in range(8):
+                half = byte >> 4 if bit < 4 else byte & 15
+                node = (1 << bit % 4) + (half >> (4 - bit % 4))
+                at = [(h >> (64 - bits)) * 16 + node for h, bits in zip(hashes if bit < 4 else seconds, context_mixing.SLOT_BITS)]
+                odds = np.array([float(table[a]) for table, a in zip(tables, at)]) / context_mixing.STEP
+                p = 1 / (1 + math.exp(-min(max(float(weights[bit] @ odds), -context_mixing.CLIP), context_mixing.CLIP)))
+                actual = byte >> (7 - bit) & 1
+                total += math.log10(p if actual else 1 - p)
+                weights[bit] += context_mixing.RATE * (actual - p) * odds
+            if i + 1 in ends:
+                sums.append(total)
+                total = 0.0
+        assert np.allclose(found[token : token + len(words)], sums, rtol=1e-4, atol=1e-3)
+        token += len(words)
+    assert token == len(found)
+
+
 # 7 ----------------------------------------------------------------------------------------------
 
 
