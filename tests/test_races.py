@@ -8,7 +8,7 @@ import pytest
 
 from loomfit.catalog.common import documents
 from loomfit.operators import races
-from loomfit.operators.kmeans import KMeans
+from loomfit.operators.kmeans import KMeans, downsample_to_centres
 
 
 def digest(*parts):
@@ -58,6 +58,17 @@ def test_heads_are_those_of_md5():
                 assert f"{got[k, j]:08x}" == want
 
 
+@pytest.mark.parametrize("dim", [1, 2, 7, 8, 20])
+def test_distances_are_added_in_one_order(dim):
+    rng = np.random.RandomState(dim)
+    x, centres, so_far = rng.normal(size=(50, dim)), rng.normal(size=(30, dim)), rng.uniform(size=50)
+    want = so_far.copy()
+    for c in centres:
+        want += np.sqrt(((x - c) ** 2).sum(axis=1))
+    assert np.array_equal(races.summed_distances(x, centres, so_far), want)
+    assert np.array_equal(races.exact_weights(x, centres, so_far), want)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_together_is_one_by_one(spark, points, seed):
     ids = list(range(len(points)))
@@ -76,6 +87,27 @@ def test_centres_take_few_jobs(spark, points):
     assert len(context.statusTracker().getJobIdsForGroup("centres")) < 60
 
 
+@pytest.mark.parametrize("on", ["majority", "all"])
+def test_downsampling_to_many_centres(spark, points, on):
+    """As many centres as minority rows, in few jobs; with ``all`` minority rows may become centres, too."""
+    y = np.where(np.arange(len(points)) % 3, -1, 1)
+    rows = [(i, *map(float, p), int(v)) for i, (p, v) in enumerate(zip(points, y))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y int").repartition(3).cache()
+    df.count()
+    context = spark.sparkContext
+    context.setJobGroup(f"down {on}", "")
+    try:
+        out = downsample_to_centres(df, "id", ["a", "b"], "y", on, max_iter=0)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup(f"down {on}")) < 60
+    ids = [i for i in range(len(points)) if on == "all" or y[i] == -1]
+    want = one_by_one(ids, points[ids], int((y == 1).sum()), 1)
+    got = sorted((r["a"], r["b"]) for r in out.filter("id IS NULL").collect())
+    assert got == sorted(map(tuple, want.tolist()))
+    assert sorted(r["id"] for r in out.filter("y = 1").collect()) == list(np.flatnonzero(y == 1))
+
+
 def test_ids_that_repeat_or_are_missing(spark, points):
     ids = [None if i % 50 == 3 else i // 2 for i in range(len(points))] * 2
     rows = np.vstack([points, points])
